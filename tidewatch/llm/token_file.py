@@ -36,6 +36,8 @@ _SEGMENTS = "part int, seq int, first_doc_id bigint, n_docs bigint, n_ids bigint
 def _packed(rows: np.ndarray, width: int) -> np.ndarray:
     """(n, 512) values below 2**width -> (n, 64 * width) bytes: each run of 64 values fills `width` 64-bit words."""
     n = len(rows)
+    if not width:
+        return np.zeros((n, 0), np.uint8)
     v = np.ascontiguousarray(rows.reshape(n * (BLOCK // LANE), LANE).T.astype(np.uint64))
     out = np.zeros((width, v.shape[1]), np.uint64)
     for i in range(LANE):
