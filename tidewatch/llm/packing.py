@@ -123,8 +123,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, n_open:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t, _) in zip(cols, _PIECE, strict=True)], [n for n, _, _ in _PIECE])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for window in packer.add(doc_id, enc.encode(text.as_py() or "") + end):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, raw in zip(batch.column(0).to_pylist(), enc.encode_all(texts), strict=True):
+                for window in packer.add(doc_id, raw + end):
                     put(window)
                 if len(rows) >= 4000:
                     yield flush()

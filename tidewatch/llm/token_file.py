@@ -169,8 +169,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = enc.encode(text.as_py() or "") + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_all(texts), strict=True):
+                ids += end
                 held.append(ids)
                 doc_ids.append(doc_id)
                 n += len(ids) // 4

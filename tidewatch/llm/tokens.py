@@ -45,61 +45,91 @@ class Encoder:
         self.known: dict[str, bytes] = {}  # by the part behind a space
         self.older: dict[str, bytes] = {}
         self.exact: dict[str, bytes] = {}  # by the piece itself
-        self.separator, self.mark = "", -1
-        for s in ("\n", " | "):
-            if len(one := self._ids(f"a{s}a{s}a")) == 5 and one[1] == one[3] and one[0] == one[2]:
-                self.separator, self.mark = s, one[1]
-                break
+        vocabulary = _tokenizer(path).get_vocab(with_added_tokens=False)
+        size = max(vocabulary.values()) + 1
+        #: Which ids end a word, or else which stand for a leading space: either tells where a piece among others ends.
+        self.ends, self.starts = np.zeros(size, bool), np.zeros(size, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.starts[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.worded = bool(self.ends.any())
 
     def _ids(self, text: str) -> list[int]:
         return _tokenizer(self.path).encode(text, add_special_tokens=False).ids
 
+    def _together(self, part: list[str]) -> list[bytes]:
+        """The ids of plain pieces, encoded side by side in one text."""
+        ids = np.array(self._ids("".join(part) if part[0][:1] == " " else " ".join(part)), "<u4")
+        if self.worded:
+            cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+        else:
+            cuts = [*np.flatnonzero(self.starts[ids]).tolist(), len(ids)]
+        if len(cuts) != len(part) + 1 or cuts[0] or cuts[-1] != len(ids):
+            return [np.array(self._ids(p), "<u4").tobytes() for p in part]
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def _learn(self, wanted: list[str]) -> None:
-        """Put the ids of these pieces into `exact`; plain ones are encoded together, a separator's id between them."""
+        """Put the ids of these pieces into `exact`; those that can stand side by side are encoded together."""
         if len(self.exact) > 2 * self.limit:
             self.exact = {}
         exact = self.exact
         new = [p for p in dict.fromkeys(wanted) if p not in exact]
-        plain = [p for p in new if _PLAIN.fullmatch(p)] if self.separator else []
-        for at in range(0, len(plain), 2000):
-            part = plain[at : at + 2000]
-            ids = np.array(self._ids(self.separator.join(part)), "<u4")
-            ends = np.flatnonzero(ids == self.mark)
-            if len(ends) != len(part) - 1:
-                break
-            raw = ids.tobytes()
-            cuts = [-1, *ends.tolist(), len(ids)]
-            exact.update(zip(part, [raw[4 * a + 4 : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+        plain = [p for p in new if _PLAIN.fullmatch(p)]
+        for spaced in (True, False) if self.worded else (True,):
+            own = [p for p in plain if (p[0] == " ") == spaced]
+            for at in range(0, len(own), 2000):
+                part = own[at : at + 2000]
+                exact.update(zip(part, self._together(part), strict=True))
         for p in new:
             if p not in exact:
                 exact[p] = np.array(self._ids(p), "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        parts = text.split(" ")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the pieces of a bounded number of characters are learned together."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            to, held = at, 0
+            while to < len(texts) and held < 1_000_000:
+                held += len(texts[to])
+                to += 1
+            cut = [t.split(" ") for t in texts[at:to]]
+            first = [parts.pop(0) for parts in cut]
+            self._meet(set().union(*cut))
+            known = self.known
+            for text, parts, head in zip(texts[at:to], cut, self._whole(first), strict=True):
+                try:
+                    out.append(head + b"".join([known[p] for p in parts]))
+                except KeyError:  # white space behind a space
+                    out.append(self._odd(*text.split(" ")))
+            at = to
+        return out
+
+    def _meet(self, parts: set[str]) -> None:
+        """Learn what is new among the parts behind a space. What starts with white space, or is empty, is no piece."""
         if len(self.known) >= self.limit:
             self.older, self.known = self.known, {}
-        known = self.known
-        first, parts[0] = parts[0], "-"
-        new = set(parts).difference(known)
-        if new:
-            if "" in new or any(p[0].isspace() for p in new):
-                return self._odd(first, parts[1:])
-            older = self.older
-            finer = {}
-            for p in new:
-                if p in older:
-                    known[p] = older[p]
-                else:
-                    finer[p] = _FINER.split(" " + p)
+        known, older = self.known, self.older
+        parts = parts.difference(known)
+        again = [p for p in parts if p in older]
+        for p in again:
+            known[p] = older[p]
+        parts.difference_update(again)
+        words = [p for p in parts if p.isalpha()]
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            known.update(zip(part, self._together([" " + p for p in part]), strict=True))
+        finer = {p: _FINER.split(" " + p) for p in parts if p and not p.isalpha() and not p[0].isspace()}
+        if finer:
             self._learn([x for cut in finer.values() for x in cut])
             exact = self.exact
             for p, cut in finer.items():
                 known[p] = b"".join([exact[x] for x in cut])
-        ids = [known[p] for p in parts]
-        ids[0] = self._whole([first])[0]
-        return b"".join(ids)
 
-    def _odd(self, first: str, parts: list[str]) -> bytes:
+    def _odd(self, first: str, *parts: str) -> bytes:
         """A text with white space behind a space: a part is cut off only where a non-space follows the space."""
         out = [first]
         for p in parts:
