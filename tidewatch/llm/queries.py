@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_file
+from . import packing, pii, quality, token_file
 from .tokens import tokenizer_path
 
 
@@ -14,6 +14,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.withColumn("held_out", quality.held_out(scored.doc_id)).select("doc_id", "held_out", "score", "predicted")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.digest(pii.detect(docs, pii.train(docs)))
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_file(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
@@ -24,6 +36,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_quality": op6_quality,
+        "op7_pii": op7_pii,
         "op8_token_file": op8_token_file,
         "op10_packing": op10_packing,
     }
