@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, pii, quality, token_file
+from . import chat, decontam, line_dedup, ngram_join, packing, pii, quality, token_file
 from .tokens import tokenizer_path
 
 
@@ -14,6 +14,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(_table(spark, sf_dir, "documents"))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = [(-7, 0, "user", chat.TRICKY), (-7, 1, "assistant", chat.TRICKY)]
+    rows = rows.union(spark.createDataFrame(added, rows.schema))
+    return chat.digest(chat.format_chat(chat.canonical(rows)))
+
+
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return line_dedup.digest(docs, line_dedup.dedup_lines(docs))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -36,6 +56,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
+        "op2_chat": op2_chat,
+        "op3_decontam": op3_decontam,
+        "op4_line_dedup": op4_line_dedup,
         "op6_quality": op6_quality,
         "op7_pii": op7_pii,
         "op8_token_file": op8_token_file,
@@ -44,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat": chat.ORACLE_SQL, "op4_line_dedup": line_dedup.ORACLE_SQL}
