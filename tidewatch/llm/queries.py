@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, line_dedup, ngram_join, packing, pii, quality, token_file
+from . import chat, decontam, embed_dedup, line_dedup, ngram_join, packing, pii, quality, token_file
 from .tokens import tokenizer_path
 
 
@@ -50,6 +50,10 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_file(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
 
 
+def op9_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, ids=False)
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_pii": op7_pii,
         "op8_token_file": op8_token_file,
+        "op9_embed_dedup": op9_embed_dedup,
         "op10_packing": op10_packing,
     }
 
