@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, embed_dedup, line_dedup, ngram_join, packing, pii, quality, token_file
+from . import chat, decontam, embed_dedup, line_dedup, ngram_join, packing, pii, quality, substring, token_file
 from .tokens import tokenizer_path
 
 
@@ -34,6 +34,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(docs, line_dedup.dedup_lines(docs))
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.cut_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat": op2_chat,
         "op3_decontam": op3_decontam,
         "op4_line_dedup": op4_line_dedup,
+        "op5_substring": op5_substring,
         "op6_quality": op6_quality,
         "op7_pii": op7_pii,
         "op8_token_file": op8_token_file,
