@@ -94,14 +94,37 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n and a 128-bit digest of every document's set."""
+    """doc_id, n, a 128-bit digest and a sketch of every document's set: how many of its hashes lie in each part of the domain."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for own, sets in _of_batches(batches):
             d = np.array([_digest(s) for s in sets], np.uint64).reshape(len(sets), 2)
-            yield pa.RecordBatch.from_arrays([longs(own), longs(np.array([len(s) for s in sets])), longs(d[:, 0].copy()), longs(d[:, 1].copy())], ["doc_id", "n", "d1", "d2"])
+            k = pa.array([_sketch(s) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([longs(own), longs(np.array([len(s) for s in sets])), longs(d[:, 0].copy()), longs(d[:, 1].copy()), k], ["doc_id", "n", "d1", "d2", "k"])
 
-    return docs.mapInArrow(measured, "doc_id bigint, n bigint, d1 bigint, d2 bigint")
+    return docs.mapInArrow(measured, "doc_id bigint, n bigint, d1 bigint, d2 bigint, k binary")
+
+
+def _sketch(s: np.ndarray) -> bytes:
+    """Counts by part, as bytes; empty where one does not fit."""
+    counts = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def _possible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """The pairs that the sketches allow: no more can be common than the smaller counts of each part."""
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*[batch.column(i).to_pylist() for i in range(2, 6)], strict=True):
+                most = int(np.minimum(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).sum(dtype=np.int64)) if x and y else min(n, m)
+                keep.append(100 * most >= PERCENT * (n + m - most))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    left = facts.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("k").alias("x"))
+    right = facts.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("k").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(allowed, "a bigint, b bigint")
 
 
 def _groups(docs: DataFrame) -> DataFrame:
@@ -188,13 +211,12 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     stand = small(same)
     group = group.join(stand, group.doc_id == stand.a, "left").select("g", F.coalesce("b", "doc_id").alias("doc_id"), "n").distinct()
     group = materialize(group)
-    wanted = materialize(group.select("doc_id").distinct())
+    stands = materialize(facts.join(small(group.select("doc_id").distinct()), "doc_id", "left_semi").select("doc_id", "n", "k").dropDuplicates(["doc_id"]))
 
     def bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for who, sets in _of_batches(batches):
             yield pa.RecordBatch.from_arrays([longs(who), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "s"])
 
-    sets = materialize(own.join(small(wanted), "doc_id", "left_semi").mapInArrow(bare, "doc_id bigint, s binary").dropDuplicates(["doc_id"]))
     links = same.limit(0)
     tested = None
     label = None
@@ -216,7 +238,10 @@ def ngram_join(docs: DataFrame) -> DataFrame:
             if not members.where(F.col("size") > 2 * many).limit(1).count():
                 break
             continue
-        links = materialize(links.union(_linked(pairs, sets)))
+        likely = materialize(_possible(pairs, stands))
+        wanted = materialize(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        sets = materialize(own.join(small(wanted), "doc_id", "left_semi").mapInArrow(bare, "doc_id bigint, s binary"))
+        links = materialize(links.union(_linked(likely, sets)).distinct())
         tested = pairs if tested is None else materialize(tested.union(pairs))
         label = components(links)
     else:
