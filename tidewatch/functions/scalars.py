@@ -39,7 +39,7 @@ def bucket_label(ts: Column) -> Column:
 
 def row_time(end: Column) -> Column:
     """A window's last millisecond, from its end in epoch seconds."""
-    return F.timestamp_millis(end * 1000 - 1)
+    return F.timestamp_millis(end.cast("long") * 1000 - 1)
 
 
 def upper(text: Column) -> Column:

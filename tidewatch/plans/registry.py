@@ -106,8 +106,12 @@ def _put(name: str, query: Query, sql: str) -> None:
     _ALL[name] = (query, _BASE + sql)
 
 
-_ok = approved(F.col("CREDIT_CODE"))
-_secs = F.unix_seconds("et")
+def _ok():
+    return approved(F.col("CREDIT_CODE"))
+
+def _secs():
+    return F.unix_seconds("et")
+
 
 
 def _one(a: DataFrame, r: DataFrame) -> DataFrame:
@@ -126,12 +130,14 @@ _put("running_product_rates_integer", lambda a, r, x: monitor.running_product_ra
      _RUNNING + " SELECT BUSINESS_TYPE_CD, (ACC_C_CT // APP_C_CT)::DOUBLE AS PR_CT, (AF_ACC_C_CT // APP_C_CT)::DOUBLE AS AF_PR_CT FROM ra JOIN rr USING (BUSINESS_TYPE_CD)")
 _put("running_time_guarded", lambda a, r, x: joins.join_running(monitor.running_applies(a).withColumn("a_et", F.timestamp_millis("ts")), monitor.running_results(r).withColumn("r_et", F.timestamp_millis("r_ts")), KEY, ("a_et", "r_et", 3600)).select(KEY, "ts", "r_ts", "APP_C_CT", "ACC_C_CT"),
      _RUNNING + " SELECT BUSINESS_TYPE_CD, ts, r_ts, APP_C_CT, ACC_C_CT FROM ra JOIN rr USING (BUSINESS_TYPE_CD) WHERE abs(ts // 1000 - r_ts // 1000) <= 3600")
-_put("running_per_event", lambda a, r, x: monitor.running_events(a, r).select(KEY, _secs.alias("es"), "seq", *monitor.TOTALS), _EVENTS + f" SELECT BUSINESS_TYPE_CD, es, seq, {_T} FROM ue")
-_put("approved_customers", lambda a, r, x: r.groupBy(KEY).agg(distinct_if(F.col("CUST_ID"), _ok).alias("n"), avg_if(F.col("CREDIT_SCORE_1"), _ok).isNotNull().alias("known")), " SELECT BUSINESS_TYPE_CD, count(DISTINCT CUST_ID) FILTER (ok) AS n, true AS known FROM r GROUP BY 1")
-_risky = _ok & (F.coalesce("CREDIT_SCORE_1", F.lit(0.0)).cast("int") < 220) & (F.coalesce("CREDIT_LIMIT", F.lit(0.0)) > 40000)
-_put("risky_customer_rate", lambda a, r, x: r.groupBy(KEY).agg(F.round(ratio(distinct_if(F.col("CUST_ID"), _risky), distinct_if(F.col("CUST_ID"), _ok)), 6).alias("rate")),
+_put("running_per_event", lambda a, r, x: monitor.running_events(a, r).select(KEY, _secs().alias("es"), "seq", *monitor.TOTALS), _EVENTS + f" SELECT BUSINESS_TYPE_CD, es, seq, {_T} FROM ue")
+_put("approved_customers", lambda a, r, x: r.groupBy(KEY).agg(distinct_if(F.col("CUST_ID"), _ok()).alias("n"), avg_if(F.col("CREDIT_SCORE_1"), _ok()).isNotNull().alias("known")), " SELECT BUSINESS_TYPE_CD, count(DISTINCT CUST_ID) FILTER (ok) AS n, true AS known FROM r GROUP BY 1")
+def _risky():
+    return _ok() & (F.coalesce("CREDIT_SCORE_1", F.lit(0.0)).cast("int") < 220) & (F.coalesce("CREDIT_LIMIT", F.lit(0.0)) > 40000)
+
+_put("risky_customer_rate", lambda a, r, x: r.groupBy(KEY).agg(F.round(ratio(distinct_if(F.col("CUST_ID"), _risky()), distinct_if(F.col("CUST_ID"), _ok())), 6).alias("rate")),
      " SELECT BUSINESS_TYPE_CD, round(CASE WHEN count(DISTINCT CUST_ID) FILTER (ok) = 0 THEN -999.0 ELSE count(DISTINCT CUST_ID) FILTER (ok AND trunc(CREDIT_SCORE_1) < 220 AND CREDIT_LIMIT > 40000)::DOUBLE / count(DISTINCT CUST_ID) FILTER (ok) END, 6) AS rate FROM r GROUP BY 1")
-_put("conditional_avg", lambda a, r, x: r.groupBy(KEY).agg(F.round(avg_if(F.col("CREDIT_SCORE_1"), _ok), 6).alias("mean"), count_where(_ok).alias("n")), " SELECT BUSINESS_TYPE_CD, round(avg(CREDIT_SCORE_1) FILTER (ok), 6) AS mean, count(*) FILTER (ok) AS n FROM r GROUP BY 1")
+_put("conditional_avg", lambda a, r, x: r.groupBy(KEY).agg(F.round(avg_if(F.col("CREDIT_SCORE_1"), _ok()), 6).alias("mean"), count_where(_ok()).alias("n")), " SELECT BUSINESS_TYPE_CD, round(avg(CREDIT_SCORE_1) FILTER (ok), 6) AS mean, count(*) FILTER (ok) AS n FROM r GROUP BY 1")
 _put("hop_result_profile", lambda a, r, x: aggregates.hop(r, [KEY], SLIDE, {"H": 3600}, {"cs": F.col("CREDIT_SCORE_1"), "lim": F.col("CREDIT_LIMIT")}).select(KEY, "w_end", F.col("n_H").alias("n"), F.round(F.col("cs_H") / F.col("n_H"), 6).alias("cs"), F.round(F.col("lim_H") / F.col("n_H"), 6).alias("lim")),
      _POP + " SELECT BUSINESS_TYPE_CD, w_end, return_num AS n, round(cs, 6) AS cs, round(lim, 6) AS lim FROM hr")
 _put("hop_apply_named", lambda a, r, x: aggregates.hop(a, [KEY, "BUSINESS_TYPE_NAME"], SLIDE, {"H": 3600}, {}), _POP + " SELECT BUSINESS_TYPE_CD, 'name ' || BUSINESS_TYPE_CD AS BUSINESS_TYPE_NAME, w_end, apply_num AS n_H FROM ha")
@@ -145,7 +151,7 @@ _put("product_monitor", lambda a, r, x: monitor.product_monitor(a, r, SLIDE), _w
 _put("product_monitor_exact", lambda a, r, x: monitor.product_monitor(a.where(f"{KEY} = 'P3'"), r.where(f"{KEY} = 'P3'"), SLIDE, "previous"), _windows(_SIZES) + _EVENTS + f" {_PM} WHERE w_end = es // {SLIDE} * {SLIDE} AND BUSINESS_TYPE_CD = 'P3'")
 _NEXT = f" SELECT BUSINESS_TYPE_CD, es, seq, APP_C_CT, APP_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {SLIDE} * {SLIDE}"
 for _which, _add in (("next", f" + {SLIDE}"), ("previous", "")):
-    _put(f"running_with_{'prev' if _which == 'previous' else _which}_hop", lambda a, r, x, which=_which: joins.align_running(monitor.running_events(a, r), _one(a, r), KEY, SLIDE, which).select(KEY, _secs.alias("es"), "seq", "APP_C_CT", "APP_C_CT_1H"), _windows({"1H": 3600}) + _EVENTS + _NEXT + _add)
+    _put(f"running_with_{'prev' if _which == 'previous' else _which}_hop", lambda a, r, x, which=_which: joins.align_running(monitor.running_events(a, r), _one(a, r), KEY, SLIDE, which).select(KEY, _secs().alias("es"), "seq", "APP_C_CT", "APP_C_CT_1H"), _windows({"1H": 3600}) + _EVENTS + _NEXT + _add)
 _put("running_vs_hop_range", lambda a, r, x: joins.join_range(_run(a, r).withColumn("ts", F.expr("ts div 1000")), _one(a, r), KEY, 22, 3601).select(KEY, "ts", "w_end", "APP_C_CT", "APP_C_CT_1H"),
      _RUNNING + _windows({"1H": 3600}) + " SELECT BUSINESS_TYPE_CD, ts // 1000 AS ts, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD) WHERE ts // 1000 BETWEEN w_end - 22 AND w_end + 3601")
 _put("running_vs_hop_key", lambda a, r, x: _run(a, r).join(_one(a, r), KEY).select(KEY, "w_end", "APP_C_CT", "APP_C_CT_1H"), _RUNNING + _windows({"1H": 3600}) + " SELECT BUSINESS_TYPE_CD, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD)")
@@ -159,10 +165,12 @@ _put("lag_fill_first", lambda a, r, x: over.lag_rows(r, [KEY], ["et", "seq"], "C
      " SELECT seq, round(CASE WHEN row_number() OVER q <= 3 THEN first(CREDIT_SCORE_1) OVER q ELSE lag(CREDIT_SCORE_1, 3) OVER q END, 6) AS before FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
 _put("lag_types", lambda a, r, x: over.lag_rows(over.lag_rows(r.withColumn("d", F.col("APPLY_SCORE").cast("decimal(20,6)")), [KEY], ["et", "seq"], "d", 1, 0, "ld"), [KEY], ["et", "seq"], "CREDIT_CODE", 2, "-", "lc").select("seq", F.col("ld").cast("double").alias("ld"), "lc"),
      " SELECT seq, coalesce(lag(APPLY_SCORE, 1) OVER q, 0)::DOUBLE AS ld, coalesce(lag(CASE WHEN ok THEN '0' ELSE '1' END, 2) OVER q, '-') AS lc FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
-_cum = Window.partitionBy(KEY).orderBy("et", "seq").rowsBetween(Window.unboundedPreceding, 0)
-_put("cumulative_over", lambda a, r, x: r.select("seq", F.count("*").over(_cum).alias("n"), F.sum("APPLY_SCORE").over(_cum).alias("s"), F.max("APPLY_SCORE").over(_cum).alias("m")),
+def _cum():
+    return Window.partitionBy(KEY).orderBy("et", "seq").rowsBetween(Window.unboundedPreceding, 0)
+
+_put("cumulative_over", lambda a, r, x: r.select("seq", F.count("*").over(_cum()).alias("n"), F.sum("APPLY_SCORE").over(_cum()).alias("s"), F.max("APPLY_SCORE").over(_cum()).alias("m")),
      " SELECT seq, count(*) OVER q AS n, (sum(APPLY_SCORE) OVER q)::BIGINT AS s, max(APPLY_SCORE) OVER q AS m FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING)")
-_put("latest_per_bucket", lambda a, r, x: over.latest_per(a.withColumn("b", F.floor(_secs / SLIDE)), [KEY, "b"], [F.desc("et"), F.desc("seq")]).select(KEY, "b", "seq"), f" SELECT BUSINESS_TYPE_CD, es // {SLIDE} AS b, seq FROM a QUALIFY row_number() OVER (PARTITION BY BUSINESS_TYPE_CD, es // {SLIDE} ORDER BY es DESC, seq DESC) = 1")
+_put("latest_per_bucket", lambda a, r, x: over.latest_per(a.withColumn("b", F.floor(_secs() / SLIDE)), [KEY, "b"], [F.desc("et"), F.desc("seq")]).select(KEY, "b", "seq"), f" SELECT BUSINESS_TYPE_CD, es // {SLIDE} AS b, seq FROM a QUALIFY row_number() OVER (PARTITION BY BUSINESS_TYPE_CD, es // {SLIDE} ORDER BY es DESC, seq DESC) = 1")
 _LABEL = "strftime(make_timestamp(es * 1000000), '%Y-%m-%d %H:%M:%S')[:18] || '0'"
 _put("bucket_snapshot", lambda a, r, x: aggregates.bucket_max(monitor.running_events(a, r), [KEY], bucket_label(F.col("et")), ["APP_C_CT", "ACC_C_CT"]), _EVENTS + f" SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(APP_C_CT) AS APP_C_CT, max(ACC_C_CT) AS ACC_C_CT FROM ue GROUP BY 1, 2")
 _put("bucket_join", lambda a, r, x: aggregates.bucket_max(a, [KEY], bucket_label(F.col("et")), ["seq"]).join(aggregates.bucket_max(r.withColumn("rs", F.col("seq")), [KEY], bucket_label(F.col("et")), ["rs"]), [KEY, "time_str"]),
