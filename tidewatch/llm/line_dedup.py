@@ -62,8 +62,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     so none is emptied. Rows without an id stay as they are; rows that repeat an id lose the boilerplate of any of them.
     """
     marked = materialize(_marked(docs, site, min_sites, near))
-    marked = small(marked, 50_000)  # each row holds the few lines of one document
-    joined = docs.join(marked, F.col("doc_id").cast("long") == F.col("__id"), "left")
+    joined = docs.join(marked.hint("merge"), F.col("doc_id").cast("long") == F.col("__id"), "left")
     cleaned = F.when(F.col("__bad").isNull(), F.col("text")).otherwise(F.array_join(_kept(F.col("text"), F.col("__bad")), "\n"))
     return joined.select(*[cleaned.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
