@@ -40,7 +40,7 @@ def encoder(path: str) -> Encoder:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes. Two generations of at most `limit` pieces are remembered."""
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = 450_000) -> None:
         self.path, self.limit = path, limit
         self.known: dict[str, bytes] = {}  # by the part behind a space
         self.older: dict[str, bytes] = {}
@@ -52,14 +52,23 @@ class Encoder:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.starts[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.worded = bool(self.ends.any())
+        line = [] if self.worded else self._ids("\n")
+        self.line = line[0] if len(line) == 1 else -1
 
     def _ids(self, text: str) -> list[int]:
         return _tokenizer(self.path).encode(text, add_special_tokens=False).ids
 
     def _together(self, part: list[str]) -> list[bytes]:
         """The ids of plain pieces, encoded side by side in one text."""
-        ids = np.array(self._ids("".join(part) if part[0][:1] == " " else " ".join(part)), "<u4")
-        if self.worded:
+        spaced = part[0][:1] == " "
+        ids = np.array(self._ids("".join(part) if spaced else (" " if self.worded else "\n").join(part)), "<u4")
+        if not spaced and not self.worded:
+            ends = np.flatnonzero(ids == self.line)
+            raw, cuts = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
+            if len(cuts) == len(part) + 1:
+                return [raw[4 * a + 4 : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            cuts = []
+        elif self.worded:
             cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
         else:
             cuts = [*np.flatnonzero(self.starts[ids]).tolist(), len(ids)]
@@ -72,10 +81,14 @@ class Encoder:
         """Put the ids of these pieces into `exact`; those that can stand side by side are encoded together."""
         if len(self.exact) > 2 * self.limit:
             self.exact = {}
-        exact = self.exact
+        exact, known = self.exact, self.known
         new = [p for p in dict.fromkeys(wanted) if p not in exact]
+        for p in new:
+            if p[:1] == " " and p[1:] in known:
+                exact[p] = known[p[1:]]
+        new = [p for p in new if p not in exact]
         plain = [p for p in new if _PLAIN.fullmatch(p)]
-        for spaced in (True, False) if self.worded else (True,):
+        for spaced in (True, False) if self.worded or self.line >= 0 else (True,):
             own = [p for p in plain if (p[0] == " ") == spaced]
             for at in range(0, len(own), 2000):
                 part = own[at : at + 2000]
