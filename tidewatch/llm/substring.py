@@ -5,9 +5,10 @@ passages are dealt to shards instead. A window of 13 words has a minimizer, the
 windows have equal minimizers. Only runs of windows whose minimizer stands in several documents are candidates. Each goes to the
 shard of its minimizer; there a suffix automaton of the distinct candidates is built, each state knowing the first document that
 holds it, and every candidate is streamed through it: where the matching statistic reaches the threshold and the first
-document is an earlier one, the words are covered. Maximal spans of covered words are removed.
+document is an earlier one, the words are covered. Maximal spans of covered words are removed. Of documents with equal texts the
+first alone takes part; the others are covered whole.
 
-Words are compared by 64-bit hashes.
+Candidates are chosen by hashes; the automata compare the words themselves.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
-from .words import WordHash, grams, ids, longs, mix, texts
+from .shared import materialize, small
+from .words import WordHash, grams, ids, longs, texts
 
 WINDOW, RUN = 13, 6
 #: A minimizer of more candidates than this is dealt out by whole windows, so that a very common passage does not meet in one shard.
-HOT = 500
+HOT = 5000
 #: The spans are broadcast to the documents only if they were found to hold no more bytes and rows than this.
+_END = 2**31 - 1
 SPAN_BYTES, SPAN_ROWS = 16_000_000, 200_000
 
 
@@ -158,17 +160,18 @@ def _covered(docs: DataFrame, candidates: DataFrame) -> DataFrame:
             out: list[list] = [[], [], [], [], []]
             runs = batch.column(2)
             for k, (doc_id, t) in enumerate(zip(ids(batch).tolist(), texts(batch), strict=True)):
-                h = words.of(t.split())
+                cut = t.split()
+                h = words.of(cut)
                 g, whole = grams(h, RUN), grams(h, WINDOW)
+                least = np.lib.stride_tricks.sliding_window_view(g, WINDOW - RUN + 1).min(axis=1).tolist() if len(whole) else []
                 c = runs[k].values
                 for start, n, hot in zip(*[c.field(i).to_pylist() for i in range(3)], strict=True):
                     if start + n > len(whole):
                         continue  # of another row with this id
                     for a, b in [(i, 1) for i in range(start, start + n)] if hot else [(start, n)]:
-                        key = int(whole[a]) if hot else int(g[a : a + WINDOW - RUN + 1].min())
-                        part = h[a : a + b + WINDOW - 1]
-                        digest = int(mix(whole[a : a + 1] ^ np.uint64(b))[0]) if b == 1 else int(grams(part, len(part))[0])
-                        for x, v in zip(out, (key, digest, doc_id, a, None if digest in seen else part.tobytes()), strict=True):
+                        key = int(whole[a]) if hot else least[a]
+                        digest = hash((int(whole[a]), int(whole[a + b - 1]), b)) & (2**64 - 1)  # of numbers: alike on every machine
+                        for x, v in zip(out, (key, digest, doc_id, a, None if digest in seen else b" ".join(cut[a : a + b + WINDOW - 1])), strict=True):
                             x.append(v)
                         seen.add(digest)
                 if len(out[0]) >= 50_000:
@@ -201,7 +204,8 @@ def _covered(docs: DataFrame, candidates: DataFrame) -> DataFrame:
                 group.setdefault(int(digest[i]), []).append(i)
             if len(group) == 1 and doc[own[0]] == doc[own[-1]]:
                 continue
-            content = {d: next(np.frombuffer(w.as_py(), np.uint64).tolist() for w in (words[i] for i in rows_) if w.is_valid) for d, rows_ in group.items()}
+            number: dict[bytes, int] = {}
+            content = {d: [number.setdefault(x, len(number)) for x in next(w.as_py() for w in (words[i] for i in rows_) if w.is_valid).split()] for d, rows_ in group.items()}
             least = {d: int(doc[rows_].min()) for d, rows_ in group.items()}
             automaton = Automaton()
             for d in sorted(group, key=least.__getitem__):
@@ -239,7 +243,11 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     loses what is covered in any of them, so ids should be unique.
     """
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    found = _covered(own, _candidates(own)).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "stop")).alias("c"))
+    hashed = materialize(own.where("text is not null").select("doc_id", F.sha2("text", 256).alias("h")))
+    first = hashed.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = materialize(hashed.join(first, "h").where("doc_id > first").select(F.col("doc_id").alias("id")).distinct())
+    alone = own.join(small(copies), F.col("doc_id") == F.col("id"), "left_anti")
+    found = _covered(alone, _candidates(alone)).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "stop")).alias("c"))
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +261,9 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
                 out.append(np.stack([edges[begin, 0], reach[np.append(begin[1:], len(edges)) - 1]], axis=1).astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "spans"])
 
-    spans = materialize(found.mapInArrow(merged, "id bigint, spans binary"))
+    whole = np.array([0, _END], "<i4").tobytes()
+    spans = found.mapInArrow(merged, "id bigint, spans binary").unionByName(copies.select("id", F.lit(whole).alias("spans")))
+    spans = materialize(spans.groupBy("id").agg(F.max("spans").alias("spans")))
     size = spans.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("spans")), F.lit(0)).alias("b")).first()
     if size["n"] <= SPAN_ROWS and size["b"] <= SPAN_BYTES:
         spans = F.broadcast(spans)
@@ -264,7 +274,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             for t, raw in zip(texts(batch), batch.column(2).to_pylist(), strict=True):
                 words = t.split()
                 n.append(len(words))
-                if raw:
+                if raw and len(words) >= WINDOW:
                     at, keep = 0, []
                     for a, b in np.frombuffer(raw, "<i4").reshape(-1, 2).tolist():
                         keep += words[at:a]
