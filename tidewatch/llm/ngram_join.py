@@ -223,11 +223,13 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     for r in range(40):
         now = group if label is None else group.join(label, group.doc_id == label.id, "left").select("g", "doc_id", "n", "component")
         now = now.withColumn("c", F.coalesce("component", "doc_id") if label is not None else F.col("doc_id"))
-        open_ = now.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("g", "size")
-        members = materialize(now.join(open_, "g").select("g", "doc_id", "n", "c", "size"))
-        # pivots: a share of each group that grows each round until it is all of it
-        many = PIVOTS * 6**r
-        pivots = members.where((F.col("size") <= 2 * many) | (F.pmod(F.xxhash64("doc_id"), F.col("size")) < many))
+        open_ = now.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size"), F.min(F.xxhash64("doc_id")).alias("lead"))
+        open_ = open_.where("lo < hi").select("g", "size", "lead")
+        members = materialize(now.join(open_, "g").select("g", "doc_id", "n", "c", "size", "lead"))
+        # one pivot first, by an order of all documents, so that overlapping groups have the same; then a share that grows until it is all
+        many = PIVOTS * 6 ** (r - 1) if r else 1
+        chosen = F.pmod(F.xxhash64("doc_id"), F.col("size")) < many if r else F.xxhash64("doc_id") == F.col("lead")
+        pivots = members.where((F.col("size") <= 2 * many) | chosen)
         p = pivots.select("g", F.col("doc_id").alias("p"), F.col("n").alias("pn"), F.col("c").alias("pc"))
         near = (F.col("c") != F.col("pc")) & (100 * F.least("n", "pn") >= PERCENT * F.greatest("n", "pn"))
         pairs = members.join(p, "g").where(near).select(F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
