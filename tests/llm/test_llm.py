@@ -145,6 +145,16 @@ def test_line_dedup(spark, odd):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_boilerplate_heavy_documents(spark):
+    rows = [(k, f"the line that all of these many sites show\nown {k}") for k in range(line_dedup.MIN_SITES)]
+    rows += [(50, "the line that all of these many sites show\n \n"), (51, "\n \n"), (52, "mine")]
+    docs = make(spark, rows, [f"s{k}" for k in range(len(rows))])
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {**{k: f"own {k}" for k in range(line_dedup.MIN_SITES)}, **dict(rows[-3:])}
+    held = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, most_removed=line_dedup.MOST_REMOVED).collect()}
+    assert held == dict(rows)
+
+
 def test_substring(spark, odd):
     own = [x for x in odd if x[0] is not None]
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.digest(substring.cut_repeats(make(spark, odd))).collect()}
