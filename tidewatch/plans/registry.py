@@ -13,6 +13,8 @@ from tidewatch.plans import monitor
 from tidewatch.sources import credit
 
 KEY, SLIDE = monitor.KEY, 600
+#: The slide of combain.sql; every sliding-window query is registered with it too, under its name with _10s.
+REFERENCE_SLIDE = 10
 _SIZES = {"1H": 3600, "2H": 7200, "6H": 21600}
 
 _BASE = """WITH e AS (SELECT *, epoch_us(ts) // 1000 AS ms, json_extract_string(props, '$.k')::INT AS k FROM events),
@@ -37,11 +39,11 @@ _RUNNING = f""", ra AS (SELECT BUSINESS_TYPE_CD, count(*) AS APP_C_CT, max(APPLY
 rr AS (SELECT BUSINESS_TYPE_CD, {_TOTALS}, count(*) FILTER (BLACK_LIST = 1) AS AF_ACC_C_CT, avg(CREDIT_SCORE_1) AS cs, avg(APPLY_SCORE) AS ps, max(CREDIT_TIME) AS r_ts FROM r GROUP BY 1)"""
 
 
-def _dealt(table: str, name: str, size: int) -> str:
-    return f"{name} AS (SELECT *, es // {SLIDE} * {SLIDE} AS pane, unnest(range(es // {SLIDE} * {SLIDE} + {SLIDE}, es // {SLIDE} * {SLIDE} + {size} + 1, {SLIDE})) AS w_end FROM {table})"
+def _dealt(table: str, name: str, size: int, slide: int) -> str:
+    return f"{name} AS (SELECT *, es // {slide} * {slide} AS pane, unnest(range(es // {slide} * {slide} + {slide}, es // {slide} * {slide} + {size} + 1, {slide})) AS w_end FROM {table})"
 
 
-def _windows(sizes: dict[str, int]) -> str:
+def _windows(sizes: dict[str, int], slide: int) -> str:
     most = max(sizes.values())
     least = min(sizes, key=sizes.__getitem__)
     wa = ", ".join(f"count(*) FILTER (w_end <= pane + {n}) AS APP_C_CT_{s}" for s, n in sizes.items())
@@ -59,7 +61,7 @@ def _windows(sizes: dict[str, int]) -> str:
         cols += [f"{n}_{s}" for n in ("APP_C_CT", "ACC_C_CT", "ACC_C_CCT", "APP_C_WL_CCT", "ACC_C_WL_CCT", "APP_C_UWL_CCT", "ACC_C_UWL_CCT", "AF_ACC_C_CT")]
         pairs = {"PR_CT": ("ACC_C_CT", "APP_C_CT"), "AVG_AC_CCT": ("ACC_C_CCT", "APP_C_CT"), "PR_WL_CCT": ("ACC_C_WL_CCT", "APP_C_WL_CCT"), "PR_UWL_CCT": ("ACC_C_UWL_CCT", "APP_C_UWL_CCT"), "AF_PR_CT": ("AF_ACC_C_CT", "APP_C_CT"), "AVG_ACC_CCSCT": ("CS", "ACC_C_CT"), "AVG_ACC_PCSCT": ("PS", "ACC_C_CT"), "RATE_OC": ("OC", "ACC_C_CCT")}
         cols += [_rate(f"{a}_{s}", f"{b}_{s}", f"{n}_{s}") for n, (a, b) in pairs.items()]
-    return f""", {_dealt("a", "da", most)}, {_dealt("r", "dr", most)},
+    return f""", {_dealt("a", "da", most, slide)}, {_dealt("r", "dr", most, slide)},
 ha AS (SELECT BUSINESS_TYPE_CD, w_end, {wa} FROM da GROUP BY 1, 2),
 hr AS (SELECT BUSINESS_TYPE_CD, w_end, {", ".join(wr)} FROM dr GROUP BY 1, 2),
 w AS (SELECT BUSINESS_TYPE_CD, w_end, {", ".join(cols)} FROM ha JOIN hr USING (BUSINESS_TYPE_CD, w_end) WHERE APP_C_CT_{least} > 0 AND n_{least} > 0)"""
@@ -92,11 +94,13 @@ def _velocity(days: tuple[int, ...]) -> str:
     return f"{_BASE} SELECT APP_NO, CERT_NO, {', '.join(out)} FROM l"
 
 
-_POP = f""", {_dealt("a", "da", 3600)}, {_dealt("r", "dr", 3600)},
+def _pop(slide: int) -> str:
+    return f""", {_dealt("a", "da", 3600, slide)}, {_dealt("r", "dr", 3600, slide)},
 ha AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS apply_num FROM da GROUP BY 1, 2),
 hr AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS return_num, count(*) FILTER (ok) AS success_num, avg(CREDIT_SCORE_1) AS cs, avg(CREDIT_LIMIT) AS lim FROM dr GROUP BY 1, 2),
-la AS (SELECT *, coalesce(lag(apply_num, 1) OVER q, 0) AS last_num, coalesce(lag(apply_num, {86400 // SLIDE}) OVER q, 0) AS last_24_num FROM ha WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end)),
-lr AS (SELECT *, coalesce(lag(success_num, 1) OVER q, 0) AS r_last, coalesce(lag(success_num, {86400 // SLIDE}) OVER q, 0) AS r_last_24 FROM hr WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end))"""
+la AS (SELECT *, coalesce(lag(apply_num, 1) OVER q, 0) AS last_num, coalesce(lag(apply_num, {86400 // slide}) OVER q, 0) AS last_24_num FROM ha WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end)),
+lr AS (SELECT *, coalesce(lag(success_num, 1) OVER q, 0) AS r_last, coalesce(lag(success_num, {86400 // slide}) OVER q, 0) AS r_last_24 FROM hr WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end))"""
+
 
 Query = Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
 _ALL: dict[str, tuple[Query, str]] = {}
@@ -114,8 +118,8 @@ def _secs():
 
 
 
-def _one(a: DataFrame, r: DataFrame) -> DataFrame:
-    return monitor.windowed(a, r, SLIDE, {"1H": 3600})
+def _one(a: DataFrame, r: DataFrame, slide: int) -> DataFrame:
+    return monitor.windowed(a, r, slide, {"1H": 3600})
 
 
 def _run(a: DataFrame, r: DataFrame) -> DataFrame:
@@ -138,29 +142,35 @@ def _risky():
 _put("risky_customer_rate", lambda a, r, x: r.groupBy(KEY).agg(F.round(ratio(distinct_if(F.col("CUST_ID"), _risky()), distinct_if(F.col("CUST_ID"), _ok())), 6).alias("rate")),
      " SELECT BUSINESS_TYPE_CD, round(CASE WHEN count(DISTINCT CUST_ID) FILTER (ok) = 0 THEN -999.0 ELSE count(DISTINCT CUST_ID) FILTER (ok AND trunc(CREDIT_SCORE_1) < 220 AND CREDIT_LIMIT > 40000)::DOUBLE / count(DISTINCT CUST_ID) FILTER (ok) END, 6) AS rate FROM r GROUP BY 1")
 _put("conditional_avg", lambda a, r, x: r.groupBy(KEY).agg(F.round(avg_if(F.col("CREDIT_SCORE_1"), _ok()), 6).alias("mean"), count_where(_ok()).alias("n")), " SELECT BUSINESS_TYPE_CD, round(avg(CREDIT_SCORE_1) FILTER (ok), 6) AS mean, count(*) FILTER (ok) AS n FROM r GROUP BY 1")
-_put("hop_result_profile", lambda a, r, x: aggregates.hop(r, [KEY], SLIDE, {"H": 3600}, {"cs": F.col("CREDIT_SCORE_1"), "lim": F.col("CREDIT_LIMIT")}).select(KEY, "w_end", F.col("n_H").alias("n"), F.round(F.col("cs_H") / F.col("n_H"), 6).alias("cs"), F.round(F.col("lim_H") / F.col("n_H"), 6).alias("lim")),
-     _POP + " SELECT BUSINESS_TYPE_CD, w_end, return_num AS n, round(cs, 6) AS cs, round(lim, 6) AS lim FROM hr")
-_put("hop_apply_named", lambda a, r, x: aggregates.hop(a, [KEY, "BUSINESS_TYPE_NAME"], SLIDE, {"H": 3600}, {}), _POP + " SELECT BUSINESS_TYPE_CD, 'name ' || BUSINESS_TYPE_CD AS BUSINESS_TYPE_NAME, w_end, apply_num AS n_H FROM ha")
-_put("hop_result_1h", lambda a, r, x: _one(a, r).select(KEY, "w_end", "AVG_ACC_CCSCT_1H", "AVG_ACC_PCSCT_1H", "RATE_OC_1H", "ACC_C_CCT_1H"), _windows({"1H": 3600}) + " SELECT BUSINESS_TYPE_CD, w_end, AVG_ACC_CCSCT_1H, AVG_ACC_PCSCT_1H, RATE_OC_1H, ACC_C_CCT_1H FROM w")
-_put("hop_1h_joined", lambda a, r, x: _one(a, r), _windows({"1H": 3600}) + f" SELECT BUSINESS_TYPE_CD, w_end, {', '.join(n + '_1H' for n in monitor.WINDOWED)} FROM w")
-_put("multi_hop", lambda a, r, x: monitor.apply_windows(a, SLIDE, _SIZES), _windows(_SIZES) + " SELECT BUSINESS_TYPE_CD, w_end, APP_C_CT_1H AS n_1H, APP_C_CT_2H AS n_2H, APP_C_CT_6H AS n_6H FROM ha")
-_put("product_monitor_windowed", lambda a, r, x: monitor.windowed(a, r, SLIDE, _SIZES), _windows(_SIZES) + f" SELECT BUSINESS_TYPE_CD, w_end, {_W} FROM w")
-_put("multi_hop_joined", lambda a, r, x: monitor.windowed(a, r, SLIDE, _SIZES).select(KEY, "w_end", "PR_CT_1H", "PR_CT_2H", "PR_CT_6H"), _windows(_SIZES) + " SELECT BUSINESS_TYPE_CD, w_end, PR_CT_1H, PR_CT_2H, PR_CT_6H FROM w")
-_PM = f"SELECT BUSINESS_TYPE_CD, CASE WHEN BUSINESS_TYPE_CD = 'P0' THEN 'product zero' END AS BUSINESS_TYPE_NAME, es AS DT, seq, {_T}, {_W} FROM ue JOIN w USING (BUSINESS_TYPE_CD)"
-_put("product_monitor", lambda a, r, x: monitor.product_monitor(a, r, SLIDE), _windows(_SIZES) + _EVENTS + f" {_PM} WHERE w_end = es // {SLIDE} * {SLIDE} + {SLIDE}")
-_put("product_monitor_exact", lambda a, r, x: monitor.product_monitor(a.where(f"{KEY} = 'P3'"), r.where(f"{KEY} = 'P3'"), SLIDE, "previous"), _windows(_SIZES) + _EVENTS + f" {_PM} WHERE w_end = es // {SLIDE} * {SLIDE} AND BUSINESS_TYPE_CD = 'P3'")
-_NEXT = f" SELECT BUSINESS_TYPE_CD, es, seq, APP_C_CT, APP_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {SLIDE} * {SLIDE}"
-for _which, _add in (("next", f" + {SLIDE}"), ("previous", "")):
-    _put(f"running_with_{'prev' if _which == 'previous' else _which}_hop", lambda a, r, x, which=_which: joins.align_running(monitor.running_events(a, r), _one(a, r), KEY, SLIDE, which).select(KEY, _secs().alias("es"), "seq", "APP_C_CT", "APP_C_CT_1H"), _windows({"1H": 3600}) + _EVENTS + _NEXT + _add)
-_put("running_vs_hop_range", lambda a, r, x: joins.join_range(_run(a, r).withColumn("ts", F.expr("ts div 1000")), _one(a, r), KEY, 22, 3601).select(KEY, "ts", "w_end", "APP_C_CT", "APP_C_CT_1H"),
-     _RUNNING + _windows({"1H": 3600}) + " SELECT BUSINESS_TYPE_CD, ts // 1000 AS ts, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD) WHERE ts // 1000 BETWEEN w_end - 22 AND w_end + 3601")
-_put("running_vs_hop_key", lambda a, r, x: _run(a, r).join(_one(a, r), KEY).select(KEY, "w_end", "APP_C_CT", "APP_C_CT_1H"), _RUNNING + _windows({"1H": 3600}) + " SELECT BUSINESS_TYPE_CD, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD)")
-_put("two_stream_demo", lambda a, r, x: monitor.two_stream_demo(a, r, SLIDE), _windows({"1H": 3600}) + _EVENTS + f" SELECT BUSINESS_TYPE_CD, es AS DT, seq, APP_C_CT, ACC_C_CT, APP_C_CT_1H, ACC_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {SLIDE} * {SLIDE}")
-_rank = lambda t, b, c: f"round(CASE WHEN apply_num = 0 OR {b} <= 0 OR {c} <= 0 THEN -999.0 ELSE (success_num / apply_num) / ({b} / {c}) END, 6) AS {t}"
-_put("period_over_period", lambda a, r, x: monitor.period_over_period(a, r, SLIDE),
-     _POP + f" SELECT BUSINESS_TYPE_CD AS P_ID, w_end AS DT, w_end % 86400 // 3600 AS CH, apply_num AS APP_C_PH, return_num AS R_C_PH, success_num AS ACC_C_PH, {_rate('apply_num', 'last_num', 'APP_P_H')}, {_rate('apply_num', 'last_24_num', 'APP_P_D')}, {_rate('success_num', 'apply_num', 'PR')}, {_rank('PR_P_H', 'r_last', 'last_num')}, {_rank('PR_P_D', 'r_last_24', 'last_24_num')}, round(cs, 6) AS AVG_CS_1, round(lim, 6) AS AVG_LIMIT FROM la JOIN lr USING (BUSINESS_TYPE_CD, w_end)")
-_put("lag_previous", lambda a, r, x: monitor.hop_apply_series(a, SLIDE, 3600, 144).select(KEY, "w_end", "last_num"), _POP + " SELECT BUSINESS_TYPE_CD, w_end, last_num FROM la")
-_put("lag_day", lambda a, r, x: monitor.hop_apply_series(a, SLIDE, 3600, 144).select(KEY, "w_end", "last_24_num"), _POP + " SELECT BUSINESS_TYPE_CD, w_end, last_24_num FROM la")
+def _sliding(slide: int, suffix: str) -> None:
+    """The sliding-window queries with this slide, over all events."""
+    _put(f"hop_result_profile{suffix}", lambda a, r, x: aggregates.hop(r, [KEY], slide, {"H": 3600}, {"cs": F.col("CREDIT_SCORE_1"), "lim": F.col("CREDIT_LIMIT")}).select(KEY, "w_end", F.col("n_H").alias("n"), F.round(F.col("cs_H") / F.col("n_H"), 6).alias("cs"), F.round(F.col("lim_H") / F.col("n_H"), 6).alias("lim")),
+         _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, return_num AS n, round(cs, 6) AS cs, round(lim, 6) AS lim FROM hr")
+    _put(f"hop_apply_named{suffix}", lambda a, r, x: aggregates.hop(a, [KEY, "BUSINESS_TYPE_NAME"], slide, {"H": 3600}, {}), _pop(slide) + " SELECT BUSINESS_TYPE_CD, 'name ' || BUSINESS_TYPE_CD AS BUSINESS_TYPE_NAME, w_end, apply_num AS n_H FROM ha")
+    _put(f"hop_result_1h{suffix}", lambda a, r, x: _one(a, r, slide).select(KEY, "w_end", "AVG_ACC_CCSCT_1H", "AVG_ACC_PCSCT_1H", "RATE_OC_1H", "ACC_C_CCT_1H"), _windows({"1H": 3600}, slide) + " SELECT BUSINESS_TYPE_CD, w_end, AVG_ACC_CCSCT_1H, AVG_ACC_PCSCT_1H, RATE_OC_1H, ACC_C_CCT_1H FROM w")
+    _put(f"hop_1h_joined{suffix}", lambda a, r, x: _one(a, r, slide), _windows({"1H": 3600}, slide) + f" SELECT BUSINESS_TYPE_CD, w_end, {', '.join(n + '_1H' for n in monitor.WINDOWED)} FROM w")
+    _put(f"multi_hop{suffix}", lambda a, r, x: monitor.apply_windows(a, slide, _SIZES), _windows(_SIZES, slide) + " SELECT BUSINESS_TYPE_CD, w_end, APP_C_CT_1H AS n_1H, APP_C_CT_2H AS n_2H, APP_C_CT_6H AS n_6H FROM ha")
+    _put(f"product_monitor_windowed{suffix}", lambda a, r, x: monitor.windowed(a, r, slide, _SIZES), _windows(_SIZES, slide) + f" SELECT BUSINESS_TYPE_CD, w_end, {_W} FROM w")
+    _put(f"multi_hop_joined{suffix}", lambda a, r, x: monitor.windowed(a, r, slide, _SIZES).select(KEY, "w_end", "PR_CT_1H", "PR_CT_2H", "PR_CT_6H"), _windows(_SIZES, slide) + " SELECT BUSINESS_TYPE_CD, w_end, PR_CT_1H, PR_CT_2H, PR_CT_6H FROM w")
+    pm = f"SELECT BUSINESS_TYPE_CD, CASE WHEN BUSINESS_TYPE_CD = 'P0' THEN 'product zero' END AS BUSINESS_TYPE_NAME, es AS DT, seq, {_T}, {_W} FROM ue JOIN w USING (BUSINESS_TYPE_CD)"
+    _put(f"product_monitor{suffix}", lambda a, r, x: monitor.product_monitor(a, r, slide), _windows(_SIZES, slide) + _EVENTS + f" {pm} WHERE w_end = es // {slide} * {slide} + {slide}")
+    _put(f"product_monitor_exact{suffix}", lambda a, r, x: monitor.product_monitor(a.where(f"{KEY} = 'P3'"), r.where(f"{KEY} = 'P3'"), slide, "previous"), _windows(_SIZES, slide) + _EVENTS + f" {pm} WHERE w_end = es // {slide} * {slide} AND BUSINESS_TYPE_CD = 'P3'")
+    nxt = f" SELECT BUSINESS_TYPE_CD, es, seq, APP_C_CT, APP_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {slide} * {slide}"
+    for which, add in (("next", f" + {slide}"), ("previous", "")):
+        _put(f"running_with_{'prev' if which == 'previous' else which}_hop{suffix}", lambda a, r, x, which=which: joins.align_running(monitor.running_events(a, r), _one(a, r, slide), KEY, slide, which).select(KEY, _secs().alias("es"), "seq", "APP_C_CT", "APP_C_CT_1H"), _windows({"1H": 3600}, slide) + _EVENTS + nxt + add)
+    _put(f"running_vs_hop_range{suffix}", lambda a, r, x: joins.join_range(_run(a, r).withColumn("ts", F.expr("ts div 1000")), _one(a, r, slide), KEY, 22, 3601).select(KEY, "ts", "w_end", "APP_C_CT", "APP_C_CT_1H"),
+         _RUNNING + _windows({"1H": 3600}, slide) + " SELECT BUSINESS_TYPE_CD, ts // 1000 AS ts, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD) WHERE ts // 1000 BETWEEN w_end - 22 AND w_end + 3601")
+    _put(f"running_vs_hop_key{suffix}", lambda a, r, x: _run(a, r).join(_one(a, r, slide), KEY).select(KEY, "w_end", "APP_C_CT", "APP_C_CT_1H"), _RUNNING + _windows({"1H": 3600}, slide) + " SELECT BUSINESS_TYPE_CD, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD)")
+    _put(f"two_stream_demo{suffix}", lambda a, r, x: monitor.two_stream_demo(a, r, slide), _windows({"1H": 3600}, slide) + _EVENTS + f" SELECT BUSINESS_TYPE_CD, es AS DT, seq, APP_C_CT, ACC_C_CT, APP_C_CT_1H, ACC_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {slide} * {slide}")
+    rank = lambda t, b, c: f"round(CASE WHEN apply_num = 0 OR {b} <= 0 OR {c} <= 0 THEN -999.0 ELSE (success_num / apply_num) / ({b} / {c}) END, 6) AS {t}"
+    _put(f"period_over_period{suffix}", lambda a, r, x: monitor.period_over_period(a, r, slide),
+         _pop(slide) + f" SELECT BUSINESS_TYPE_CD AS P_ID, w_end AS DT, w_end % 86400 // 3600 AS CH, apply_num AS APP_C_PH, return_num AS R_C_PH, success_num AS ACC_C_PH, {_rate('apply_num', 'last_num', 'APP_P_H')}, {_rate('apply_num', 'last_24_num', 'APP_P_D')}, {_rate('success_num', 'apply_num', 'PR')}, {rank('PR_P_H', 'r_last', 'last_num')}, {rank('PR_P_D', 'r_last_24', 'last_24_num')}, round(cs, 6) AS AVG_CS_1, round(lim, 6) AS AVG_LIMIT FROM la JOIN lr USING (BUSINESS_TYPE_CD, w_end)")
+    _put(f"lag_previous{suffix}", lambda a, r, x: monitor.hop_apply_series(a, slide, 3600, 86_400 // slide).select(KEY, "w_end", "last_num"), _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, last_num FROM la")
+    _put(f"lag_day{suffix}", lambda a, r, x: monitor.hop_apply_series(a, slide, 3600, 86_400 // slide).select(KEY, "w_end", "last_24_num"), _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, last_24_num FROM la")
+
+
+_sliding(SLIDE, "")
+_sliding(REFERENCE_SLIDE, "_10s")
 _put("lag_fill_first", lambda a, r, x: over.lag_rows(r, [KEY], ["et", "seq"], "CREDIT_SCORE_1", 3, name="before").select("seq", F.round("before", 6).alias("before")),
      " SELECT seq, round(CASE WHEN row_number() OVER q <= 3 THEN first(CREDIT_SCORE_1) OVER q ELSE lag(CREDIT_SCORE_1, 3) OVER q END, 6) AS before FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
 _put("lag_types", lambda a, r, x: over.lag_rows(over.lag_rows(r.withColumn("d", F.col("APPLY_SCORE").cast("decimal(20,6)")), [KEY], ["et", "seq"], "d", 1, 0, "ld"), [KEY], ["et", "seq"], "CREDIT_CODE", 2, "-", "lc").select("seq", F.col("ld").cast("double").alias("ld"), "lc"),
