@@ -129,6 +129,49 @@ def test_decontamination(spark, odd):
     assert decontam.leaks(make(spark, docs[:0]), bench).count() == 0 and decontam.leaks(make(spark, docs), bench.limit(0)).count() == 0
 
 
+def plain_leaks(docs, items):
+    """Every window start of every document against every item."""
+    shingles = lambda t: [tuple(w[k : k + 5]) for w in [t.lower().split()] for k in range(max(1, len(w) - 4))]
+    out = {}
+    for d, text in docs:
+        s = shingles(text)
+        for i, item in items:
+            t = shingles(item)
+            c = Counter(t)
+            at = []
+            for k in range(len(s)):
+                w = s[k : k + len(t)]
+                common = sum((Counter(w) & c).values())
+                if common >= 0.8 * (len(w) + len(t) - common):
+                    at.append((k, common / (len(w) + len(t) - common)))
+            if at:
+                n, end, words = 0, 0, len(t) + 4
+                for k, _ in at:
+                    n, end = (n + 1, k + words) if k >= end else (n, end)
+                first = min((-x, k) for k, x in at if k < at[0][0] + words)[1]
+                out[d, i] = (n, first, round(max(x for _, x in at), 9))
+    return out
+
+
+def test_decontamination_of_reordered_items(spark):
+    r = random.Random(8)
+    words = lambda n, pre="": [pre + "".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    items = [(k, words(n)) for k, n in enumerate((9, 44, 60, 90, 140))] + [(5, ["x"] * 30 + words(16))]
+    docs = []
+    for i, w in items:
+        cut, end = len(w) // 2, len(w) // 3
+        swapped, thirds = w[cut:] + w[:cut], w[2 * end :] + w[end : 2 * end] + w[:end]
+        near = [*w[:cut], "other", *w[cut + 1 :]]
+        for k, held in enumerate((w, swapped, thirds, near, w + w, swapped + words(3) + swapped, w[: -len(w) // 10], w[:cut], w[::-1])):
+            docs += [(100 * i + 10 * k, words(25) + held + words(30)), (100 * i + 10 * k + 1, held), (100 * i + 10 * k + 2, words(7) + held)]
+    docs.append((990, ["x"] * 200))
+    docs, items = ([(i, " ".join(w)) for i, w in rows] for rows in (docs, items))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(q.doc_id, q.item_id): (q.n_windows, q.first_word, round(q.similarity, 9)) for q in decontam.leaks(make(spark, docs), bench).collect()}
+    want = plain_leaks(docs, items)
+    assert got == want and {(310, 3), (311, 3), (410, 4), (420, 4)} <= set(got)
+
+
 def test_line_dedup(spark, odd):
     rows, sources = list(odd), ["a"] * len(odd)
     for k in range(12):

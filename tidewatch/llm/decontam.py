@@ -1,7 +1,7 @@
 """Benchmark decontamination: windows of a benchmark item's size in documents, fingerprinted and compared with the items.
 
-A window is looked at where a five-word shingle of it stands as it does in some item (any other has no shingle in common with an
-item at that alignment). Windows and items get 64-bit SimHash fingerprints of their weighted shingles. Fingerprints are cut into eight blocks of eight
+A window of an item's length is looked at wherever it holds as many of the item's five-word shingles, in any order, as the similarity needs at
+least; so is a window in which a shingle stands as it does in some item, as such a window may be similar to an item of another length. Windows and items get 64-bit SimHash fingerprints of their weighted shingles. Fingerprints are cut into eight blocks of eight
 bits; two that differ in at most 23 bits differ in at most two bits within some block, so items enter an index under every value within two bits of each of
 their blocks, and a window finds all items within the radius by equality. The weighted Jaccard similarity of the shingles then decides exactly.
 
@@ -35,13 +35,19 @@ def _shingles(words: Column) -> Column:
 def _simhash(shingles: Column) -> Column:
     """64-bit SimHash of a list of shingles, each as often as it occurs."""
 
-    def bit(k: int) -> Column:
-        votes = F.aggregate(shingles, F.lit(0), lambda a, s: a + (F.shiftright(s, k).bitwiseAND(F.lit(1)) * 2 - 1).cast("int"))
-        return F.when(votes > 0, F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long"))
+    # three bits at a time, each counted in 21 bits of a long
+    spread, lanes = 1 | 1 << 20 | 1 << 40, 1 | 1 << 21 | 1 << 42
 
-    out = bit(0)
-    for k in range(1, 64):
-        out = out.bitwiseOR(bit(k))
+    def votes(k: int) -> Column:
+        three = lambda s: F.shiftrightunsigned(s, k).bitwiseAND(F.lit(7))
+        return F.aggregate(shingles, F.lit(0).cast("long"), lambda a, s: a + (three(s) * F.lit(spread)).bitwiseAND(F.lit(lanes)))
+
+    out = F.lit(0).cast("long")
+    for k in range(0, 64, 3):
+        ones = votes(k)
+        for j in range(min(3, 64 - k)):
+            more = F.shiftrightunsigned(ones, 21 * j).bitwiseAND(F.lit((1 << 21) - 1)) * 2 > F.size(shingles)
+            out = out.bitwiseOR(F.when(more, F.shiftleft(F.lit(1).cast("long"), k + j)).otherwise(F.lit(0).cast("long")))
     return out
 
 
@@ -62,9 +68,40 @@ def _counts(s: Column) -> Column:
     return F.map_from_arrays(d, F.transform(d, lambda x: F.size(F.filter(s, lambda y: y == x))))
 
 
+def _common(w: Column, t: Column) -> Column:
+    """The sum of the smaller counts of the values of two lists."""
+    cw, ct = _counts(w), _counts(t)
+    least = F.aggregate(F.map_keys(cw), F.lit(0), lambda a, x: a + F.least(F.element_at(cw, x), F.coalesce(F.try_element_at(ct, x), F.lit(0))))
+    once = (F.size(F.array_distinct(w)) == F.size(w)) | (F.size(F.array_distinct(t)) == F.size(t))
+    return F.when(once, F.size(F.array_intersect(w, t))).otherwise(least)
+
+
+def _starts(similarity: float) -> Column:
+    """Where a window of n shingles may be similar to an item: p has the sorted places of the item's shingles in a document of len shingles.
+
+    A full window needs 2 * similarity / (1 + similarity) * n of them, one that the document's end cuts off similarity * n.
+    """
+    p, n, size = F.col("p"), F.col("n"), F.size("p")
+    need = F.greatest(F.ceil(n * (2 * similarity / (1 + similarity)) - 1e-9).cast("int"), F.lit(1))
+    short = F.greatest(F.ceil(n * similarity - 1e-9).cast("int"), F.lit(1))
+    none = F.array().cast("array<int>")
+
+    def between(lo: Column, hi: Column) -> Column:
+        return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none)
+
+    full = F.transform(
+        F.sequence(F.lit(0), size - need),
+        lambda i: between(F.greatest(F.get(p, i + need - 1) - n + 1, F.lit(0)), F.least(F.get(p, i), F.col("len") - n)),
+    )
+    full = F.when(size >= need, F.flatten(full)).otherwise(none)
+    cut = F.when(size >= short, between(F.greatest(F.col("len") - n + 1, F.lit(0)), F.get(p, size - short))).otherwise(none)
+    return F.array_distinct(F.concat(full, cut))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, n_windows, first_word, similarity: the items that stand in a document, and how well the best window fits.
 
+    n_windows is the number of similar windows that do not overlap, from the left; first_word is where the best window of the first place starts.
     A shingle's weight is how often it occurs in the text; similarity is the sum of the smaller weights over the sum of the larger. Words
     are lower-cased. Items of fewer than five words are not looked for (a few words are no leak); null and empty texts hold nothing; rows without
     an id are left out. Windows that repeat within or across documents are compared once.
@@ -72,17 +109,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     items = materialize(items_of(benchmark))
     own = items.select("item_id", "n", F.posexplode("s").alias("off", "h"))
     anchors = materialize(own.select("h", F.col("off").cast("int"), "n").distinct())
-    found = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), _words(F.col("text")).alias("w"))
+    held_by = materialize(own.select("h", "item_id", "n").distinct())
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = texts.select("doc_id", _words(F.col("text")).alias("w"))
     found = found.select("doc_id", _shingles(F.col("w")).alias("s"))  # of a column: an expression would be worked out for each word
-    # outer: else the optimizer filters on the whole expression first. The documents' shingles meet the items': only those in common go on, with the window that each implies
-    at = found.select("doc_id", F.posexplode_outer("s").alias("pos", "h")).join(small(anchors), "h")
-    starts = at.select("doc_id", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n").groupBy("doc_id", "start", "n").agg(F.lit(1).alias("one"))
+    # outer: else the optimizer filters on the whole expression first. The documents' shingles meet the items': only those in common go on
+    at = found.select("doc_id", F.size("s").alias("len"), F.posexplode_outer("s").alias("pos", "h"))
+    at = materialize(at.join(small(materialize(held_by.select("h").distinct())), "h", "left_semi"))
+    placed = at.join(small(anchors), "h").select("doc_id", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n")
+    places = at.join(small(held_by), "h").groupBy("doc_id", "len", "item_id", "n").agg(F.sort_array(F.collect_list("pos")).alias("p"))
+    any_order = places.select("doc_id", F.explode(_starts(similarity)).alias("start"), "n")
+    starts = placed.union(any_order).groupBy("doc_id", "start", "n").agg(F.lit(1).alias("one"))
     wanted = materialize(starts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("at")))
-    held = found.join(small(wanted, 200_000), "doc_id")
+    held = texts.join(small(wanted, 200_000), "doc_id").select("doc_id", "at", _words(F.col("text")).alias("w"))
+    held = held.select("doc_id", "at", _shingles(F.col("w")).alias("s"))
     windows = held.select("doc_id", F.explode("at").alias("a"), "s").select("doc_id", "a.start", "a.n", F.slice("s", F.col("a.start") + 1, F.col("a.n")).alias("w"))
     windows = materialize(windows.where("size(w) > 0").select("doc_id", "start", "n", "w", F.xxhash64("n", "w").alias("k")))
     distinct = materialize(windows.groupBy("k").agg(F.first("w").alias("w")))
-    prints = materialize(distinct.select("k", _simhash(F.col("w")).alias("f")))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prints = materialize(distinct.repartition(parts, "k").select("k", _simhash(F.col("w")).alias("f")))
 
     near = F.array([F.lit(x) for x in range(256) if bin(x).count("1") <= radius // BLOCKS])
     index = items.select("item_id", F.col("f").alias("g"), F.col("s").alias("t"), F.posexplode(F.array(*[_block(F.col("f"), k) for k in range(BLOCKS)])).alias("b", "v"))
@@ -91,12 +136,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     pairs = probe.join(small(materialize(index)), ["b", "v"]).where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
     pairs = pairs.select("k", "item_id").distinct()
     both = pairs.join(distinct, "k").join(items.select("item_id", F.col("s").alias("t")), "item_id")
-    both = both.withColumn("cw", _counts(F.col("w"))).withColumn("ct", _counts(F.col("t")))
-    common = F.aggregate(F.map_keys("cw"), F.lit(0), lambda a, x: a + F.least(F.element_at("cw", x), F.coalesce(F.try_element_at("ct", x), F.lit(0))))
-    both = both.select("k", "item_id", common.alias("c"), F.size("w").alias("nw"), F.size("t").alias("nt"))
-    both = both.select("k", "item_id", (F.col("c") / (F.col("nw") + F.col("nt") - F.col("c"))).alias("similarity")).where(F.col("similarity") >= similarity)
+    both = both.select("k", "item_id", _common(F.col("w"), F.col("t")).alias("c"), F.size("w").alias("nw"), F.size("t").alias("nt"))
+    both = both.select("k", "item_id", "nt", (F.col("c") / (F.col("nw") + F.col("nt") - F.col("c"))).alias("similarity")).where(F.col("similarity") >= similarity)
     hits = windows.select("doc_id", "start", "k").join(materialize(both), "k")
-    return hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"), F.min("start").cast("long").alias("first_word"), F.max("similarity").alias("similarity"))
+    hits = hits.groupBy("doc_id", "item_id", "nt").agg(F.sort_array(F.collect_set(F.struct(F.col("start").cast("long").alias("start"), "similarity"))).alias("at"))
+    words = F.col("nt") + (N - 1)
+    none = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
+    apart = F.aggregate("at", none, lambda a, x: F.when(x.start >= a.end, F.struct((x.start + words).alias("end"), (a.n + 1).alias("n"))).otherwise(a))
+    first = F.filter("at", lambda x: x.start < F.get("at", F.lit(0)).start + words)
+    best = F.array_min(F.transform(first, lambda x: F.struct((-x.similarity).alias("least"), x.start.alias("start"))))
+    return hits.select("doc_id", "item_id", apart.n.alias("n_windows"), best.start.alias("first_word"), F.array_max("at.similarity").alias("similarity"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
