@@ -8,7 +8,7 @@ in which no more parts than can be spared have an empty choice leaves its empty
 
 One pass makes each document's set, its signatures and a sketch of it (how many hashes lie in each slice of the domain). Signatures travel as
 sorted runs, four bytes each. Documents that share one form a group, and each distinct group is looked at once: the sketches bound the
-similarity from above, and only a forest of the pairs that may link is kept. Its trees are clusters: any link lies within one. Each
+similarity from above, and only who is connected by pairs that may link is kept. Any link lies within such a cluster. Each
 document of a cluster travels to it once, as a set, and the cluster's exact components are found there, through the postings of its shingles. Groups
 and clusters that are too large for one task are cut into blocks. Equal sets are one class and are compared once.
 """
@@ -345,7 +345,10 @@ class _Forest:
 
 
 def _possible(members: DataFrame) -> DataFrame:
-    """a, b: a forest of the pairs of classes that may link, for each partition; whoever may link in a group is connected by it."""
+    """a, b: who is connected, through pairs of classes that may link, to which least class, for each partition.
+
+    A star for each tree: trees that overlap in several partitions mostly have one least member, and so the same rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, rows, number, rep, n, raw = [], [], {}, [], [], []
@@ -367,11 +370,11 @@ def _possible(members: DataFrame) -> DataFrame:
         first: dict[int, int] = {}
         for k, r in enumerate(rep):  # rows of one class
             forest.join(first.setdefault(r, k), k)
-        edges: list[tuple[int, int]] = []
+        touched: set[int] = set()
 
         def link(i: int, j: int) -> None:
             if forest.join(i, j):
-                edges.append((rep[i], rep[j]))
+                touched.update((i, j))
 
         order = np.argsort(key, kind="stable")
         key, row = key[order], row[order]
@@ -413,9 +416,13 @@ def _possible(members: DataFrame) -> DataFrame:
                     if len(left) and hit.any():
                         root = np.array([forest.root(i) for i in left.tolist()])
                     reached = forest.root(d)
-        if edges:
-            a, b = np.array(edges, np.int64).T
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        if touched:
+            root = np.array([forest.root(i) for i in range(len(rep))])
+            least = np.full(len(rep), np.iinfo(np.int64).max)
+            np.minimum.at(least, root, rep_of)
+            own = np.array(sorted(touched))
+            a, b = rep_of[own], least[root[own]]
+            yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
 
     return members.repartition("key").mapInArrow(run, "a bigint, b bigint")
 
@@ -536,7 +543,7 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     rows = materialize(rows)
     groups = table.where("kind = 2").dropDuplicates(["a", "b", "n", "x"])
     members = _members(groups.select("a", "x", "y", "z")).join(rows, "row").select("key", "row", "rep", "n", "k")
-    clusters = components(materialize(_possible(members)))
+    clusters = components(materialize(_possible(members).distinct()))
     sizes = rows.groupBy(F.col("doc_id").alias("id")).agg(F.sum("n").alias("n"), F.count("*").alias("times"))
     label, final = _labels(own, clusters, sizes.select("id", "n"))
     if not final or sizes.where("times > 1").limit(1).count():
