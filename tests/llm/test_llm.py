@@ -253,8 +253,9 @@ def test_line_dedup_of_boilerplate_heavy_documents(spark):
     docs = make(spark, rows, [f"s{k}" for k in range(len(rows))])
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
     assert got == {**{k: f"own {k}" for k in range(line_dedup.MIN_SITES)}, **dict(rows[-3:])}
-    held = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, most_removed=line_dedup.MOST_REMOVED).collect()}
-    assert held == dict(rows)
+    clash = docs.withColumn("__id", F.lit("x")).withColumn("__bad", F.lit(1)).withColumn("h", F.lit(2))
+    out = line_dedup.dedup_lines(clash)
+    assert out.columns == clash.columns and {r.doc_id: r.text for r in out.collect()} == got
 
 
 def test_substring(spark, odd):
@@ -335,9 +336,10 @@ def test_network_gradient():
 
 def test_tokens_and_files(spark, odd):
     r = random.Random(1)
-    texts = ["".join(r.choice(" \n\t aBé1'!ś\x1c\x85🙂.,|") for _ in range(r.randint(0, 40))) for _ in range(1500)] + [t or "" for _, t in odd] + ["<|endoftext|> x"]
+    texts = ["".join(r.choice(" \n\t aBé1'!ś\x1c\x85🙂.,|") for _ in range(r.randint(0, 40))) for _ in range(1500)] + [t or "" for _, t in odd] + ["<|endoftext|> x", "a <|endoftext|> b  <|endoftext|>", "x </s> y <unk>", "<pad>"]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         path = tokenizer_path(name)
+        texts += [f"a {t.content}b {t.content}" for t in _tokenizer(path).get_added_tokens_decoder().values()][:5]
         for t, raw in zip(texts, Encoder(path, limit=300).encode_all(texts), strict=True):
             assert np.frombuffer(raw, "<u4").tolist() == _tokenizer(path).encode(t, add_special_tokens=False).ids, ascii(t)
     path = tokenizer_path("byte_bpe_50k.json")

@@ -14,8 +14,6 @@ from .shared import materialize, small
 MIN_SITES = 8
 #: The estimate decides where it is further from the threshold than this share of it (about ten standard errors).
 NEAR = 0.2
-#: The bound that ORACLE_SQL of op4_line_dedup holds: there a document that would lose more than this share of its characters stays whole.
-MOST_REMOVED = 0.5
 LG_K = 12
 
 
@@ -47,31 +45,28 @@ def _marked(docs: DataFrame, site: str, min_sites: int, near: float) -> DataFram
     return own.join(bad, "h", "left_semi").groupBy("__id").agg(F.collect_set("h").alias("__bad"))
 
 
-def _kept(text: Column, bad: Column, most_removed: float | None) -> Column:
-    """The lines that stay: all, where nothing but blank lines or (with a bound) too small a share of the characters would be left."""
+def _kept(text: Column, bad: Column) -> Column:
+    """The lines that stay: all, where nothing but blank lines would be left."""
     lines = _lines(text)
     good = F.filter(lines, lambda x: ~F.array_contains(bad, _key(x)))
-    if most_removed is None:
-        return F.when(F.exists(good, lambda x: F.trim(x) != ""), good).otherwise(lines)
-    whole = F.char_length(text)
-    return F.when(F.char_length(F.array_join(good, "\n")) >= whole * (1 - most_removed), good).otherwise(lines)
+    return F.when(F.exists(good, lambda x: F.trim(x) != ""), good).otherwise(lines)
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, near: float = NEAR, most_removed: float | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, near: float = NEAR) -> DataFrame:
     """The documents without boilerplate lines, columns as they came.
 
-    A null text stays null, an empty one empty; a document in which every non-blank line is boilerplate is a copy as a whole and stays
-    as it is, so none is emptied. With `most_removed` so does one that would lose more than this share of its characters.
-    Rows without an id stay as they are; rows that repeat an id lose the boilerplate of any of them.
+    A null text stays null, an empty one empty. A document in which every non-blank line is boilerplate is a copy as a whole and stays as it
+    is, so none is emptied; which copy is kept is for a stage on near duplicates to say. A line is spread or not, so there are no ties. Rows without
+    an id stay as they are; rows that repeat an id lose the boilerplate of any of them. Very long texts are cut as any other.
     """
-    marked = materialize(_marked(docs, site, min_sites, near))
-    joined = docs.join(marked.hint("merge"), F.col("doc_id").cast("long") == F.col("__id"), "left")
-    cleaned = F.when(F.col("__bad").isNull(), F.col("text")).otherwise(F.array_join(_kept(F.col("text"), F.col("__bad"), most_removed), "\n"))
-    return joined.select(*[cleaned.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    marked = materialize(_marked(docs, site, min_sites, near)).hint("merge")
+    joined = docs.join(marked, docs["doc_id"].cast("long") == marked["__id"], "left")
+    cleaned = F.when(marked["__bad"].isNull(), docs["text"]).otherwise(F.array_join(_kept(docs["text"], marked["__bad"]), "\n"))
+    return joined.select(*[cleaned.alias(c) if c == "text" else docs[f"`{c}`"] for c in docs.columns])
 
 
-def digest(docs: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_removed and a digest of the text that stays, of every document."""
+def digest(cleaned: DataFrame) -> DataFrame:
+    """doc_id, n_kept (lines that stay) and a digest of the text that stays, of every document."""
     n = lambda c: F.size(_lines(F.col(c))).cast("long")
     return cleaned.select(
         "doc_id", n("text").alias("n_kept"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
@@ -79,27 +74,6 @@ def digest(docs: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 
 ORACLE_SQL = f"""
-WITH lines AS (
-  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents
-), bad AS (
-  SELECT line FROM lines WHERE trim(line, ' ') <> '' AND source IS NOT NULL
-  GROUP BY line HAVING count(DISTINCT source) >= {MIN_SITES}
-), kept AS (
-  SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS text
-  FROM lines WHERE line NOT IN (SELECT line FROM bad) GROUP BY doc_id
-), judged AS (
-  SELECT d.doc_id,
-         length(coalesce(k.text, '')) >= length(d.text) * {1 - MOST_REMOVED} AS take, k.n, k.text AS short, coalesce(d.text, '') AS long
-  FROM documents d LEFT JOIN kept k USING (doc_id)
-)
-SELECT doc_id, CASE WHEN take THEN coalesce(n, 0) ELSE len(string_split(long, chr(10))) END::BIGINT AS n_kept,
-       sha256(CASE WHEN take THEN coalesce(short, '') ELSE long END) AS kept_sha256
-FROM judged
-"""
-
-WHOLE_SQL = f"""
 WITH lines AS (
   SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos

@@ -129,6 +129,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, n_open:
                     put(window)
                 if len(rows) >= 4000:
                     yield flush()
+        enc.rest()
         for window in packer.rest():
             put(window)
         if rows:

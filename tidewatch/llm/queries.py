@@ -30,13 +30,7 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return line_dedup.digest(docs, line_dedup.dedup_lines(docs, most_removed=line_dedup.MOST_REMOVED))
-
-
-def op4_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return line_dedup.digest(docs, line_dedup.dedup_lines(docs))
+    return line_dedup.digest(line_dedup.dedup_lines(_table(spark, sf_dir, "documents")))
 
 
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +67,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat": op2_chat,
         "op3_decontam": op3_decontam,
         "op4_line_dedup": op4_line_dedup,
-        "op4_line_dedup_whole": op4_line_dedup_whole,
         "op5_substring": op5_substring,
         "op6_quality": op6_quality,
         "op7_pii": op7_pii,
@@ -84,4 +77,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.ORACLE_SQL, "op4_line_dedup": line_dedup.ORACLE_SQL, "op4_line_dedup_whole": line_dedup.WHOLE_SQL}
+    return {"op2_chat": chat.ORACLE_SQL, "op4_line_dedup": line_dedup.ORACLE_SQL}

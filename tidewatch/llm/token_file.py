@@ -177,6 +177,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
                 n += len(ids) // 4
                 if n >= SEGMENT_IDS:
                     yield flush()
+        enc.rest()
         if held:
             yield flush()
 

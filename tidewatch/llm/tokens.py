@@ -21,27 +21,34 @@ _FINER = re.compile(
 _PLAIN = re.compile(rf" ?(?:[{_LETTER}]+|[.,!?;:*%$]+)")
 
 
+#: Pieces that a worker remembers in a task, twice over, and as many finer ones: about 200 bytes each. One generation outlives the task.
+LIMIT = 300_000
+
+
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    return Tokenizer.from_file(path)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """The worker's own encoder, kept between its tasks."""
     return Encoder(path)
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes. Two generations of at most `limit` pieces are remembered."""
+    """Ids of texts as little-endian unsigned 32-bit bytes. Two generations of at most `limit` pieces are remembered.
 
-    def __init__(self, path: str, limit: int = 450_000) -> None:
+    A text that holds the string of an added token (such as an end mark) is encoded as a whole: the library gives that string its own id.
+    """
+
+    def __init__(self, path: str, limit: int = LIMIT) -> None:
         self.path, self.limit = path, limit
+        added = [t.content for t in _tokenizer(path).get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.known: dict[str, bytes] = {}  # by the part behind a space
         self.older: dict[str, bytes] = {}
         self.exact: dict[str, bytes] = {}  # by the piece itself
@@ -79,7 +86,7 @@ class Encoder:
 
     def _learn(self, wanted: list[str]) -> None:
         """Put the ids of these pieces into `exact`; those that can stand side by side are encoded together."""
-        if len(self.exact) > 2 * self.limit:
+        if len(self.exact) > self.limit:
             self.exact = {}
         exact, known = self.exact, self.known
         new = [p for p in dict.fromkeys(wanted) if p not in exact]
@@ -97,6 +104,10 @@ class Encoder:
             if p not in exact:
                 exact[p] = np.array(self._ids(p), "<u4").tobytes()
 
+    def rest(self) -> None:
+        """Between tasks only the newest generation is kept."""
+        self.older, self.exact = {}, {}
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
@@ -109,11 +120,15 @@ class Encoder:
             while to < len(texts) and held < 1_000_000:
                 held += len(texts[to])
                 to += 1
-            cut = [t.split(" ") for t in texts[at:to]]
+            whole = [bool(self.added and self.added.search(t)) for t in texts[at:to]]
+            cut = [[""] if alone else t.split(" ") for t, alone in zip(texts[at:to], whole, strict=True)]
             first = [parts.pop(0) for parts in cut]
             self._meet(set().union(*cut))
             known = self.known
-            for text, parts, head in zip(texts[at:to], cut, self._whole(first), strict=True):
+            for text, parts, head, alone in zip(texts[at:to], cut, self._whole(first), whole, strict=True):
+                if alone:
+                    out.append(np.array(self._ids(text), "<u4").tobytes())
+                    continue
                 try:
                     out.append(head + b"".join([known[p] for p in parts]))
                 except KeyError:  # white space behind a space
