@@ -3,11 +3,12 @@
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewatch.functions.scalars import approved, avg_if, bucket_label, distinct_if, ratio, row_time, upper
-from tidewatch.operators.aggregates import hop
-from tidewatch.operators.over import lag_rows, velocity_features
+from tidewatch.functions.scalars import approved, avg_if, bucket_label, distinct_if, ratio, row_time, to_time, upper
+from tidewatch.operators.aggregates import cumulative, hop
+from tidewatch.operators.over import contact_counts, lag_rows, velocity_features
 from tidewatch.sources.credit import applies, with_event_time
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +73,44 @@ def test_null_keys_are_dropped(spark):
     df = spark.createDataFrame([(None, "a", "m", "c", "d", "x", "y", 1)], "CERT_NO string, APP_NO string, MOBILE_NUM string, COMP_NAME string, STANDARD_ADDR string, SPOUSE_CERT_NO string, SPOUSE_MOBILE_NO string, APPLY_TIME long")
     df = with_event_time(df, "APPLY_TIME", "s")
     assert velocity_features(df).count() == 0 and velocity_features(df, drop_null_keys=False).count() == 1
+
+
+def test_nobody_names_a_null_contact(spark):
+    rows = [("1", "a", "m", "c", "d", None, None, 1), (None, "b", None, "c", "d", None, None, 2), ("2", "c", "m", "c", "d", "1", "m", 3)]
+    df = spark.createDataFrame(rows, "CERT_NO string, APP_NO string, MOBILE_NUM string, COMP_NAME string, STANDARD_ADDR string, SPOUSE_CERT_NO string, SPOUSE_MOBILE_NO string, APPLY_TIME long")
+    got = contact_counts(with_event_time(df, "APPLY_TIME", "s"), "CERT_NO", "SPOUSE_CERT_NO", {"n": 7})
+    assert {(r.APP_NO, r.n) for r in got.collect()} == {("a", 0), ("b", 0), ("c", 0)}
+    later = with_event_time(df.union(spark.createDataFrame([("1", "d", "m", "c", "d", None, None, 9)], df.schema)), "APPLY_TIME", "s")
+    assert {(r.APP_NO, r.n) for r in contact_counts(later, "CERT_NO", "SPOUSE_CERT_NO", {"n": 7}).collect()} == {("a", 0), ("b", 0), ("c", 0), ("d", 1)}
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal(20,6)", "string", "boolean"])
+def test_lag_keeps_types(spark, kind):
+    df = spark.createDataFrame([(1, "1"), (2, None), (3, "0")], "i long, v string").withColumns({"k": F.lit(1), "v": F.col("v").cast(kind)})
+    out = lag_rows(df, ["k"], ["i"], "v", 1, "0", "x")
+    assert out.schema["x"].dataType == df.schema["v"].dataType
+    assert [str(r.s) for r in out.orderBy("i").select(F.col("x").cast("int" if kind != "string" else kind).cast("string").alias("s")).collect()] == ["0", "1", "0"]
+
+
+def test_running_sums_over_hours_equal_one_frame(spark):
+    df = applies(spark, SF).withColumn("v", F.when(F.col("seq") % 3 == 0, F.col("seq") % 11))
+    one = Window.partitionBy("BUSINESS_TYPE_CD").orderBy("et", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("seq", F.sum("v").over(one).alias("s"), F.max("v").over(one).alias("m"))
+    got = cumulative(df, ["BUSINESS_TYPE_CD"], ["seq"], {"s": F.col("v")}, {"m": F.col("v")}).select("seq", "s", "m")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_windows_of_null_fraction_and_repeated_values(spark):
+    rows = [(k, "p" if k % 4 else None, (k * 37) % 5000, None if k % 7 == 0 else k / 3, str(k % 6)) for k in range(300)]
+    df = spark.createDataFrame(rows, "seq long, k string, APPLY_TIME long, v double, c string")
+    df = with_event_time(df.where("k is not null"), "APPLY_TIME", "s")
+    got = hop(df, ["k"], 10, {"S": 60, "L": 1000}, {"v": F.col("v")}, {"c": F.col("c")})
+    got = {(r.w_end, r.n_S, round(r.v_S, 9), r.c_S) for r in got.where("n_S > 0").collect()}
+    w = df.groupBy(F.window("et", "60 seconds", "10 seconds").alias("w")).agg(F.count("*"), F.round(F.coalesce(F.sum("v"), F.lit(0.0)), 9), F.count_distinct("c"))
+    assert got == {(int(r[0].end.timestamp()), *r[1:]) for r in w.collect()}
+    assert hop(df.limit(0), ["k"], 10, {"S": 60}, {"v": F.col("v")}, {"c": F.col("c")}).count() == 0
+
+
+def test_times_from_text(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00.1239",), ("x",), (None,)], "t string")
+    assert [str(r[0]) for r in df.select(to_time(F.col("t"))).collect()] == ["2024-01-01 10:00:00.123000", "None", "None"]

@@ -44,3 +44,8 @@ def row_time(end: Column) -> Column:
 
 def upper(text: Column) -> Column:
     return F.upper(text)
+
+
+def to_time(text: Column) -> Column:
+    """Text as a time, cut to milliseconds; null where it is none."""
+    return F.date_trunc("millisecond", F.try_to_timestamp(text))

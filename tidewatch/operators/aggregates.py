@@ -7,33 +7,87 @@ from pyspark.sql import functions as F
 
 
 def running_totals(df: DataFrame, keys: list[str], measures: dict[str, Column], emit: str = "latest", order: list[str] | None = None) -> DataFrame:
-    """Totals over all rows of a key: the last value, or with `every` the value after each row (rows carry their columns)."""
+    """Totals over all rows of a key: the last value, or with `every` the value after each row (rows carry their columns).
+
+    For sums after each row of few keys see `cumulative`, which also deals the rows of one key out.
+    """
     if emit == "latest":
         return df.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
     w = Window.partitionBy(*keys).orderBy(*(order or ["et", "seq"])).rowsBetween(Window.unboundedPreceding, 0)
     return df.select("*", *[m.over(w).alias(n) for n, m in measures.items()])
 
 
+def cumulative(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], maxes: dict[str, Column] | None = None, seconds: int = 3600) -> DataFrame:
+    """Sums and maxima over all rows of a key up to and with each row, in order of `et` and then `order`; rows carry their columns.
+
+    Rows are dealt out by key and hour, so one key's rows don't meet in one task: the hours before count with their totals. A sum that
+    no row has contributed to yet is null.
+    """
+    maxes = maxes or {}
+    own = {f"__{n}": c for n, c in (sums | maxes).items()}
+    rows = df.withColumns(own | {"__b": F.floor(F.unix_seconds("et") / seconds)})
+    total = rows.groupBy(*keys, "__b").agg(*[F.sum(f"__{n}").alias(f"__t_{n}") for n in sums], *[F.max(f"__{n}").alias(f"__t_{n}") for n in maxes])
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    total = total.select(*keys, "__b", *[(F.sum if n in sums else F.max)(f"__t_{n}").over(before).alias(f"__p_{n}") for n in (*sums, *maxes)])
+    within = Window.partitionBy(*keys, "__b").orderBy("et", *order).rowsBetween(Window.unboundedPreceding, 0)
+
+    def out(n: str) -> Column:
+        if n in maxes:
+            return F.greatest(F.max(f"__{n}").over(within), F.col(f"__p_{n}"))
+        now = F.sum(f"__{n}").over(within)
+        return F.when(now.isNull(), F.col(f"__p_{n}")).otherwise(now + F.coalesce(F.col(f"__p_{n}"), F.lit(0)))
+
+    joined = rows.join(total, [*keys, "__b"])
+    return joined.select(*[c for c in df.columns if c not in own], *[out(n).alias(n) for n in (*sums, *maxes)])
+
+
+def _dealt(df: DataFrame, keys: list[str], leave: dict[str, Column], slide: int, values: dict[str, Column], sizes: dict[str, int]) -> DataFrame:
+    """What enters the windows behind a pane and what leaves each size: keys, at, and a column of each value for each size."""
+    events = [F.struct((F.col("pane") + slide).alias("at"), F.lit("").alias("out"))] + [F.struct((leave[s] + slide).alias("at"), F.lit(s).alias("out")) for s in sizes]
+    rows = df.withColumn("e", F.explode(F.array(*events)))
+    cols = [F.when(F.col("e.out") == "", c).when(F.col("e.out") == s, -c).alias(f"{n}_{s}") for n, c in values.items() for s in sizes]
+    return rows.select(*keys, F.col("e.at").alias("at"), *cols)
+
+
 def hop(df: DataFrame, keys: list[str], slide: int, sizes: dict[str, int], sums: dict[str, Column], sets: dict[str, Column] | None = None) -> DataFrame:
     """Sliding windows of several sizes in one row per (keys, w_end): columns n_<size>, <sum>_<size>, <set>_<size> (distinct values).
 
-    Rows are first collapsed into panes of one slide, so what is dealt out to the windows grows with the panes, not with the rows. w_end is in
-    epoch seconds. A row stands for each end at which the largest window holds something. A set counts null as one value where the
-    expression wraps it (see `keyed`).
+    Rows are first collapsed into panes of one slide. A pane is added where it enters the windows and taken off where it leaves those of each size;
+    running sums over these points, dealt out by key and day, hold until the next point. So the work is that of the panes and of the result, whatever
+    the ratio of size and slide. A value of a set enters with a pane and leaves with the size, or where it enters anew. Fractions
+    are summed as decimals (15 places), so that what was added is taken off exactly. w_end is in epoch seconds; a row stands for each end at
+    which the largest window holds something. A set counts null as one value where the expression wraps it (see `keyed`).
     """
     sets = sets or {}
-    pane = (F.floor(F.unix_seconds("et") / slide) * slide).cast("long")
-    panes = df.groupBy(*keys, pane.alias("pane")).agg(
-        F.count("*").alias("n"), *[F.sum(c).alias(n) for n, c in sums.items()], *[F.collect_set(c).alias(n) for n, c in sets.items()]
-    )
     longest = max(sizes.values())
-    dealt = panes.withColumn("w_end", F.explode(F.sequence(F.col("pane") + slide, F.col("pane") + longest, F.lit(slide).cast("long"))))
-    out = []
-    for label, size in sizes.items():
-        inside = F.col("w_end") <= F.col("pane") + size
-        out += [F.sum(F.when(inside, F.col(n)).otherwise(0)).alias(f"{n}_{label}") for n in ("n", *sums)]
-        out += [F.size(F.array_distinct(F.flatten(F.collect_list(F.when(inside, F.col(n)))))).cast("long").alias(f"{n}_{label}") for n in sets]
-    return dealt.groupBy(*keys, "w_end").agg(*out)
+    day = slide * -(-max(86_400, longest + slide) // slide)
+    pane = (F.floor(F.unix_seconds("et") / slide) * slide).cast("long").alias("pane")
+    kinds = dict(df.select(*[c.alias(n) for n, c in sums.items()]).dtypes) if sums else {}
+    exact = {n: c.cast("decimal(36,15)") if kinds[n] in ("double", "float") else c.cast("long") for n, c in sums.items()}
+    panes = df.groupBy(*keys, pane).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in exact.items()])
+    points = _dealt(panes, keys, {s: F.col("pane") + z for s, z in sizes.items()}, slide, {n: F.col(n) for n in ("n", *sums)}, sizes)
+    for name, value in sets.items():
+        held = df.select(*keys, pane, value.alias("__v")).where("__v is not null").distinct()
+        again = F.lead("pane").over(Window.partitionBy(*keys, "__v").orderBy("pane"))
+        held = held.withColumn("again", again)
+        leave = {s: F.least(F.col("pane") + z, F.coalesce("again", F.col("pane") + z)) for s, z in sizes.items()}
+        points = points.unionByName(_dealt(held, keys, leave, slide, {name: F.lit(1).cast("long")}, sizes), allowMissingColumns=True)
+    names = [f"{n}_{s}" for n in ("n", *sums, *sets) for s in sizes]
+    # each day that something may last into begins with a point of its own
+    both = points.withColumn("__at", F.explode(F.array("at", ((F.floor(F.col("at") / day) + 1) * day).cast("long"))))
+    both = both.select(*keys, F.col("__at").alias("at"), *[F.when(F.col("at") == F.col("__at"), F.col(n)).alias(n) for n in names])
+    steps = both.groupBy(*keys, F.floor(F.col("at") / day).alias("day"), "at").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    before = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    total = steps.groupBy(*keys, "day").agg(*[F.sum(n).alias(n) for n in names])
+    total = total.select(*keys, "day", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"p_{n}") for n in names])
+    w = Window.partitionBy(*keys, "day").orderBy("at")
+    until = F.coalesce(F.lead("at").over(w), (F.col("day") + 1) * day).alias("until")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    level = steps.join(total, [*keys, "day"]).select(*keys, "at", until, *[(F.sum(n).over(so_far) + F.col(f"p_{n}")).alias(n) for n in names])
+    big = max(sizes, key=sizes.__getitem__)
+    ends = F.explode(F.sequence(F.col("at"), F.col("until") - slide, F.lit(slide).cast("long"))).alias("w_end")
+    back = [F.col(f"{n}_{s}").cast("double" if kinds.get(n) in ("double", "float") else "long").alias(f"{n}_{s}") for n in ("n", *sums, *sets) for s in sizes]
+    return level.where(F.col(f"n_{big}") > 0).select(*keys, *back, ends).select(*keys, "w_end", *names)
 
 
 def keyed(value: Column, cond: Column) -> Column:

@@ -26,3 +26,9 @@ def align_running(running: DataFrame, hop: DataFrame, key: str, slide: int, whic
 def join_range(left: DataFrame, right: DataFrame, key: str, before: int, after: int) -> DataFrame:
     """Left rows whose `ts` (epoch seconds) lies within [w_end - before, w_end + after] of a right row."""
     return left.join(right, key).where((F.col("ts") >= F.col("w_end") - before) & (F.col("ts") <= F.col("w_end") + after))
+
+
+def join_bucket(left: DataFrame, right: DataFrame, keys: list[str], seconds: int = 2) -> DataFrame:
+    """Rows of one key and bucket label whose times `et` differ by no more than these seconds; `et` is the left one's."""
+    both = left.join(right.withColumnRenamed("et", "__et"), [*keys, "time_str"])
+    return both.where(F.abs(F.unix_seconds("et") - F.unix_seconds("__et")) <= seconds).drop("__et")

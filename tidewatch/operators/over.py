@@ -30,10 +30,11 @@ def trailing(df: DataFrame, keys: list[str], days: int, measures: dict[str, Colu
 def contact_counts(df: DataFrame, own: str, other: str, horizons: dict[str, int]) -> DataFrame:
     """For each row, how many rows of the last days name its `own` id as their `other` one; columns by name of horizon.
 
-    Both ids stand in one tagged union, so one window finds the counts and the rows come back without a join.
+    Both ids stand in one tagged union, so one window finds the counts and the rows come back without a join. A null id is named by nobody: its
+    rows count none, and rows that name nobody are not dealt out.
     """
     mine = df.select(F.col(own).alias("__id"), "et", F.lit(0).alias("__real"), F.struct("*").alias("__row"))
-    theirs = df.select(F.col(other).alias("__id"), "et", F.lit(1).alias("__real"), F.lit(None).cast(mine.schema["__row"].dataType).alias("__row"))
+    theirs = df.where(F.col(other).isNotNull()).select(F.col(other).alias("__id"), "et", F.lit(1).alias("__real"), F.lit(None).cast(mine.schema["__row"].dataType).alias("__row"))
     both = mine.unionByName(theirs)
     for name, days in horizons.items():
         w = Window.partitionBy("__id").orderBy(F.unix_seconds("et")).rangeBetween(-days * DAY, 0)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import approved, ratio
-from tidewatch.operators.aggregates import hop, keyed, running_totals
+from tidewatch.operators.aggregates import cumulative, hop, keyed, running_totals
 from tidewatch.operators.joins import align_running, join_hop
 from tidewatch.operators.over import lag_rows
 
@@ -54,13 +54,13 @@ def running_product_rates(applies: DataFrame, results: DataFrame, mode: str = "e
 
 
 def running_events(applies: DataFrame, results: DataFrame, mode: str = "exact") -> DataFrame:
-    """The same after every event of either stream: one tagged union, one window."""
+    """The same after every event of either stream: one tagged union, summed by hours and within them."""
     flags = result_flags(1)
     none = {n: F.lit(0).cast("long") for n in flags}
     a = applies.select(KEY, "et", "seq", F.lit(1).cast("long").alias("APP_C_CT"), F.lit(0).alias("r"), *[c.alias(n) for n, c in none.items()])
     b = results.select(KEY, "et", "seq", F.lit(0).cast("long").alias("APP_C_CT"), F.lit(1).alias("r"), *[c.alias(n) for n, c in flags.items()])
-    w = Window.partitionBy(KEY).orderBy("et", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b).select(KEY, "et", "seq", *[F.sum(n).over(w).alias(n) for n in ("APP_C_CT", "r", *flags)])
+    both = a.unionByName(b).select(KEY, "et", "seq", *[F.col(n).cast("long").alias(f"own_{n}") for n in ("APP_C_CT", "r", *flags)])
+    both = cumulative(both, [KEY], ["seq"], {n: F.col(f"own_{n}") for n in ("APP_C_CT", "r", *flags)})
     return rates(both.where("APP_C_CT > 0 and r > 0"), mode).select(KEY, "et", "seq", *TOTALS)
 
 
@@ -102,14 +102,27 @@ def windowed(applies: DataFrame, results: DataFrame, slide: int = 10, sizes: dic
     return both.select(KEY, "w_end", *[f"{n}_{s}" for n in WINDOWED for s in sizes])
 
 
-def product_monitor(applies: DataFrame, results: DataFrame, slide: int = 10, which: str = "next", mode: str = "exact", sizes: dict[str, int] = SIZES) -> DataFrame:
-    """Running totals after every event with the windows that close next (or closed last), and the product's name: 62 columns and the event."""
+def product_monitor(applies: DataFrame, results: DataFrame, slide: int = 10, which: str = "next", mode: str = "exact", sizes: dict[str, int] = SIZES, names: DataFrame | None = None) -> DataFrame:
+    """Running totals after every event with the windows that close next (or closed last), and the product's name: 62 columns and the event.
+
+    `names` (product, BUSINESS_TYPE_NAME) gives the products' names; without it the one product that is known has one.
+    """
     run = running_events(applies, results, mode)
     full = align_running(run, windowed(applies, results, slide, sizes, mode), KEY, slide, which)
-    name = F.when(F.col(KEY) == "P0", "product zero").alias("BUSINESS_TYPE_NAME")
+    if names is None:
+        name = F.when(F.col(KEY) == "P0", "product zero").alias("BUSINESS_TYPE_NAME")
+    else:
+        full, name = full.join(names.select(KEY, "BUSINESS_TYPE_NAME").dropDuplicates([KEY]), KEY, "left"), F.col("BUSINESS_TYPE_NAME")
     return full.select(KEY, name, F.unix_seconds("et").alias("DT"), "seq", *TOTALS, *[f"{n}_{s}" for n in WINDOWED for s in sizes])
 
 
+#: Means over a window's results; nulls don't count.
+AVERAGES = {
+    "AVG_CS_1": "CREDIT_SCORE_1", "AVG_CS_2": "CREDIT_SCORE_2", "AVG_CS_3": "CREDIT_SCORE_3", "AVG_AFS_1": "ANTI_FRAUD_SCORE_1",
+    "AVG_AFS_2": "ANTI_FRAUD_SCORE_2", "AVG_LIMIT": "CREDIT_LIMIT", "AVG_RATE": "INTEREST_RATE",
+}
+
+
 def hop_apply_series(applies: DataFrame, slide: int, size: int, day: int) -> DataFrame:
     a = apply_windows(applies, slide, {"H": size}).select(KEY, "w_end", F.col("n_H").alias("apply_num"))
     a = lag_rows(a, [KEY], ["w_end"], "apply_num", 1, 0, "last_num")
@@ -117,12 +130,14 @@ def hop_apply_series(applies: DataFrame, slide: int, size: int, day: int) -> Dat
 
 
 def period_over_period(applies: DataFrame, results: DataFrame, slide: int = 10, size: int = 3600, day: int | None = None) -> DataFrame:
-    """One-hour windows of both streams against the window before and the one a day of slides earlier, and the rates of their rates."""
+    """One-hour windows of both streams against the window before and the one a day of slides earlier, and the rates of their rates: 18 columns."""
     day = day or 86_400 // slide
     a = hop_apply_series(applies, slide, size, day)
     ok = _flag(approved(F.col("CREDIT_CODE")))
-    r = hop(results, [KEY], slide, {"H": size}, {"success_num": ok, "cs": F.col("CREDIT_SCORE_1"), "lim": F.col("CREDIT_LIMIT")})
-    r = r.select(KEY, "w_end", F.col("n_H").alias("return_num"), F.col("success_num_H").alias("success_num"), (F.col("cs_H") / F.col("n_H")).alias("AVG_CS_1"), (F.col("lim_H") / F.col("n_H")).alias("AVG_LIMIT"))
+    held = {n: F.when(F.col(c).isNotNull(), 1).otherwise(0).cast("long") for n, c in AVERAGES.items()}
+    r = hop(results, [KEY], slide, {"H": size}, {"success_num": ok} | {n: F.col(c) for n, c in AVERAGES.items()} | {f"with_{n}": c for n, c in held.items()})
+    mean = [F.when(F.col(f"with_{n}_H") > 0, F.col(f"{n}_H") / F.col(f"with_{n}_H")).alias(n) for n in AVERAGES]
+    r = r.select(KEY, "w_end", F.col("n_H").alias("return_num"), F.col("success_num_H").alias("success_num"), *mean)
     r = lag_rows(lag_rows(r, [KEY], ["w_end"], "success_num", 1, 0, "r_last"), [KEY], ["w_end"], "success_num", day, 0, "r_last_24")
     both = join_hop(a, r, [KEY])
     pr = F.col("success_num") / F.col("apply_num")
@@ -143,8 +158,7 @@ def period_over_period(applies: DataFrame, results: DataFrame, slide: int = 10,
         F.round(ratio(F.col("success_num"), F.col("apply_num")), 6).alias("PR"),
         F.round(against("r_last", "last_num"), 6).alias("PR_P_H"),
         F.round(against("r_last_24", "last_24_num"), 6).alias("PR_P_D"),
-        F.round("AVG_CS_1", 6).alias("AVG_CS_1"),
-        F.round("AVG_LIMIT", 6).alias("AVG_LIMIT"),
+        *[F.round(n, 6).alias(n) for n in AVERAGES],
     )
 
 

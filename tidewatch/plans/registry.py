@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import approved, avg_if, bucket_label, count_where, distinct_if, ratio
@@ -21,7 +21,8 @@ _BASE = """WITH e AS (SELECT *, epoch_us(ts) // 1000 AS ms, json_extract_string(
 a AS (SELECT event_id AS seq, user_id::VARCHAR AS CUST_ID, 'P' || (user_id % 4) AS BUSINESS_TYPE_CD, ms AS APPLY_TIME, ms // 1000 AS es
       FROM e WHERE event_type IN ('view', 'click')),
 r AS (SELECT event_id AS seq, user_id::VARCHAR AS CUST_ID, 'P' || (user_id % 4) AS BUSINESS_TYPE_CD, event_type <> 'error' AS ok,
-      value AS CREDIT_SCORE_1, value * 300 AS CREDIT_LIMIT, k % 2 AS WHITE_LIST, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS BLACK_LIST, k AS APPLY_SCORE,
+      value AS CREDIT_SCORE_1, value / 2 AS CREDIT_SCORE_2, value + k AS CREDIT_SCORE_3, k::DOUBLE AS ANTI_FRAUD_SCORE_1,
+      CASE WHEN k % 3 <> 0 THEN k * 2.0 END::DOUBLE AS ANTI_FRAUD_SCORE_2, value / 100 AS INTEREST_RATE, value * 300 AS CREDIT_LIMIT, k % 2 AS WHITE_LIST, CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS BLACK_LIST, k AS APPLY_SCORE,
       ms AS CREDIT_TIME, ms // 1000 AS es FROM e WHERE event_type IN ('purchase', 'signup', 'error')),
 l AS (SELECT event_id::VARCHAR AS APP_NO, event_id AS seq, user_id::VARCHAR AS CERT_NO, (user_id % 50)::VARCHAR AS MOBILE_NUM, event_type AS COMP_NAME,
       (user_id % 20)::VARCHAR AS STANDARD_ADDR, ((user_id * 7) % 150)::VARCHAR AS SPOUSE_CERT_NO, ((user_id * 7) % 50)::VARCHAR AS SPOUSE_MOBILE_NO,
@@ -97,7 +98,7 @@ def _velocity(days: tuple[int, ...]) -> str:
 def _pop(slide: int) -> str:
     return f""", {_dealt("a", "da", 3600, slide)}, {_dealt("r", "dr", 3600, slide)},
 ha AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS apply_num FROM da GROUP BY 1, 2),
-hr AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS return_num, count(*) FILTER (ok) AS success_num, avg(CREDIT_SCORE_1) AS cs, avg(CREDIT_LIMIT) AS lim FROM dr GROUP BY 1, 2),
+hr AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS return_num, count(*) FILTER (ok) AS success_num, {", ".join(f"avg({c}) AS {n}" for n, c in monitor.AVERAGES.items())} FROM dr GROUP BY 1, 2),
 la AS (SELECT *, coalesce(lag(apply_num, 1) OVER q, 0) AS last_num, coalesce(lag(apply_num, {86400 // slide}) OVER q, 0) AS last_24_num FROM ha WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end)),
 lr AS (SELECT *, coalesce(lag(success_num, 1) OVER q, 0) AS r_last, coalesce(lag(success_num, {86400 // slide}) OVER q, 0) AS r_last_24 FROM hr WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end))"""
 
@@ -135,7 +136,7 @@ _put("running_product_rates_integer", lambda a, r, x: monitor.running_product_ra
 _put("running_time_guarded", lambda a, r, x: joins.join_running(monitor.running_applies(a).withColumn("a_et", F.timestamp_millis("ts")), monitor.running_results(r).withColumn("r_et", F.timestamp_millis("r_ts")), KEY, ("a_et", "r_et", 3600)).select(KEY, "ts", "r_ts", "APP_C_CT", "ACC_C_CT"),
      _RUNNING + " SELECT BUSINESS_TYPE_CD, ts, r_ts, APP_C_CT, ACC_C_CT FROM ra JOIN rr USING (BUSINESS_TYPE_CD) WHERE abs(ts // 1000 - r_ts // 1000) <= 3600")
 _put("running_per_event", lambda a, r, x: monitor.running_events(a, r).select(KEY, _secs().alias("es"), "seq", *monitor.TOTALS), _EVENTS + f" SELECT BUSINESS_TYPE_CD, es, seq, {_T} FROM ue")
-_put("approved_customers", lambda a, r, x: r.groupBy(KEY).agg(distinct_if(F.col("CUST_ID"), _ok()).alias("n"), avg_if(F.col("CREDIT_SCORE_1"), _ok()).isNotNull().alias("known")), " SELECT BUSINESS_TYPE_CD, count(DISTINCT CUST_ID) FILTER (ok) AS n, true AS known FROM r GROUP BY 1")
+_put("approved_customers", lambda a, r, x: r.groupBy(KEY).agg(distinct_if(F.col("CUST_ID"), _ok()).alias("n")), " SELECT BUSINESS_TYPE_CD, count(DISTINCT CUST_ID) FILTER (ok) AS n FROM r GROUP BY 1")
 def _risky():
     return _ok() & (F.coalesce("CREDIT_SCORE_1", F.lit(0.0)).cast("int") < 220) & (F.coalesce("CREDIT_LIMIT", F.lit(0.0)) > 40000)
 
@@ -145,7 +146,7 @@ _put("conditional_avg", lambda a, r, x: r.groupBy(KEY).agg(F.round(avg_if(F.col(
 def _sliding(slide: int, suffix: str) -> None:
     """The sliding-window queries with this slide, over all events."""
     _put(f"hop_result_profile{suffix}", lambda a, r, x: aggregates.hop(r, [KEY], slide, {"H": 3600}, {"cs": F.col("CREDIT_SCORE_1"), "lim": F.col("CREDIT_LIMIT")}).select(KEY, "w_end", F.col("n_H").alias("n"), F.round(F.col("cs_H") / F.col("n_H"), 6).alias("cs"), F.round(F.col("lim_H") / F.col("n_H"), 6).alias("lim")),
-         _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, return_num AS n, round(cs, 6) AS cs, round(lim, 6) AS lim FROM hr")
+         _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, return_num AS n, round(AVG_CS_1, 6) AS cs, round(AVG_LIMIT, 6) AS lim FROM hr")
     _put(f"hop_apply_named{suffix}", lambda a, r, x: aggregates.hop(a, [KEY, "BUSINESS_TYPE_NAME"], slide, {"H": 3600}, {}), _pop(slide) + " SELECT BUSINESS_TYPE_CD, 'name ' || BUSINESS_TYPE_CD AS BUSINESS_TYPE_NAME, w_end, apply_num AS n_H FROM ha")
     _put(f"hop_result_1h{suffix}", lambda a, r, x: _one(a, r, slide).select(KEY, "w_end", "AVG_ACC_CCSCT_1H", "AVG_ACC_PCSCT_1H", "RATE_OC_1H", "ACC_C_CCT_1H"), _windows({"1H": 3600}, slide) + " SELECT BUSINESS_TYPE_CD, w_end, AVG_ACC_CCSCT_1H, AVG_ACC_PCSCT_1H, RATE_OC_1H, ACC_C_CCT_1H FROM w")
     _put(f"hop_1h_joined{suffix}", lambda a, r, x: _one(a, r, slide), _windows({"1H": 3600}, slide) + f" SELECT BUSINESS_TYPE_CD, w_end, {', '.join(n + '_1H' for n in monitor.WINDOWED)} FROM w")
@@ -164,7 +165,7 @@ def _sliding(slide: int, suffix: str) -> None:
     _put(f"two_stream_demo{suffix}", lambda a, r, x: monitor.two_stream_demo(a, r, slide), _windows({"1H": 3600}, slide) + _EVENTS + f" SELECT BUSINESS_TYPE_CD, es AS DT, seq, APP_C_CT, ACC_C_CT, APP_C_CT_1H, ACC_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {slide} * {slide}")
     rank = lambda t, b, c: f"round(CASE WHEN apply_num = 0 OR {b} <= 0 OR {c} <= 0 THEN -999.0 ELSE (success_num / apply_num) / ({b} / {c}) END, 6) AS {t}"
     _put(f"period_over_period{suffix}", lambda a, r, x: monitor.period_over_period(a, r, slide),
-         _pop(slide) + f" SELECT BUSINESS_TYPE_CD AS P_ID, w_end AS DT, w_end % 86400 // 3600 AS CH, apply_num AS APP_C_PH, return_num AS R_C_PH, success_num AS ACC_C_PH, {_rate('apply_num', 'last_num', 'APP_P_H')}, {_rate('apply_num', 'last_24_num', 'APP_P_D')}, {_rate('success_num', 'apply_num', 'PR')}, {rank('PR_P_H', 'r_last', 'last_num')}, {rank('PR_P_D', 'r_last_24', 'last_24_num')}, round(cs, 6) AS AVG_CS_1, round(lim, 6) AS AVG_LIMIT FROM la JOIN lr USING (BUSINESS_TYPE_CD, w_end)")
+         _pop(slide) + f" SELECT BUSINESS_TYPE_CD AS P_ID, w_end AS DT, w_end % 86400 // 3600 AS CH, apply_num AS APP_C_PH, return_num AS R_C_PH, success_num AS ACC_C_PH, {_rate('apply_num', 'last_num', 'APP_P_H')}, {_rate('apply_num', 'last_24_num', 'APP_P_D')}, {_rate('success_num', 'apply_num', 'PR')}, {rank('PR_P_H', 'r_last', 'last_num')}, {rank('PR_P_D', 'r_last_24', 'last_24_num')}, {', '.join(f'round({n}, 6) AS {n}' for n in monitor.AVERAGES)} FROM la JOIN lr USING (BUSINESS_TYPE_CD, w_end)")
     _put(f"lag_previous{suffix}", lambda a, r, x: monitor.hop_apply_series(a, slide, 3600, 86_400 // slide).select(KEY, "w_end", "last_num"), _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, last_num FROM la")
     _put(f"lag_day{suffix}", lambda a, r, x: monitor.hop_apply_series(a, slide, 3600, 86_400 // slide).select(KEY, "w_end", "last_24_num"), _pop(slide) + " SELECT BUSINESS_TYPE_CD, w_end, last_24_num FROM la")
 
@@ -175,16 +176,21 @@ _put("lag_fill_first", lambda a, r, x: over.lag_rows(r, [KEY], ["et", "seq"], "C
      " SELECT seq, round(CASE WHEN row_number() OVER q <= 3 THEN first(CREDIT_SCORE_1) OVER q ELSE lag(CREDIT_SCORE_1, 3) OVER q END, 6) AS before FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
 _put("lag_types", lambda a, r, x: over.lag_rows(over.lag_rows(r.withColumn("d", F.col("APPLY_SCORE").cast("decimal(20,6)")), [KEY], ["et", "seq"], "d", 1, 0, "ld"), [KEY], ["et", "seq"], "CREDIT_CODE", 2, "-", "lc").select("seq", F.col("ld").cast("double").alias("ld"), "lc"),
      " SELECT seq, coalesce(lag(APPLY_SCORE, 1) OVER q, 0)::DOUBLE AS ld, coalesce(lag(CASE WHEN ok THEN '0' ELSE '1' END, 2) OVER q, '-') AS lc FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
-def _cum():
-    return Window.partitionBy(KEY).orderBy("et", "seq").rowsBetween(Window.unboundedPreceding, 0)
-
-_put("cumulative_over", lambda a, r, x: r.select("seq", F.count("*").over(_cum()).alias("n"), F.sum("APPLY_SCORE").over(_cum()).alias("s"), F.max("APPLY_SCORE").over(_cum()).alias("m")),
+_put("cumulative_over", lambda a, r, x: aggregates.cumulative(r, [KEY], ["seq"], {"n": F.lit(1).cast("long"), "s": F.col("APPLY_SCORE").cast("long")}, {"m": F.col("APPLY_SCORE")}).select("seq", "n", "s", "m"),
      " SELECT seq, count(*) OVER q AS n, (sum(APPLY_SCORE) OVER q)::BIGINT AS s, max(APPLY_SCORE) OVER q AS m FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING)")
 _put("latest_per_bucket", lambda a, r, x: over.latest_per(a.withColumn("b", F.floor(_secs() / SLIDE)), [KEY, "b"], [F.desc("et"), F.desc("seq")]).select(KEY, "b", "seq"), f" SELECT BUSINESS_TYPE_CD, es // {SLIDE} AS b, seq FROM a QUALIFY row_number() OVER (PARTITION BY BUSINESS_TYPE_CD, es // {SLIDE} ORDER BY es DESC, seq DESC) = 1")
 _LABEL = "strftime(make_timestamp(es * 1000000), '%Y-%m-%d %H:%M:%S')[:18] || '0'"
 _put("bucket_snapshot", lambda a, r, x: aggregates.bucket_max(monitor.running_events(a, r), [KEY], bucket_label(F.col("et")), ["APP_C_CT", "ACC_C_CT"]), _EVENTS + f" SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(APP_C_CT) AS APP_C_CT, max(ACC_C_CT) AS ACC_C_CT FROM ue GROUP BY 1, 2")
-_put("bucket_join", lambda a, r, x: aggregates.bucket_max(a, [KEY], bucket_label(F.col("et")), ["seq"]).join(aggregates.bucket_max(r.withColumn("rs", F.col("seq")), [KEY], bucket_label(F.col("et")), ["rs"]), [KEY, "time_str"]),
-     f" SELECT * FROM (SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(seq) AS seq FROM a GROUP BY 1, 2) JOIN (SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(seq) AS rs FROM r GROUP BY 1, 2) USING (BUSINESS_TYPE_CD, time_str)")
+def _bucketed(df: DataFrame, **sums) -> DataFrame:
+    run = aggregates.cumulative(df, [KEY], ["seq"], {n: c.cast("long") for n, c in sums.items()})
+    return aggregates.bucket_max(run, [KEY], bucket_label(F.col("et")), ["et", *sums])
+
+
+_put("bucket_join", lambda a, r, x: joins.join_bucket(_bucketed(r, ACC_C_CT=F.when(_ok(), 1).otherwise(0)), _bucketed(a, APP_C_CT=F.lit(1)), [KEY]).select(KEY, "time_str", _secs().alias("es"), "ACC_C_CT", "APP_C_CT"),
+     f""" SELECT p.BUSINESS_TYPE_CD, p.time_str, p.es, ACC_C_CT, APP_C_CT FROM
+     (SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(es) AS es, max(n)::BIGINT AS ACC_C_CT FROM (SELECT *, sum(ok::INT) OVER (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING) AS n FROM r) GROUP BY 1, 2) p
+     JOIN (SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(es) AS es, max(n) AS APP_C_CT FROM (SELECT *, count(*) OVER (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING) AS n FROM a) GROUP BY 1, 2) q
+     ON p.BUSINESS_TYPE_CD = q.BUSINESS_TYPE_CD AND p.time_str = q.time_str AND abs(p.es - q.es) <= 2""")
 _put("union_ids", lambda a, r, x: over.union_ids(x, "CERT_NO", "SPOUSE_CERT_NO").select("APP_NO", "id", "flag"), " SELECT APP_NO, CERT_NO AS id, 'fake' AS flag FROM l UNION ALL SELECT APP_NO, SPOUSE_CERT_NO, 'real' FROM l")
 _put("contact_velocity", lambda a, r, x: over.contact_counts(x, "CERT_NO", "SPOUSE_CERT_NO", {"n7": 7}).select("APP_NO", "n7"), f" SELECT APP_NO, (SELECT count(*) FROM l y WHERE y.SPOUSE_CERT_NO = l.CERT_NO AND y.es BETWEEN l.es - {7 * 86400} AND l.es) AS n7 FROM l")
 _RANGE = "(PARTITION BY {} ORDER BY es RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)"

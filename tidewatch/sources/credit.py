@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,12 +22,16 @@ def with_event_time(df: DataFrame, column: str, unit: str = "ms", delay: str | N
     return df.withWatermark("et", delay) if delay else df
 
 
-def read_topic(spark: SparkSession, topic: str, schema: str, column: str, unit: str = "ms", delay: str = "5 seconds", start: str = "latest", options: dict | None = None) -> DataFrame:
-    """A stream of JSON rows from a topic, or from a folder of JSON files if `topic` holds a slash. `options` go to Kafka with their prefix added."""
+def read_topic(spark: SparkSession, topic: str, schema: str, column: str, unit: str = "ms", delay: str = "5 seconds", start: str | dict = "latest", options: dict | None = None, reader_options: dict | None = None) -> DataFrame:
+    """A stream of JSON rows from a topic, or from a folder of JSON files if `topic` holds a slash.
+
+    `options` go to Kafka with their prefix added, `reader_options` (such as maxOffsetsPerTrigger, failOnDataLoss, maxFilesPerTrigger) to Spark's reader
+    as they are. `start`: earliest, latest, or offsets by partition, {"0": 23}. It holds for the first start; later ones go on from the checkpoint.
+    """
     if "/" in topic:
-        rows = spark.readStream.schema(schema).json(topic)
+        rows = spark.readStream.schema(schema).options(**(reader_options or {})).json(topic)
     else:
-        reader = spark.readStream.format("kafka").option("subscribe", topic).option("startingOffsets", start)
+        reader = spark.readStream.format("kafka").option("subscribe", topic).option("startingOffsets", json.dumps({topic: start}) if isinstance(start, dict) else start).options(**(reader_options or {}))
         for k, v in (options or {}).items():
             reader = reader.option(f"kafka.{k}", v)
         rows = reader.load().select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
@@ -76,7 +82,12 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("CUST_ID"),
         F.concat(F.lit("P"), (F.col("user_id") % 4).cast("string")).alias("BUSINESS_TYPE_CD"),
         F.when(F.col("event_type") == "error", "1").otherwise("0").alias("CREDIT_CODE"),
+        (F.col("value") / 100).alias("INTEREST_RATE"),
         F.col("value").alias("CREDIT_SCORE_1"),
+        (F.col("value") / 2).alias("CREDIT_SCORE_2"),
+        (F.col("value") + F.col("k")).alias("CREDIT_SCORE_3"),
+        F.col("k").cast("double").alias("ANTI_FRAUD_SCORE_1"),
+        F.when(F.col("k") % 3 != 0, F.col("k") * 2.0).alias("ANTI_FRAUD_SCORE_2"),
         (F.col("value") * 300).alias("CREDIT_LIMIT"),
         (F.col("k") % 2).alias("WHITE_LIST"),
         (F.col("k") % 5 == 0).cast("int").alias("BLACK_LIST"),
