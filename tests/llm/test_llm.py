@@ -406,12 +406,31 @@ def test_embeddings(spark):
     found = np.array([got[i].n_links for i in range(len(x))])
     assert (found <= links).all() and found.sum() >= 0.9 * links.sum() and len(got) == len(x) + len(bad)
     assert all(q.kept == (q.vec_id == q.component_id) for q in got.values()) and all(got[b[0]].n_links == 0 for b in bad)
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
+    assert embed_dedup.near_dedup(none).count() == 0 and embed_dedup.near_dedup(spark.createDataFrame(bad, none.schema)).count() == len(bad)
     a, b = r.random(5), r.random(6)
     order = embed_dedup.traverse(a, b, 30)
     sums = [a[c // 6] + b[c % 6] for c in order]
     assert sums == sorted(sums) and len(set(order)) == 30
 
 
+def test_embeddings_of_any_size_in_blocks(spark, monkeypatch):
+    """Very small and very large vectors, ties, repeated rows, other columns' names; cells of several blocks; both ends of a link count it."""
+    monkeypatch.setattr(embed_dedup, "BLOCK", 16)
+    r = np.random.default_rng(5)
+    far = r.normal(size=(3, 8)) * 1e-200
+    base = r.normal(size=8)
+    near = np.array([base + 0.12 * r.normal(size=8) for _ in range(150)])
+    x = np.concatenate([far, far[:1] * 3, near, near[:20] * 1e200, near[5:9]])
+    rows = [(i, v.tolist(), "z", i, True, "c") for i, v in enumerate(x)]
+    got = {q.vec_id: q for q in embed_dedup.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, cell long, stored boolean, weight string")).collect()}
+    u = embed_dedup.unit(x)
+    links = (u @ u.T >= 0.93).sum(axis=1) - 1
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= links).all() and found.sum() >= 0.95 * links.sum() and found.sum() % 2 == 0
+    assert [got[i].component_id for i in range(4)] == [0, 1, 2, 0] and got[0].n_links == got[3].n_links == 1
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:

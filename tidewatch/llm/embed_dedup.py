@@ -24,9 +24,17 @@ from .words import longs
 COSINE = 0.93
 #: Codebooks and the number of visited cells are fitted on this many vectors at most (about).
 SAMPLE = 4000
-CODES = 12
+#: Codes of each half: at least so many, at most so many; between them the cells grow in number with the vectors, CELL of them in each.
+CODES, MOST_CODES, CELL = 12, 128, 2048
 RECALL = 0.995
-BLOCK = 1024
+#: Vectors of either side that a task compares at a time; larger cells are dealt out by pairs of blocks.
+BLOCK = 4096
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one; scaled by their largest component first, so that very small and very large ones keep their direction."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 @dataclass
@@ -73,12 +81,12 @@ def _codebook(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return book
 
 
-def fit(x: np.ndarray, labels: np.ndarray, cosine: float = COSINE, recall: float = RECALL, seed: int = 3) -> Index:
+def fit(x: np.ndarray, labels: np.ndarray, cosine: float = COSINE, recall: float = RECALL, seed: int = 3, codes: int = CODES) -> Index:
     """Codebooks of unit vectors, and the visits at which the sample's own links reach the target recall (all cells if none shows it)."""
     rng = np.random.default_rng(seed)
     if not len(x):
         return Index(np.zeros((1, 1)), np.zeros((1, 1)), 1)
-    half, k = x.shape[1] // 2, min(CODES, len(x))
+    half, k = x.shape[1] // 2, min(codes, len(x))
     index = Index(_codebook(x[:, :half], k, rng), _codebook(x[:, half:], k, rng), k * k)
     # links among sampled vectors, and of each with itself moved to the edge of the radius
     noise = rng.normal(size=x.shape)
@@ -95,7 +103,7 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
 
     Vectors link within one label (null: none) when their cosine in double precision is at least `cosine`. Vectors that are null, empty, zero, or hold
     null or non-finite components link with nothing, nor do vectors of different lengths. n_links counts the other vectors linked
-    directly, component_id is the smallest vec_id reachable, kept says whether that is the vector itself. A row without an id is
+    directly (a pair found counts for both), component_id is the smallest vec_id reachable, kept says whether that is the vector itself. A row without an id is
     left out.
     """
     rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
@@ -108,7 +116,8 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
     widths = classes.select(F.size("v").alias("d")).groupBy("d").count().orderBy(F.desc("count"), "d").limit(1).collect()
     width = widths[0]["d"] if widths else 1
     x = np.array([r["v"] for r in chosen if len(r["v"]) == width], float).reshape(-1, width)
-    index = fit(x / np.linalg.norm(x, axis=1, keepdims=True), np.array([r["label"] for r in chosen]), cosine) if width > 1 else None
+    codes = max(CODES, min(MOST_CODES, int(np.ceil(np.sqrt(n / CELL)))))
+    index = fit(unit(x) if len(x) else x, np.array([r["label"] for r in chosen]), cosine, codes=codes) if width > 1 else None
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -118,8 +127,8 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
                 part = raw[at : at + 256]
                 same = [i for i, v in enumerate(part) if len(v) == width]
                 x = np.array([part[i] for i in same], float).reshape(-1, width)
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                own, seen = (index.cells(unit), index.visited(unit)) if index and len(x) else (np.zeros(len(x), int), np.zeros((len(x), 1), int))
+                u = unit(x) if len(x) else x
+                own, seen = (index.cells(u), index.visited(u)) if index and len(x) else (np.zeros(len(x), int), np.zeros((len(x), 1), int))
                 for k, i in enumerate(same):
                     v = x[k].tobytes()
                     out.append((labels[at + i], int(own[k]), True, who[at + i], weight[at + i], v))
@@ -138,7 +147,8 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
         ids, weights = table.column("id").to_numpy(), table.column("weight").to_numpy()
         stored = np.array(table.column("stored").to_pylist(), bool)
         x = np.array([np.frombuffer(v, float) for v in table.column("v").to_pylist()])
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(x)
+        searched = index is not None and x.shape[1] == width
         here, asks = np.flatnonzero(stored), np.flatnonzero(~stored)
         label, count, linked = ids.copy(), np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
         blocks = []
@@ -149,6 +159,11 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
                 near = (x[part] @ x[own].T >= cosine) & (ids[part][:, None] != ids[own][None])
                 count[part] += (near * weights[own][None]).sum(axis=1)
                 if near.any():
+                    if searched:  # who is found but does not visit the asker's cell has this link from here alone
+                        found, by = np.flatnonzero(near.any(axis=0)), np.flatnonzero(near.any(axis=1))
+                        visits, home = index.visited(x[own[found]]), index.cells(x[part[by]])
+                        unseen = near[np.ix_(by, found)] & ~np.array([np.isin(home, v) for v in visits]).T
+                        count[own[found]] += (unseen * weights[part[by]][:, None]).sum(axis=0)
                     linked[part] |= near.any(axis=1)
                     linked[own] |= near.any(axis=0)
                     blocks.append((part, own, np.packbits(near, axis=1)))
@@ -165,14 +180,15 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
         return pa.table({"a": longs(ids[linked]), "b": longs(label[linked]), "weight": longs(count[linked])})
 
     pairs = classes.select("label", "v", "id", "weight").mapInArrow(placed, ", ".join(f"{n} {t}" for n, _, t in _PLACED))
-    # a large cell's questions are dealt over several tasks, each with the cell's vectors
-    sizes = materialize(pairs).alias("p")
-    asked = sizes.where("not stored")
-    many = sizes.where("stored").groupBy("label", "cell").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("deals"))
-    asked = asked.join(many, ["label", "cell"]).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int"))
-    held = sizes.where("stored").join(many, ["label", "cell"]).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
-    both = asked.drop("deals").unionByName(held.drop("deals"))
-    near = both.groupBy("label", "cell", "deal").applyInArrow(verified, "a bigint, b bigint, weight bigint")
+    # a large cell is dealt out by pairs of blocks, so no task holds more than one of each side
+    placed_rows = materialize(pairs)
+    blocks = placed_rows.groupBy("label", "cell").agg(*[F.greatest(F.ceil(F.sum(F.when(c, 1).otherwise(0)) / F.lit(BLOCK)), F.lit(1)).cast("int").alias(n) for n, c in (("held", F.col("stored")), ("asked", ~F.col("stored")))])
+    both = placed_rows.join(blocks, ["label", "cell"])
+    hashed = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    both = both.withColumn("i", F.explode(F.when(F.col("stored"), every("asked")).otherwise(F.array(hashed("asked")))))
+    both = both.withColumn("j", F.explode(F.when(F.col("stored"), F.array(hashed("held"))).otherwise(every("held"))))
+    near = both.drop("held", "asked").groupBy("label", "cell", "i", "j").applyInArrow(verified, "a bigint, b bigint, weight bigint")
     found = materialize(near)
     w = classes.select("id", "weight")
     degree = found.groupBy(F.col("a").alias("id")).agg(F.sum("weight").alias("other"))
