@@ -3,11 +3,13 @@
 import hashlib
 import json
 import random
+import re
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -312,6 +314,18 @@ def test_pii(spark, odd):
     x, y = pii.labelled([r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id >= 200").collect()])
     tags, _ = tagger.decode(x)
     assert (tags[y > 0] == y[y > 0]).mean() > 0.7 and (tags[y == 0] == 0).mean() > 0.85
+    # planted: personal data written in ways that the patterns don't know
+    planted = found = extra = 0
+    for r in docs.collect():
+        base = pii.rules(r.text or "")
+        text, spans = pii.varied(r.text or "", base, 1000 + r.doc_id)
+        known = pii.rules(text)
+        want = {x for x in spans if all(x[2] <= a or x[1] >= b for _, a, b in known)}
+        got = set(pii.find(text, tagger.spans([text])[0], known)) - set(known)
+        planted, found, extra = planted + len(want), found + len(want & got), extra + len(got - want)
+        assert set(known) <= set(pii.find(text, tagger.spans([text])[0], known))
+    print(f"planted {planted}, found {found}, others {extra}")
+    assert planted > 10 and found >= 0.5 * planted and extra <= 0.2 * planted
     rows = {r.doc_id: r for r in pii.digest(pii.detect(make(spark, [*odd, (30, t), (31, long)]), tagger)).collect()}
     assert (rows[30].n_email, rows[30].n_ip, rows[30].n_phone) == (1, 1, 1) and rows[5].spans == ""
     base = ",".join(f"{k}:{a}:{b}" for k, a, b in pii.rules(t))
@@ -319,6 +333,37 @@ def test_pii(spark, odd):
     assert "[email]" in pii.redact(make(spark, [(30, t)]), tagger).first().text
 
 
+def literal_spans(text):
+    """The patterns as they are written, matched from the left."""
+    luhn = lambda d: sum(x if k % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for k, x in enumerate(map(int, reversed(d)))) % 10 == 0
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    kinds = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(p) <= 255 for p in t.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda t: 12 <= len(digits(t)) <= 19 and luhn(digits(t))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 9 <= len(digits(t)) <= 15),
+    )
+    found = [(m.start(), k, m.end()) for k, (_, p, ok) in enumerate(kinds) for m in re.finditer(p, text) if ok(m.group())]
+    return [(kinds[k][0], a, b) for a, k, b in sorted(found)]
+
+
+def test_rules_equal_the_literal_patterns():
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()]
+    r = random.Random(6)
+    texts += ["".join(r.choice("1234567890.@ab-+ ()") for _ in range(60)) for _ in range(3000)]
+    for t in texts:
+        assert pii.rules(t) == literal_spans(t), t[:200]
+
+
+def test_pii_of_empty_tables_and_repeated_ids(spark):
+    tagger = pii.Tagger()
+    rows = [(1, "a@b.cd"), (1, "none"), (1, "a@b.cd"), (None, "x@y.zz"), (2, None)]
+    docs = make(spark, rows)
+    assert sorted((r.doc_id or 0, r.n_email) for r in pii.digest(pii.detect(docs, tagger)).collect()) == [(0, 1), (1, 0), (1, 1), (1, 1), (2, 0)]
+    assert pii.detect(docs.limit(0), tagger).count() == 0 and pii.redact(docs.limit(0), tagger).count() == 0
+    assert pii.train(docs.limit(0)).spans(["a (at) b.cd"]) == [[]]
+
+
 def test_network_gradient():
     net, r = pii.Tagger(embed=4, hidden=3), np.random.default_rng(0)
     x, y = r.integers(0, 99, (3, 12)), np.zeros((3, 12), int)
