@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def topic(df, path):
-    df.drop("et").repartition(1).write.json(path)
+    df.drop("et").repartition(1).write.json(str(path))
     return path + "/"
 
 
@@ -69,3 +69,41 @@ def test_json_sink(spark, tmp_path):
     for _ in range(2):  # started again from its checkpoint, it writes nothing twice
         credit.write_topic(rows, f"{tmp_path}/out", f"{tmp_path}/c", trigger={"availableNow": True}).awaitTermination()
     assert spark.read.json(f"{tmp_path}/out").count() == 20
+
+
+def streams(spark, tmp_path):
+    out = []
+    for name, df, time in (("a", credit.applies(spark, SF), "APPLY_TIME"), ("r", credit.results(spark, SF), "CREDIT_TIME")):
+        schema = df.drop("et").schema.simpleString()[7:-1].replace(":", " ")
+        out.append(credit.read_topic(spark, topic(df, f"{tmp_path}/{name}"), schema, time, reader_options={"maxFilesPerTrigger": 1}))
+    return out
+
+
+def test_totals_after_each_event_are_staged_and_meet_the_next_window(spark, tmp_path):
+    a, r = streams(spark, tmp_path)
+    query, running = live.staged(live.running_events(a, r), f"{tmp_path}/staged/", f"{tmp_path}/c_staged", trigger={"availableNow": True})
+    query.awaitTermination()
+    batch = monitor.running_events(credit.applies(spark, SF), credit.results(spark, SF))
+    want = {(x[0], x.es, x.seq, x.APP_C_CT, x.ACC_C_CT, x.PR_CT) for x in batch.withColumn("es", F.unix_seconds("et")).collect()}
+    rows = spark.read.json(f"{tmp_path}/staged/").select(monitor.KEY, "ts", "seq", "APP_C_CT", "ACC_C_CT", "PR_CT").collect()
+    got = {tuple(x) for x in rows}
+    assert len(rows) == len(got) > 0.9 * len(want) and got <= want
+    again, _ = live.staged(live.running_events(a, r), f"{tmp_path}/staged/", f"{tmp_path}/c_staged", trigger={"availableNow": True})
+    again.awaitTermination()  # started again from its checkpoint, it writes nothing twice
+    assert spark.read.json(f"{tmp_path}/staged/").count() == len(rows)
+    windows = live.hop(streams(spark, tmp_path / "again")[0], [monitor.KEY], "10 minutes", "1 hour", {})
+    met = drain(live.align_running(running, windows, 600), tmp_path, "append", "aligned").collect()
+    closed = {(x[0], x.w_end): x.n_H for x in aggregates.hop(credit.applies(spark, SF), [monitor.KEY], 600, {"H": 3600}, {}).collect()}
+    paired = {(s, t // 600 * 600 + 600, closed[k, t // 600 * 600 + 600]) for k, t, s, *_ in got if (k, t // 600 * 600 + 600) in closed}
+    found = {(x.seq, x.w_end, x.n) for x in met}
+    assert found <= paired and len(found) == len(met) > 0.9 * len(paired) > 100
+
+
+def test_lags_by_rows(spark, tmp_path):
+    r = streams(spark, tmp_path)[1]
+    got = {tuple(x) for x in drain(live.row_lags(r, "APPLY_SCORE", (1, 40)), tmp_path, "append", "lags").select("seq", "lag_1", "lag_40").collect()}
+    own = credit.results(spark, SF)
+    for n in (1, 40):
+        own = over.lag_rows(own, [monitor.KEY], ["et", "seq"], "APPLY_SCORE", n, 0, f"lag_{n}")
+    want = {tuple(x) for x in own.select("seq", "lag_1", "lag_40").collect()}
+    assert len(got) > 0.9 * len(want) and got <= want

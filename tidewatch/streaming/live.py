@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidewatch.plans.monitor import KEY, TOTALS, rates, result_flags
+from tidewatch.sources.credit import read_topic, write_topic
 
 
 def running_product_rates(applies: DataFrame, results: DataFrame) -> DataFrame:
@@ -62,8 +64,8 @@ class TrailingCount(StatefulProcessor):
         ready = [r for r in waiting if r[1] * 1000 <= until]
         if not ready:
             return
-        past = sorted(r[0] for r in self.past.get()) + [r[1] for r in ready]
-        rows = [(key[0], r[0], r[1], sum(1 for t in past if r[1] - self.seconds <= t <= r[1])) for r in ready]
+        past = sorted([r[0] for r in self.past.get()] + [r[1] for r in ready])
+        rows = [(key[0], r[0], r[1], bisect_right(past, r[1]) - bisect_left(past, r[1] - self.seconds)) for r in ready]
         kept = [(t,) for t in past if t > until // 1000 - self.seconds]
         later = [r for r in waiting if r[1] * 1000 > until]
         self.past.clear()
@@ -93,3 +95,116 @@ def trailing_counts(df: DataFrame, key: str, row_id: str, seconds: int) -> DataF
     """The streaming form of a trailing count: key, id, es, n. `df` has a watermark on et; state needs the RocksDB provider."""
     rows = df.select(F.col(key).alias("key"), F.col(row_id).cast("string").alias("id"), F.unix_seconds("et").alias("es"), "et")
     return rows.groupBy("key").transformWithStateInPandas(TrailingCount(seconds), "key string, id string, es bigint, n bigint", "Append", "EventTime")
+
+
+class InOrder(StatefulProcessor):
+    """Rows of a key (es, seq, whole numbers v0, v1, ...) wait until the watermark has passed them and are then worked through in order of time."""
+
+    def __init__(self, width: int) -> None:
+        self.names = ["es", "seq", *[f"v{k}" for k in range(width)]]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", ", ".join(f"{n} bigint" for n in self.names))
+        self.kept = handle.getListState("kept", ", ".join(f"{n} bigint" for n in self.names[2:]))
+
+    def work(self, kept: list[tuple], rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+        """What to keep from here on, and the values to emit for each of the rows."""
+        raise NotImplementedError
+
+    def _emit(self, key: tuple, until: int) -> Iterator[pd.DataFrame]:
+        waiting = sorted(tuple(r) for r in self.waiting.get())
+        ready = [r for r in waiting if r[0] * 1000 <= until]
+        if not ready:
+            return
+        kept, out = self.work([tuple(r) for r in self.kept.get()], [r[2:] for r in ready])
+        for state, rows in ((self.kept, kept), (self.waiting, waiting[len(ready) :])):
+            state.clear()
+            if rows:
+                state.put(rows)
+        yield pd.DataFrame([(key[0], *r[:2], *v) for r, v in zip(ready, out, strict=True)], columns=["key", *self.names])
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        for part in rows:
+            own = [tuple(int(x) for x in r) for r in part[self.names].itertuples(index=False)]
+            self.waiting.appendList(own)
+            for t in {r[0] for r in own}:
+                self.handle.registerTimer(t * 1000 + 1)
+        yield from self._emit(key, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        yield from self._emit(key, timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+class RunningSums(InOrder):
+    """The sums up to and with each row."""
+
+    def work(self, kept: list[tuple], rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+        now, out = kept[0] if kept else (0,) * (len(self.names) - 2), []
+        for r in rows:
+            now = tuple(a + b for a, b in zip(now, r, strict=True))
+            out.append(now)
+        return [now], out
+
+
+class RowLags(InOrder):
+    """The first value as it was so many rows earlier, for each of the lags; 0 where no row is there."""
+
+    def __init__(self, lags: tuple[int, ...]) -> None:
+        super().__init__(1 + len(lags))
+        self.lags = lags
+
+    def work(self, kept: list[tuple], rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+        past, out = [r[0] for r in kept], []
+        for r in rows:
+            out.append((r[0], *[past[-n] if n <= len(past) else 0 for n in self.lags]))
+            past.append(r[0])
+        return [(v, *[0] * len(self.lags)) for v in past[-max(self.lags) :]], out
+
+
+def _in_order(df: DataFrame, processor: InOrder, values: list[Column]) -> DataFrame:
+    rows = df.select(F.col(KEY).alias("key"), F.unix_seconds("et").alias("es"), F.col("seq").cast("long").alias("seq"), *[v.cast("long").alias(n) for v, n in zip(values, processor.names[2:], strict=True)], "et")
+    out = ", ".join(["key string", *[f"{n} bigint" for n in processor.names]])
+    return rows.groupBy("key").transformWithStateInPandas(processor, out, "Append", "EventTime")
+
+
+def running_events(applies: DataFrame, results: DataFrame) -> DataFrame:
+    """Totals after every event of either stream, once the watermark has passed it: product, ts (epoch seconds), seq, totals and rates.
+
+    Both streams have a watermark on et and a number seq that orders events of one second. State: the totals, and events not yet passed.
+    """
+    flags = result_flags(1)
+    names = ["APP_C_CT", "r", *flags]
+    a = applies.select(KEY, "et", "seq", F.lit(1).alias("APP_C_CT"), F.lit(0).alias("r"), *[F.lit(0).cast("long").alias(n) for n in flags])
+    b = results.select(KEY, "et", "seq", F.lit(0).alias("APP_C_CT"), F.lit(1).alias("r"), *[c.alias(n) for n, c in flags.items()])
+    sums = _in_order(a.unionByName(b), RunningSums(len(names)), [F.col(n) for n in names])
+    named = sums.select(F.col("key").alias(KEY), F.col("es").alias("ts"), "seq", *[F.col(f"v{k}").alias(n) for k, n in enumerate(names)])
+    return rates(named.where("APP_C_CT > 0 and r > 0")).select(KEY, "ts", "seq", *TOTALS)
+
+
+def row_lags(df: DataFrame, value: str, lags: tuple[int, ...]) -> DataFrame:
+    """A whole number of each row and what it was so many rows of the product earlier (0: none): product, ts, seq, value, lag_<n>."""
+    out = _in_order(df, RowLags(lags), [F.coalesce(F.col(value), F.lit(0)), *[F.lit(0)] * len(lags)])
+    return out.select(F.col("key").alias(KEY), F.col("es").alias("ts"), "seq", F.col("v0").alias(value), *[F.col(f"v{k + 1}").alias(f"lag_{n}") for k, n in enumerate(lags)])
+
+
+def staged(df: DataFrame, topic: str, checkpoint: str, delay: str = "5 seconds", trigger: dict | None = None):
+    """Write a stream to a topic and read it back with event time and a watermark of its own: the query, and the stream. Time is in `ts`, seconds."""
+    query = write_topic(df, topic, checkpoint, trigger=trigger)
+    return query, read_topic(df.sparkSession, topic, ", ".join(f"{n} {t}" for n, t in df.dtypes), "ts", "s", delay)
+
+
+def align_running(running: DataFrame, windows: DataFrame, seconds: int, which: str = "next") -> DataFrame:
+    """Totals after each event with the window of their product that closes next behind it, or closed last. Both streams have watermarks.
+
+    `windows` are those of `hop` with a slide of `seconds`: an equality on the window's end, and a bound on the times so that state can go.
+    """
+    end = F.floor(F.unix_seconds("et") / seconds) * seconds + (seconds if which == "next" else 0)
+    left = running.withColumn("w_end", end.cast("long")).alias("a")
+    right = windows.withColumn("dt", F.window_time("window")).withColumn("b_end", F.unix_seconds("window.end")).withColumnRenamed(KEY, "b_key").alias("b")
+    within = F.expr(f"dt between et - interval {seconds + 1} seconds and et + interval {seconds + 1} seconds")
+    joined = left.join(right, (F.col(KEY) == F.col("b_key")) & (F.col("w_end") == F.col("b_end")) & within)
+    return joined.drop("b_key", "b_end", "window", "dt")
