@@ -190,6 +190,31 @@ def test_decontamination(spark, odd):
     assert decontam.leaks(make(spark, docs[:0]), bench).count() == 0 and decontam.leaks(make(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    docs = [(1, "so it is not a leak and not a Leak"), (2, "not a"), (3, None), (4, ""), (5, "a not"), (5, "it is not a b"), (None, "not a")]
+    bench = spark.createDataFrame([(1, "not a leak"), (2, "not a"), (3, "b"), (4, ""), (5, "it is not a leak and not")], "item_id long, text string")
+    clash = make(spark, docs).withColumn("__id", F.lit(1)).withColumn("bad_id", F.lit(1)).withColumn("k", F.lit(1))
+    got = {(r.doc_id, r.item_id, r.n_windows, r.first_word, r.similarity) for r in decontam.leaks(clash, bench).collect()}
+    assert got == {(1, 1, 2, 3, 1.0), (1, 2, 2, 3, 1.0), (1, 5, 1, 1, 1.0), (2, 2, 1, 0, 1.0), (5, 2, 1, 2, 1.0), (5, 3, 1, 4, 1.0)}
+    out = decontam.decontaminate(clash, bench)
+    assert out.columns == clash.columns and sorted(r.doc_id or 0 for r in out.collect()) == [0, 3, 4]
+
+
+def test_fingerprints_of_similar_texts_lie_within_the_radius(spark):
+    """Pairs of a similarity of 0.8 and a little more, by words changed: at least 0.9 of them are found by their fingerprints."""
+    r, rows = random.Random(3), []
+    for k in range(300):
+        words = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(r.choice([30, 60, 120]))]
+        other = list(words)
+        for _ in range(max(1, len(words) // 50)):
+            other[r.randrange(len(words))] = "changed"
+        rows.append((k, " ".join(words), " ".join(other)))
+    both = spark.createDataFrame(rows, "k long, a string, b string").select(*[decontam._shingles(decontam._words(F.col(c))).alias(c) for c in "ab"])
+    both = both.select(decontam._common(F.col("a"), F.col("b")).alias("c"), F.size("a").alias("n"), F.size("b").alias("m"), F.bit_count(decontam._simhash(F.col("a")).bitwiseXOR(decontam._simhash(F.col("b")))).alias("far"))
+    far = [x.far for x in both.collect() if x.c / (x.n + x.m - x.c) >= 0.8]
+    assert len(far) > 60 and np.mean([x <= decontam.RADIUS for x in far]) >= 0.9
+
+
 def plain_leaks(docs, items):
     """Every window start of every document against every item."""
     shingles = lambda t: [tuple(w[k : k + 5]) for w in [t.lower().split()] for k in range(max(1, len(w) - 4))]
@@ -487,3 +512,44 @@ def test_pipeline(spark):
     path = tokenizer_path("word_bpe_49k.json")
     check_pieces(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect(), [(r.doc_id, r.text) for r in docs.collect()], path)
     assert Counter(n for n, _ in corpus_pipeline.STAGES).most_common(1)[0][1] == 1
+
+
+def test_whole_run_against_plain_stages(spark, tmp_path):
+    """run() over planted documents, empty and null texts, repeated and missing ids; each stage by its definition on what the one before kept."""
+    r = random.Random(12)
+    docs = {x.doc_id: (x.text, x.source) for x in spark.read.parquet(f"{SF}/documents.parquet").limit(120).collect()}
+    bench = [(x.item_id, x.text) for x in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:12]
+    good = [t for t, _ in docs.values() if t and len(t.split()) > 60][:20]
+    for k in range(10):
+        docs[9000 + k] = (f"the one line of all sites\n{good[k]}", f"site{k}")
+        docs[9100 + k] = (good[k] + " " + bench[k][1], "a")
+        words = good[k].split()
+        words[r.randrange(len(words))] = "other"
+        docs[9200 + k] = (" ".join(words), "b")
+    docs |= {9300: (None, "a"), 9301: ("", "a")}
+    rows = [(i, t, "en", s, len(t or ""), "x") for i, (t, s) in docs.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, gone_id string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    # quality: the same model, one text after the other
+    model = quality.train(table, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    kept = {i: (t, s) for i, (t, s) in docs.items() if model.score((t or "").encode()) >= 0.5}
+    # lines of eight sites or more
+    sites = {}
+    for t, s in kept.values():
+        for line in set((t or "").split("\n")):
+            sites.setdefault(line, set()).add(s)
+    bad = {x for x, s in sites.items() if x.strip(" ") and len(s) >= line_dedup.MIN_SITES}
+
+    def cut(t):
+        good_lines = [x for x in (t or "").split("\n") if x not in bad]
+        return "\n".join(good_lines) if t is not None and any(x.strip(" ") for x in good_lines) else t
+
+    texts = {i: cut(t) for i, (t, _) in kept.items()}
+    texts = {i: texts[i] for i, (_, c) in plain_links(list(texts.items())).items() if i == c}
+    leaking = {d for d, _ in plain_leaks([(i, t or "") for i, t in texts.items() if t and t.split()], bench)}
+    texts = {i: t for i, t in texts.items() if i not in leaking}
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {x.doc_id for x in out} == set(texts) and 30 < len(texts) < len(docs) - 15
+    check_pieces(out, list(texts.items()), tokenizer_path("word_bpe_49k.json"))

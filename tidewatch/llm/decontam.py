@@ -98,13 +98,34 @@ def _starts(similarity: float) -> Column:
     return F.array_distinct(F.concat(full, cut))
 
 
+def _short(texts: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """Items of fewer than five words, which are one shingle each, where they stand in a document; None if there is no such item."""
+    items = benchmark.where("item_id is not null").select("item_id", _words(F.col("text")).alias("w"))
+    items = materialize(items.where(F.size("w").between(1, N - 1)).select("item_id", F.size("w").alias("k"), F.xxhash64("w").alias("h")))
+    sizes = [r.k for r in items.select("k").distinct().collect()]  # four at most
+    if not sizes:
+        return None
+    words = texts.select("doc_id", _words(F.col("text")).alias("w"))
+
+    def runs_of(k: int) -> Column:
+        starts = F.when(F.size("w") >= k, F.sequence(F.lit(1), F.size("w") - (k - 1))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(F.lit(k).alias("k"), (i - 1).alias("at"), F.xxhash64(F.slice("w", i, k)).alias("h")))
+
+    runs = F.flatten(F.array(*[runs_of(k) for k in sizes]))
+    found = words.select("doc_id", F.explode(runs).alias("r")).select("doc_id", "r.k", "r.at", "r.h").join(small(items), ["k", "h"])
+    at = found.groupBy("doc_id", "item_id", "k").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    none = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+    apart = F.aggregate("at", none, lambda a, x: F.when(x >= a.end, F.struct((x + F.col("k")).alias("end"), (a.n + 1).alias("n"))).otherwise(a))
+    return at.select("doc_id", "item_id", apart.n.alias("n_windows"), F.array_min("at").cast("long").alias("first_word"), F.lit(1.0).alias("similarity"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, n_windows, first_word, similarity: the items that stand in a document, and how well the best window fits.
 
     n_windows is the number of similar windows that do not overlap, from the left; first_word is where the best window of the first place starts.
     A shingle's weight is how often it occurs in the text; similarity is the sum of the smaller weights over the sum of the larger. Words
-    are lower-cased. Items of fewer than five words are not looked for (a few words are no leak); null and empty texts hold nothing; rows without
-    an id are left out. Windows that repeat within or across documents are compared once.
+    are lower-cased. An item of fewer than five words is one shingle, and its windows are runs of as many words; null and empty texts and items hold
+    nothing; rows without an id are left out; a similarity of just the threshold counts; rows that repeat an id are one document. Windows that repeat within or across documents are compared once.
     """
     items = materialize(items_of(benchmark))
     own = items.select("item_id", "n", F.posexplode("s").alias("off", "h"))
@@ -145,10 +166,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     apart = F.aggregate("at", none, lambda a, x: F.when(x.start >= a.end, F.struct((x.start + words).alias("end"), (a.n + 1).alias("n"))).otherwise(a))
     first = F.filter("at", lambda x: x.start < F.get("at", F.lit(0)).start + words)
     best = F.array_min(F.transform(first, lambda x: F.struct((-x.similarity).alias("least"), x.start.alias("start"))))
-    return hits.select("doc_id", "item_id", apart.n.alias("n_windows"), best.start.alias("first_word"), F.array_max("at.similarity").alias("similarity"))
+    long = hits.select("doc_id", "item_id", apart.n.alias("n_windows"), best.start.alias("first_word"), F.array_max("at.similarity").alias("similarity"))
+    few = _short(texts, benchmark)
+    return long if few is None else long.unionByName(few)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The documents that hold no item; rows without an id stay."""
-    bad = materialize(leaks(docs, benchmark, similarity).select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(small(bad), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    """The documents that hold no item, columns as they came; rows without an id stay, as do null and empty texts; rows that repeat an id go together."""
+    bad = small(materialize(leaks(docs, benchmark, similarity).select(F.col("doc_id").alias("bad_id")).distinct()))
+    return docs.join(bad, docs["doc_id"].cast("long") == bad["bad_id"], "left_anti")
