@@ -13,7 +13,7 @@ from tidewatch.plans import monitor
 from tidewatch.sources import credit
 
 KEY, SLIDE = monitor.KEY, 600
-#: The slide of combain.sql; every sliding-window query is registered with it too, under its name with _10s.
+#: The cadence that the monitors are meant for; every sliding-window query is registered with it too, under its name with _10s.
 REFERENCE_SLIDE = 10
 _SIZES = {"1H": 3600, "2H": 7200, "6H": 21600}
 
