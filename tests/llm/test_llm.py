@@ -292,12 +292,21 @@ def test_substring(spark, odd):
     assert substring.cut_repeats(make(spark, odd[:0])).count() == 0
 
 
-def test_substring_with_hot_passages(spark, monkeypatch):
-    monkeypatch.setattr(substring, "HOT", 5)
+# no frequent minimizers; all windows in the broadcast shard; a few of them there and the rest dealt out, whole or by runs
+@pytest.mark.parametrize("sample, shard, hot", [(64, 10_000, 5), (1, 10_000, 5), (1, 3, 5), (1, 3, 5000)])
+def test_substring_with_hot_passages(spark, monkeypatch, sample, shard, hot):
+    for name, value in (("HOT", hot), ("SAMPLE", sample), ("OFTEN", 4), ("SHARD_ROWS", shard)):
+        monkeypatch.setattr(substring, name, value)
     r = random.Random(2)
     words = lambda n: [r.choice("abcdef") * r.randint(1, 3) for _ in range(n)]
-    common = words(16)
-    rows = [(i, " ".join(words(r.randint(0, 30)) + common[r.randint(0, 3) :] + words(r.randint(0, 30)))) for i in range(60)]
+    common = [words(16), words(40), words(13)]
+    rows = []
+    for i in range(60):
+        text = words(r.randint(0, 30))
+        for _ in range(r.randint(0, 3)):
+            text += r.choice(common)[r.randint(0, 3) :] + words(r.randint(0, 30))
+        rows.append((i, " ".join(text)))
+    assert len(substring._frequent(make(spark, rows).withColumn("text", F.col("text").cast("binary")))) > 0 or sample > 1
     got = {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in substring.digest(substring.cut_repeats(make(spark, rows))).collect()}
     assert got == substring.plain(rows)
 

@@ -2,8 +2,10 @@
 
 A broadcast automaton of every shard would make each document pass by all shards, work that grows with the square of the corpus. So
 passages are dealt to shards instead. A window of 13 words has a minimizer, the least hash of its six-word runs: equal
-windows have equal minimizers. Only runs of windows whose minimizer stands in several documents are candidates. Each goes to the
-shard of its minimizer; there a suffix automaton of the distinct candidates is built, each state knowing the first document that
+windows have equal minimizers. Passages that very many documents share are one reference shard that is broadcast: minimizers that are frequent
+in a share of the documents show where they may stand, one aggregate over all documents gives their windows and the first document of each, and every document's
+segments of such windows are streamed through the shard's automaton, so that no task gathers the places of a frequent passage. Of the others, only
+runs of windows whose minimizer stands in several documents are candidates. Each goes to the shard of its minimizer; there a suffix automaton of the distinct candidates is built, each state knowing the first document that
 holds it, and every candidate is streamed through it: where the matching statistic reaches the threshold and the first
 document is an earlier one, the words are covered. Maximal spans of covered words are removed. Of documents with equal texts the
 first alone takes part; the others are covered whole.
@@ -27,8 +29,13 @@ from .words import WordHash, grams, ids, longs, texts
 WINDOW, RUN = 13, 6
 #: A minimizer of more candidates than this is dealt out by whole windows, so that a very common passage does not meet in one shard.
 HOT = 5000
+#: A minimizer is frequent if this many documents of every SAMPLE-th hold it. This decides only how windows travel: each other one goes to its minimizer's shard.
+SAMPLE, OFTEN, MOST_KEYS = 64, 8, 50_000
+#: The broadcast shard holds at most this many windows of frequent minimizers, those of most places; the rest are dealt out by whole windows.
+SHARD_ROWS = 10_000
 #: The spans are broadcast to the documents only if they were found to hold no more bytes and rows than this.
 _END = 2**31 - 1
+NONE = 1 << 63
 SPAN_BYTES, SPAN_ROWS = 16_000_000, 200_000
 
 
@@ -37,7 +44,7 @@ class Automaton:
 
     def __init__(self) -> None:
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.first = [-1], [0], [1 << 62]
+        self.link, self.length, self.first = [-1], [0], [NONE]
 
     def _state(self, length: int, first: int, like: int = -1) -> int:
         self.next.append(dict(self.next[like]) if like >= 0 else {})
@@ -79,7 +86,7 @@ class Automaton:
                 self.first[self.link[v]] = min(self.first[self.link[v]], self.first[v])
 
     def firsts(self, words: list[int], window: int) -> list[int]:
-        """For each window of the words, the least document that holds it (none: a very large number)."""
+        """For each window of the words, the least document that holds it (or NONE)."""
         out, v, n = [], 0, 0
         for i, c in enumerate(words):
             while v and c not in self.next[v]:
@@ -91,7 +98,7 @@ class Automaton:
                 v = self.link[v]
                 n = self.length[v]
             if i >= window - 1:
-                out.append(self.first[v] if n >= window else 1 << 62)
+                out.append(self.first[v] if n >= window else NONE)
         return out
 
 
@@ -104,8 +111,106 @@ def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return g[place[starts]], starts, np.diff(np.append(starts, len(place)))
 
 
-def _candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, start, n, hot: the runs of windows whose minimizer stands in several documents."""
+def _is_in(key: np.ndarray, often: np.ndarray) -> np.ndarray:
+    if not len(often):
+        return np.zeros(len(key), bool)
+    return often[np.minimum(np.searchsorted(often, key), len(often) - 1)] == key
+
+
+def _segments(key: np.ndarray, start: np.ndarray, n: np.ndarray, often: np.ndarray) -> list[tuple[int, int]]:
+    """The longest stretches (first window, end) of windows with frequent minimizers."""
+    turn = np.diff(np.concatenate([[0], _is_in(key, often).astype(np.int8), [0]]))
+    first, last = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1) - 1
+    return list(zip(start[first].tolist(), (start[last] + n[last]).tolist(), strict=True))
+
+
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Minimizers that OFTEN documents of every SAMPLE-th hold, sorted; MOST_KEYS at most, those in most documents."""
+    held = _placed(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0), np.zeros(0, np.uint64))
+    many = held.groupBy("key").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= OFTEN)
+    keys = [r["key"] for r in many.orderBy(F.desc("n"), "key").limit(MOST_KEYS).collect()]
+    return np.sort(np.array(keys, np.int64).view(np.uint64))
+
+
+def _shared_windows(docs: DataFrame, often: np.ndarray) -> DataFrame:
+    """words, first, n: the windows with frequent minimizers that several documents hold, the first of these and the number of places."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHash()
+        seen: dict[bytes, list[int]] = {}
+        for batch in batches:
+            for doc_id, t in zip(ids(batch).tolist(), texts(batch), strict=True):
+                cut = t.split()
+                if len(cut) < WINDOW:
+                    continue
+                for a, b in _segments(*_runs(words.of(cut)), often):
+                    for i in range(a, b):
+                        x = b" ".join(cut[i : i + WINDOW])
+                        if x in seen:
+                            had = seen[x]
+                            had[0], had[1], had[2] = min(had[0], doc_id), max(had[1], doc_id), had[2] + 1
+                        else:
+                            seen[x] = [doc_id, doc_id, 1]
+                if len(seen) >= 50_000:
+                    yield rows(seen)
+                    seen = {}
+        if seen:
+            yield rows(seen)
+
+    def rows(seen: dict[bytes, list[int]]) -> pa.RecordBatch:
+        columns = zip(*seen.values(), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), *[pa.array(c, pa.int64()) for c in columns]], ["words", "first", "last", "n"])
+
+    found = docs.mapInArrow(windows, "words binary, first bigint, last bigint, n bigint")
+    return found.groupBy("words").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")).where("first < last").drop("last")
+
+
+def _streamed(docs: DataFrame, often: np.ndarray) -> tuple[DataFrame, DataFrame | None]:
+    """Spans (doc_id, start, stop) that the broadcast shard covers, and the candidates of frequent minimizers that are not in it (none: all are)."""
+    known = materialize(_shared_windows(docs, often))
+    rest = known.count() > SHARD_ROWS
+    shard = [(bytes(r["words"]), r["first"]) for r in known.orderBy(F.desc("n"), "words").limit(SHARD_ROWS).collect()]
+    sent = docs.sparkSession.sparkContext.broadcast(shard)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, number, words = Automaton(), {}, WordHash()
+        for x, first in sent.value:
+            automaton.add([number.setdefault(w, len(number)) for w in x.split()], first)
+        automaton.close()
+        for batch in batches:
+            out: list[tuple[int, int, int, bool]] = []
+            for doc_id, t in zip(ids(batch).tolist(), texts(batch), strict=True):
+                cut = t.split()
+                if len(cut) < WINDOW:
+                    continue
+                for a, b in _segments(*_runs(words.of(cut)), often):
+                    span = None
+                    for i, f in enumerate(automaton.firsts([number.get(w, -1) for w in cut[a : b + WINDOW - 1]], WINDOW), a):
+                        if f < doc_id:
+                            if span and i <= span[1]:
+                                span[1] = i + WINDOW
+                            else:
+                                if span:
+                                    out.append((doc_id, *span, True))
+                                span = [i, i + WINDOW]
+                        elif rest and f == NONE:
+                            out.append((doc_id, i, i + 1, False))
+                    if span:
+                        out.append((doc_id, *span, True))
+            if out:
+                columns = zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.bool_()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["doc_id", "start", "stop", "covered"])
+
+    found = docs.mapInArrow(stream, "doc_id bigint, start int, stop int, covered boolean")
+    if not rest:
+        return found.select("doc_id", "start", "stop"), None
+    found = materialize(found)
+    left = found.where("not covered").select("doc_id", "start", F.lit(1).alias("n"), F.lit(True).alias("hot"))
+    return found.where("covered").select("doc_id", "start", "stop"), left
+
+
+def _placed(docs: DataFrame, often: np.ndarray) -> DataFrame:
+    """key, doc_id, start, n: the runs of windows of every document, by minimizer, without those of frequent minimizers."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHash()
@@ -115,6 +220,9 @@ def _candidates(docs: DataFrame) -> DataFrame:
                 h = words.of(t.split())
                 if len(h) >= WINDOW:
                     key, start, n = _runs(h)
+                    if len(often):
+                        other = ~_is_in(key, often)
+                        key, start, n = key[other], start[other], n[other]
                     found.append((key, np.full(len(key), doc_id), start, n))
                     held += len(key)
                 if held >= 500_000:
@@ -127,6 +235,12 @@ def _candidates(docs: DataFrame) -> DataFrame:
         key, doc, start, n = (np.concatenate(x) for x in zip(*found, strict=True))
         return pa.RecordBatch.from_arrays([longs(key), longs(doc), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["key", "doc_id", "start", "n"])
 
+    return docs.mapInArrow(cut, "key bigint, doc_id bigint, start int, n int")
+
+
+def _candidates(docs: DataFrame, often: np.ndarray) -> DataFrame:
+    """doc_id, start, n, hot: the runs of windows whose minimizer stands in several documents, without those of frequent minimizers."""
+
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
@@ -144,8 +258,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
             part = slice(at, at + 200_000)
             yield pa.RecordBatch.from_arrays([pa.array(x[part]) for x in (doc, start, n, hot)], ["doc_id", "start", "n", "hot"])
 
-    runs = docs.mapInArrow(cut, "key bigint, doc_id bigint, start int, n int").repartition("key")
-    return runs.mapInArrow(shared, "doc_id bigint, start int, n int, hot boolean")
+    return _placed(docs, often).repartition("key").mapInArrow(shared, "doc_id bigint, start int, n int, hot boolean")
 
 
 def _covered(docs: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -247,7 +360,14 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     first = hashed.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
     copies = materialize(hashed.join(first, "h").where("doc_id > first").select(F.col("doc_id").alias("id")).distinct())
     alone = own.join(small(copies), F.col("doc_id") == F.col("id"), "left_anti")
-    found = _covered(alone, _candidates(alone)).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "stop")).alias("c"))
+    often = _frequent(alone)
+    candidates, spans = _candidates(alone, often), None
+    if len(often):
+        spans, left = _streamed(alone, often)
+        candidates = candidates.unionByName(left) if left is not None else candidates
+    covered = _covered(alone, candidates)
+    covered = covered.unionByName(spans) if spans is not None else covered
+    found = covered.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "stop")).alias("c"))
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
