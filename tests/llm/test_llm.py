@@ -165,6 +165,25 @@ def test_chat_round_trip_and_layouts(spark):
         assert [tuple(x) for x in chat.canonical(df).first().turns] == [("user", "q"), ("assistant", "a")]
     with pytest.raises(ValueError):
         chat.layout(spark.createDataFrame([(1,)], "z int").schema)
+    # files of several layouts read together: each row has its own; nested and other fields that no mapping asks for don't matter
+    mixed = [{**row, "conv_id": i, "z.y": 1, "text": "other"} for i, row in enumerate(layouts.values())] + [
+        {"conv_id": 4, "instruction": "q", "output": "a"},
+        {"conv_id": 5, "prompt": "q", "response": "a", "input": "not asked for"},
+        {"conv_id": 6, "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "prompt": "other"},
+        {"conv_id": 7, "response": "a"},
+        {"conv_id": 8},
+    ]
+    df = spark.read.json(spark.sparkContext.parallelize([json.dumps(row) for row in mixed]))
+    got = {r.conv_id: [tuple(x) for x in r.turns] for r in chat.canonical(df).collect()}
+    assert got == {**dict.fromkeys(range(7), [("user", "q"), ("assistant", "a")]), 7: [("user", ""), ("assistant", "a")], 8: []}
+    assert chat.fingerprint(["a[].b", "a[].c"]) == chat.fingerprint(["a[].c", "a[].b"])
+
+
+def test_chat_of_empty_tables_and_clashing_names(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "q", 5, "t"), (1, 0, "user", "q", 6, "t")], "conv_id long, turn long, role string, text string, x int, t string")
+    got = chat.digest(chat.format_chat(chat.canonical(rows))).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in got] == [(1, 2, 0)]
+    assert chat.digest(chat.format_chat(chat.canonical(rows.limit(0)))).count() == 0
 
 
 def test_sql_forms(spark):

@@ -1,7 +1,9 @@
 """Chat formatting: nested schemas are fingerprinted, and the fingerprint selects the mapping into canonical turns.
 
-Everything is DataFrame expressions. A fingerprint is the SHA-256 of the sorted field paths of a schema (arrays as `[]`), restricted to
-those that a mapping needs, so extra columns don't matter. Canonical form: conv_id and `turns`, an array of (role, text).
+Everything is DataFrame expressions. A fingerprint is the SHA-256 of the sorted field paths (arrays as `[]`) of all columns that a layout may use,
+nested fields that no mapping asks for included; other columns don't matter. The registry has the fingerprint of each set of these columns and the mapping that
+it selects. Where a table holds rows of several layouts, as files read together do, each row is fingerprinted by its columns that are not
+null. Canonical form: conv_id and `turns`, an array of (role, text).
 
 The template writes a turn as `### role:` and a line end, the text, and `</turn>` and a line end. Inside roles and texts `\\`, `<`, `#` and, in
 roles, `:` are written as `\\b`, `\\l`, `\\h` and `\\c`, so no control string can occur in them and each can be read back.
@@ -12,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,11 +38,15 @@ def fingerprint(found: list[str]) -> str:
 
 @dataclass(frozen=True)
 class Mapping:
-    """A layout: the field paths that it needs, and its turns as an expression (an array of role and text), or rows by turn."""
+    """A layout: the field paths that it needs and may have, and its turns as an expression of the columns there (an array of role and text), or rows by turn."""
 
     name: str
     needs: tuple[str, ...]
-    turns: Callable[[], Column] | None = None
+    turns: Callable[[frozenset[str]], Column] | None = None
+    may: tuple[str, ...] = ()
+
+    def columns(self) -> set[str]:
+        return {p.split("[")[0] for p in self.needs + self.may}
 
 
 def _turn(role: Column, text: Column) -> Column:
@@ -52,39 +59,77 @@ def _listed(column: str, role: str, text: str) -> Column:
     return F.coalesce(turns, F.array().cast("array<struct<role:string,text:string>>"))
 
 
-#: Mappings by preference: the first whose paths a schema has is taken.
+def _instructed(have: frozenset[str]) -> Column:
+    more = F.when(F.col("input") != "", F.col("input")) if "input" in have else F.lit(None)
+    return F.array(_turn(F.lit("user"), F.concat_ws("\n", F.col("instruction"), more)), _turn(F.lit("assistant"), F.col("output")))
+
+
+#: Mappings by preference: of those whose paths a schema or row has, the first is taken.
 MAPPINGS = (
-    Mapping("messages", ("messages[].content", "messages[].role"), lambda: _listed("messages", "role", "content")),
-    Mapping("from-value", ("conversations[].from", "conversations[].value"), lambda: _listed("conversations", "from", "value")),
-    Mapping(
-        "instruction",
-        ("input", "instruction", "output"),
-        lambda: F.array(_turn(F.lit("user"), F.concat_ws("\n", F.col("instruction"), F.when(F.col("input") != "", F.col("input")))), _turn(F.lit("assistant"), F.col("output"))),
-    ),
-    Mapping("prompt-response", ("prompt", "response"), lambda: F.array(_turn(F.lit("user"), F.col("prompt")), _turn(F.lit("assistant"), F.col("response")))),
+    Mapping("messages", ("messages[].content", "messages[].role"), lambda _: _listed("messages", "role", "content")),
+    Mapping("from-value", ("conversations[].from", "conversations[].value"), lambda _: _listed("conversations", "from", "value")),
+    Mapping("instruction", ("instruction", "output"), _instructed, ("input",)),
+    Mapping("prompt-response", ("prompt", "response"), lambda _: F.array(_turn(F.lit("user"), F.col("prompt")), _turn(F.lit("assistant"), F.col("response")))),
     Mapping("rows by turn", ("role", "text", "turn")),
 )
-_BY_PRINT = {fingerprint(list(m.needs)): m for m in MAPPINGS}
+
+
+def known_columns(schema: T.StructType) -> dict[str, list[str]]:
+    """The columns that a mapping may use, each with all of its field paths."""
+    own = {f.name: paths(T.StructType([f])) for f in schema.fields}
+    every = {p for found in own.values() for p in found}
+    fit = [m for m in MAPPINGS if every.issuperset(m.needs)]
+    return {c: own[c] for c in sorted(own) if any(c in m.columns() for m in fit)}
+
+
+def registry(columns: dict[str, list[str]]) -> dict[str, Mapping]:
+    """Fingerprint of each set of the columns, and the mapping that it selects.
+
+    That is the first whose needs the set has; failing that the first that uses any of the set, with what is absent empty.
+    """
+    found = {}
+    for n in range(1, len(columns) + 1):
+        for some in combinations(columns, n):
+            have = [p for c in some for p in columns[c]]
+            whole = [m for m in MAPPINGS if set(have).issuperset(m.needs)]
+            part = [m for m in MAPPINGS if m.columns().intersection(some)]
+            found[fingerprint(have)] = (whole or part)[0]
+    return found
 
 
 def layout(schema: T.StructType) -> Mapping:
-    """The mapping whose fingerprint the schema's own paths give."""
-    own = set(paths(schema))
-    for m in MAPPINGS:
-        if found := _BY_PRINT.get(fingerprint([p for p in m.needs if p in own])):
-            return found
-    raise ValueError(f"no mapping for the fields {sorted(own)}")
+    """The mapping that the fingerprint of the schema's known columns selects."""
+    columns = known_columns(schema)
+    if not columns:
+        raise ValueError(f"no mapping for the fields {paths(schema)}")
+    return registry(columns)[fingerprint([p for c in columns.values() for p in c])]
+
+
+def _row_turns(schema: T.StructType) -> Column:
+    """Turns by the layout of each row, where the schema has whole layouts of several kinds."""
+    columns = known_columns(schema)
+    have = frozenset(columns)
+    whole = [m for m in MAPPINGS if m.turns and have.issuperset(m.columns() - {p.split("[")[0] for p in m.may})]
+    if len(whole) == 1:
+        return whole[0].turns(have)
+    columns = {c: p for c, p in columns.items() if any(c in m.columns() for m in whole)}
+    names = {p: m.name for p, m in registry(columns).items()}
+    present = F.flatten(F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.array(*map(F.lit, p))) for c, p in columns.items()])))
+    own = F.sha2(F.array_join(F.array_sort(present), "\n").cast("binary"), 256)
+    name = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), own), F.lit(whole[0].name))
+    return F.coalesce(*[F.when(name == m.name, m.turns(have)) for m in whole])
 
 
 def canonical(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """conv_id and turns of every conversation of a known layout.
 
     Null texts and roles are empty. Rows by turn are ordered by turn (null first), then role, then text; rows that repeat are
-    turns of their own. A conversation is one row by nature: its turns are gathered by its id.
+    turns of their own. A conversation is one row by nature: its turns are gathered by its id. A row without any column of a layout has what the
+    schema's first layout makes of nulls. Other columns are left out, whatever their names.
     """
     m = layout(df.schema)
     if m.turns:
-        return df.select(F.col(conv_id).cast("long").alias("conv_id"), m.turns().alias("turns"))
+        return df.select(F.col(conv_id).cast("long").alias("conv_id"), _row_turns(df.schema).alias("turns"))
     rows = df.select(F.col(conv_id).cast("long").alias("conv_id"), "turn", _turn(F.col("role"), F.col("text")).alias("x"))
     gathered = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "x.role", "x.text"))).alias("t"))
     return gathered.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
