@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import approved, avg_if, bucket_label, distinct_if, ratio, row_time, to_time, upper
 from tidewatch.operators.aggregates import cumulative, hop
-from tidewatch.operators.over import contact_counts, lag_rows, velocity_features
+from tidewatch.operators.over import contact_counts, lag_rows, trailing, velocity_features
 from tidewatch.sources.credit import applies, with_event_time
 
 SF = "/root/testdata/sf0.001"
@@ -84,6 +84,19 @@ def test_nobody_names_a_null_contact(spark):
     assert {(r.APP_NO, r.n) for r in contact_counts(later, "CERT_NO", "SPOUSE_CERT_NO", {"n": 7}).collect()} == {("a", 0), ("b", 0), ("c", 0), ("d", 1)}
 
 
+def test_trailing_of_null_keys_times_and_fractions_equals_frames(spark):
+    rows = [(k, None if k % 11 == 0 else f"k{k % 5}", None if k % 13 == 0 else (k * 7919) % 900_000, None if k % 7 == 0 else k / 3, None if k % 4 == 0 else str(k % 9)) for k in range(600)]
+    df = spark.createDataFrame(rows + rows[:40], "seq long, k string, t long, v double, c string").withColumn("et", F.timestamp_seconds("t"))
+    got = trailing(df, ["k"], {"a": 1, "b": 3}, {"n": F.lit(1), "v": F.col("v")}, {"c": "c"})
+    assert got.count() == 640 and got.where("t is null and (a_n <> 0 or b_v <> 0 or b_c <> 0)").count() == 0
+    for h, days in (("a", 1), ("b", 3)):
+        w = Window.partitionBy("k").orderBy("t").rangeBetween(-days * 86_400, 0)
+        want = df.where("t is not null").select("seq", F.count("*").over(w), F.round(F.coalesce(F.sum("v").over(w), F.lit(0.0)), 6), F.size(F.collect_set("c").over(w)))
+        own = got.where("t is not null").select("seq", f"{h}_n", F.round(f"{h}_v", 6), f"{h}_c")
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, want.collect()))
+    assert trailing(df.limit(0), ["k"], {"a": 1}, {"n": F.lit(1)}).count() == 0
+
+
 @pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal(20,6)", "string", "boolean"])
 def test_lag_keeps_types(spark, kind):
     df = spark.createDataFrame([(1, "1"), (2, None), (3, "0")], "i long, v string").withColumns({"k": F.lit(1), "v": F.col("v").cast(kind)})

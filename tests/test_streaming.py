@@ -48,11 +48,27 @@ def test_windows_and_their_join(spark, tmp_path):
 def test_trailing_counts(spark, tmp_path):
     x = credit.loans(spark, SF).where("APPLY_TIME < 1705000000")
     rows = credit.read_topic(spark, topic(x, f"{tmp_path}/x"), x.drop("et").schema.simpleString()[7:-1].replace(":", " "), "APPLY_TIME", "s", "0 seconds")
-    got = {(r.id, r.n) for r in drain(live.trailing_counts(rows, "CERT_NO", "APP_NO", 7 * 86400), tmp_path, "append", "trailing").collect()}
-    want = {(r.APP_NO, r.n) for r in over.trailing(x, ["CERT_NO"], 7, {"n": F.count(F.lit(1))}).collect()}
+    counts = live.trailing_counts(rows, "CERT_NO", "APP_NO", 7 * 86400, F.when(F.col("CERT_TYPE") == "1", 1), "SPOUSE_MOBILE_NO")
+    got = {(r.id, r.n, r.s, r.d) for r in drain(counts, tmp_path, "append", "trailing").collect()}
+    batch = over.trailing(x, ["CERT_NO"], {"d7": 7}, {"n": F.lit(1), "s": F.when(F.col("CERT_TYPE") == "1", 1)}, {"d": "SPOUSE_MOBILE_NO"})
+    want = {(r.APP_NO, r.d7_n, r.d7_s, r.d7_d) for r in batch.collect()}
     assert len(got) > 0.9 * len(want) and got <= want
 
 
+def test_trailing_counts_of_several_batches_and_values(spark, tmp_path):
+    rows = [(k, str(k % 2), 90_000 + (k * 613) % 9000, str(k % 5) if k % 3 else None) for k in range(300)]
+    x = spark.createDataFrame(rows, "id long, k string, t long, v string")
+    for lo in range(90_000, 99_000, 3000):  # three files in order of time, one for each batch
+        x.where(f"t >= {lo} and t < {lo + 3000}").coalesce(1).write.mode("append").json(f"{tmp_path}/x")
+    live_rows = credit.read_topic(spark, f"{tmp_path}/x/", "id long, k string, t long, v string", "t", "s", "0 seconds", reader_options={"maxFilesPerTrigger": 1})
+    rows = drain(live.trailing_counts(live_rows, "k", "id", 1800, F.col("id"), "v"), tmp_path, "append", "parts").collect()
+    want = {}
+    for r in (own := x.collect()):
+        frame = [y for y in own if y.k == r.k and r.t - 1800 <= y.t <= r.t]
+        want[str(r.id)] = (len(frame), sum(y.id for y in frame), len({y.v for y in frame if y.v is not None}))
+    assert len(rows) > 290 and not [(r, want[r.id]) for r in rows if want[r.id] != (r.n, r.s, r.d)]
+
+
 def test_store(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1, "2024-01-01"), ("a", 2, "2024-01-02"), ("b", 3, "2024-01-01")], "k string, v int, t string").withColumn("t", F.to_timestamp("t"))
     live.kv_upsert(rows, f"{tmp_path}/store", "k", "v", "t", 3, 0)
@@ -61,6 +77,12 @@ def test_store(spark, tmp_path):
     asked = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
     got = live.kv_lookup(asked, store, "k", F.to_timestamp(F.lit("2024-01-04 12:00:00")))
     assert {r.k: r.value for r in got.collect()} == {"a": "2", "b": None, "c": None}
+    for _ in range(2):  # done again, it is the same
+        live.kv_compact(store, f"{tmp_path}/less", F.to_timestamp(F.lit("2024-01-04 12:00:00")))
+    live.kv_upsert(rows.where("k = 'b'"), f"{tmp_path}/less", "k", "v", "t", 30, 1)
+    less = spark.read.parquet(f"{tmp_path}/less")
+    again = live.kv_lookup(asked, less, "k", F.to_timestamp(F.lit("2024-01-04 12:00:00")))
+    assert less.count() == 2 and {r.k: r.value for r in again.collect()} == {"a": "2", "b": "3", "c": None}
 
 
 def test_json_sink(spark, tmp_path):

@@ -49,6 +49,30 @@ def _dealt(df: DataFrame, keys: list[str], leave: dict[str, Column], slide: int,
     return rows.select(*keys, F.col("e.at").alias("at"), *cols)
 
 
+def exact(df: DataFrame, sums: dict[str, Column]) -> tuple[dict[str, Column], dict[str, str]]:
+    """Addends that can be taken off again without a rest: fractions as decimals of 15 places. And the types that their sums are cast back to."""
+    types = dict(df.select(*[c.alias(n) for n, c in sums.items()]).dtypes) if sums else {}
+    kinds = {n: "double" if t in ("double", "float") else "long" for n, t in types.items()}
+    return {n: c.cast("decimal(36,15)" if kinds[n] == "double" else "long") for n, c in sums.items()}, kinds
+
+
+def levels(points: DataFrame, keys: list[str], names: list[str], seconds: int = 86_400) -> DataFrame:
+    """Running sums of `names` at every point of a key: keys, day, at (seconds), names. Null keys are a key; null addends add nothing.
+
+    Points are dealt out by key and day (of so many seconds): one key's points don't meet in one task, and the days before count with their
+    totals. Points that may be many in one second of a key should be added up before. The result stays dealt out by key and day.
+    """
+    key = F.struct(*keys).alias("__key")  # never null, and equal where its fields are null alike
+    dealt = points.select(key, F.floor(F.col("at") / seconds).alias("day"), "at", *names).repartition("__key", "day")
+    steps = dealt.groupBy("__key", "day", "at").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    total = steps.groupBy("__key", "day").agg(*[F.sum(n).alias(n) for n in names])
+    before = Window.partitionBy("__key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    total = total.select("__key", "day", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__p_{n}") for n in names])
+    so_far = Window.partitionBy("__key", "day").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    sums = [(F.sum(n).over(so_far) + F.col(f"__p_{n}")).alias(n) for n in names]
+    return steps.join(total, ["__key", "day"]).select(*[F.col("__key")[k].alias(k) for k in keys], "day", "at", *sums)
+
+
 def hop(df: DataFrame, keys: list[str], slide: int, sizes: dict[str, int], sums: dict[str, Column], sets: dict[str, Column] | None = None) -> DataFrame:
     """Sliding windows of several sizes in one row per (keys, w_end): columns n_<size>, <sum>_<size>, <set>_<size> (distinct values).
 
@@ -62,31 +86,26 @@ def hop(df: DataFrame, keys: list[str], slide: int, sizes: dict[str, int], sums:
     longest = max(sizes.values())
     day = slide * -(-max(86_400, longest + slide) // slide)
     pane = (F.floor(F.unix_seconds("et") / slide) * slide).cast("long").alias("pane")
-    kinds = dict(df.select(*[c.alias(n) for n, c in sums.items()]).dtypes) if sums else {}
-    exact = {n: c.cast("decimal(36,15)") if kinds[n] in ("double", "float") else c.cast("long") for n, c in sums.items()}
-    panes = df.groupBy(*keys, pane).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in exact.items()])
+    own, kinds = exact(df, sums)
+    panes = df.groupBy(*keys, pane).agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in own.items()])
     points = _dealt(panes, keys, {s: F.col("pane") + z for s, z in sizes.items()}, slide, {n: F.col(n) for n in ("n", *sums)}, sizes)
     for name, value in sets.items():
         held = df.select(*keys, pane, value.alias("__v")).where("__v is not null").distinct()
         again = F.lead("pane").over(Window.partitionBy(*keys, "__v").orderBy("pane"))
         held = held.withColumn("again", again)
         leave = {s: F.least(F.col("pane") + z, F.coalesce("again", F.col("pane") + z)) for s, z in sizes.items()}
-        points = points.unionByName(_dealt(held, keys, leave, slide, {name: F.lit(1).cast("long")}, sizes), allowMissingColumns=True)
+        held = _dealt(held, keys, leave, slide, {name: F.lit(1).cast("long")}, sizes)
+        held = held.groupBy(*keys, "at").agg(*[F.sum(f"{name}_{s}").alias(f"{name}_{s}") for s in sizes])
+        points = points.unionByName(held, allowMissingColumns=True)
     names = [f"{n}_{s}" for n in ("n", *sums, *sets) for s in sizes]
     # each day that something may last into begins with a point of its own
     both = points.withColumn("__at", F.explode(F.array("at", ((F.floor(F.col("at") / day) + 1) * day).cast("long"))))
     both = both.select(*keys, F.col("__at").alias("at"), *[F.when(F.col("at") == F.col("__at"), F.col(n)).alias(n) for n in names])
-    steps = both.groupBy(*keys, F.floor(F.col("at") / day).alias("day"), "at").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
-    before = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    total = steps.groupBy(*keys, "day").agg(*[F.sum(n).alias(n) for n in names])
-    total = total.select(*keys, "day", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"p_{n}") for n in names])
-    w = Window.partitionBy(*keys, "day").orderBy("at")
-    until = F.coalesce(F.lead("at").over(w), (F.col("day") + 1) * day).alias("until")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    level = steps.join(total, [*keys, "day"]).select(*keys, "at", until, *[(F.sum(n).over(so_far) + F.col(f"p_{n}")).alias(n) for n in names])
+    until = F.coalesce(F.lead("at").over(Window.partitionBy(*keys, "day").orderBy("at")), (F.col("day") + 1) * day).alias("until")
+    level = levels(both, keys, names, day).select(*keys, "at", until, *names)
     big = max(sizes, key=sizes.__getitem__)
     ends = F.explode(F.sequence(F.col("at"), F.col("until") - slide, F.lit(slide).cast("long"))).alias("w_end")
-    back = [F.col(f"{n}_{s}").cast("double" if kinds.get(n) in ("double", "float") else "long").alias(f"{n}_{s}") for n in ("n", *sums, *sets) for s in sizes]
+    back = [F.col(f"{n}_{s}").cast(kinds.get(n, "long")).alias(f"{n}_{s}") for n in ("n", *sums, *sets) for s in sizes]
     return level.where(F.col(f"n_{big}") > 0).select(*keys, *back, ends).select(*keys, "w_end", *names)
 
 

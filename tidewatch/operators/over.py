@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.aggregates import exact, levels
+
 DAY = 86_400
 
 
@@ -20,26 +22,59 @@ def lag_rows(df: DataFrame, keys: list[str], order: list[str], value: str, n: in
     return df.withColumn(name or f"{value}_lag_{n}", out)
 
 
-def trailing(df: DataFrame, keys: list[str], days: int, measures: dict[str, Column], distinct: dict[str, str] | None = None) -> DataFrame:
-    """Measures over the last days up to and with the row's second, by key; `distinct` counts distinct values of a column."""
-    w = Window.partitionBy(*keys).orderBy(F.unix_seconds("et")).rangeBetween(-days * DAY, 0)
-    own = {n: m.over(w) for n, m in measures.items()} | {n: F.size(F.collect_set(c).over(w)).cast("long") for n, c in (distinct or {}).items()}
-    return df.select("*", *[c.alias(n) for n, c in own.items()])
+def trailing(df: DataFrame, keys: list[str], horizons: dict[str, int], sums: dict[str, Column] | None = None, distinct: dict[str, str] | None = None, named: dict[str, str] | None = None) -> DataFrame:
+    """Rows with columns <horizon>_<name>: sums over the last days (`horizons`: name, days) up to and with the row's second, by key.
 
+    `sums` are the addends of each row. `distinct` counts the distinct values of a column; `named` counts the rows, of any key, whose column names
+    this row's one key. A row is added at its second and taken off where each horizon ends; a value leaves with the horizon or where it comes anew.
+    Running sums over these points are dealt out by key and day (see `levels`) and come back to the rows by key and second. So no frame is gone
+    through again for each row, no sets are kept, and the rows of one frequent key are work for many tasks. Null keys are a key of their own, but
+    named by nobody; a null addend or value adds nothing; fractions are summed as decimals of 15 places. Rows without a time count 0 and are
+    counted by none.
+    """
+    return meet(df, keys, trailing_levels(df, keys, horizons, sums, distinct, named))
+
+
+def trailing_levels(df: DataFrame, keys: list[str], horizons: dict[str, int], sums: dict[str, Column] | None = None, distinct: dict[str, str] | None = None, named: dict[str, str] | None = None) -> DataFrame:
+    """What `trailing` finds at every second of a key: keys, at (epoch seconds), <horizon>_<name>."""
+    sums, distinct, named = sums or {}, distinct or {}, named or {}
+    own, kinds = exact(df, sums)
+    timed = df.withColumn("__es", F.unix_seconds("et")).where("__es is not null")
+    names = [f"{h}_{n}" for h in horizons for n in (*sums, *distinct, *named)]
+
+    def points(held: DataFrame, values: dict[str, Column], leave: dict[str, Column]) -> DataFrame:
+        events = [F.struct(F.col("__es").alias("at"), F.lit("").alias("out"))] + [F.struct(leave[h].alias("at"), F.lit(h).alias("out")) for h in horizons]
+        cols = [F.when(F.col("__e.out") == "", c).when(F.col("__e.out") == h, -c).alias(f"{h}_{n}") for n, c in values.items() for h in horizons]
+        return held.withColumn("__e", F.explode(F.array(*events))).select(*keys, F.col("__e.at").alias("at"), *cols)
+
+    ends = {h: F.col("__es") + d * DAY + 1 for h, d in horizons.items()}
+    # every row's second is a point, if only to be asked at
+    asked = timed.groupBy(*keys, "__es").agg(F.count("*").alias("__rows"), *[F.sum(c).alias(f"__s_{n}") for n, c in own.items()])
+    out = points(asked, {n: F.col(f"__s_{n}") for n in sums}, ends)
+    for n, c in distinct.items():
+        held = timed.select(*keys, F.col(c).alias("__v"), "__es").where("__v is not null").distinct()
+        held = held.withColumn("__again", F.lead("__es").over(Window.partitionBy(*keys, "__v").orderBy("__es")))
+        until = {h: F.least(e, F.coalesce("__again", e)) for h, e in ends.items()}
+        held = points(held, {n: F.lit(1).cast("long")}, until).groupBy(*keys, "at").agg(*[F.sum(f"{h}_{n}").alias(f"{h}_{n}") for h in horizons])
+        out = out.unionByName(held, allowMissingColumns=True)
+    for n, c in named.items():
+        held = timed.select(F.col(c).alias(keys[0]), "__es").where(F.col(keys[0]).isNotNull()).groupBy(keys[0], "__es").agg(F.count("*").alias("__rows"))
+        out = out.unionByName(points(held, {n: F.col("__rows")}, ends), allowMissingColumns=True)
+    cast = {f"{h}_{n}": t for h in horizons for n, t in kinds.items()}
+    return levels(out, keys, names).select(*keys, "at", *[F.col(n).cast(cast.get(n, "long")).alias(n) for n in names])
+
+
+def meet(df: DataFrame, keys: list[str], found: DataFrame) -> DataFrame:
+    """Rows with the values that stand at their key and second, 0 where none do."""
+    names = [c for c in found.columns if c not in (*keys, "at")]
+    found = found.select(F.struct(*keys).alias("__key"), F.col("at").alias("__at"), *[F.col(n).alias(f"__{n}") for n in names])
+    rows = df.withColumns({"__key": F.struct(*keys), "__at": F.unix_seconds("et")})
+    return rows.join(found, ["__key", "__at"], "left").select(*df.columns, *[F.coalesce(F.col(f"__{n}"), F.lit(0)).alias(n) for n in names])
 
-def contact_counts(df: DataFrame, own: str, other: str, horizons: dict[str, int]) -> DataFrame:
-    """For each row, how many rows of the last days name its `own` id as their `other` one; columns by name of horizon.
 
-    Both ids stand in one tagged union, so one window finds the counts and the rows come back without a join. A null id is named by nobody: its
-    rows count none, and rows that name nobody are not dealt out.
-    """
-    mine = df.select(F.col(own).alias("__id"), "et", F.lit(0).alias("__real"), F.struct("*").alias("__row"))
-    theirs = df.where(F.col(other).isNotNull()).select(F.col(other).alias("__id"), "et", F.lit(1).alias("__real"), F.lit(None).cast(mine.schema["__row"].dataType).alias("__row"))
-    both = mine.unionByName(theirs)
-    for name, days in horizons.items():
-        w = Window.partitionBy("__id").orderBy(F.unix_seconds("et")).rangeBetween(-days * DAY, 0)
-        both = both.withColumn(name, F.sum("__real").over(w))
-    return both.where("__real = 0").select("__row.*", *horizons)
+def contact_counts(df: DataFrame, own: str, other: str, horizons: dict[str, int]) -> DataFrame:
+    """For each row, how many rows of the last days name its `own` id as their `other` one; columns by name of horizon. A null id is named by nobody."""
+    return trailing(df, [own], horizons, named={"named": other}).withColumnsRenamed({f"{h}_named": h for h in horizons})
 
 
 def union_ids(df: DataFrame, own: str, other: str) -> DataFrame:
@@ -63,16 +98,18 @@ def velocity_features(df: DataFrame, horizons: tuple[int, ...] = (1, 3, 7), drop
     """
     if drop_null_keys:
         df = df.dropna(subset=["CERT_NO", "MOBILE_NUM", "COMP_NAME", "STANDARD_ADDR"])
-    names = {d: f"{_NAMES.get(d, d)}_days" for d in horizons}
-    one = F.count(F.lit(1))
-    for d, n in names.items():
-        df = trailing(df, ["CERT_NO"], d, {f"{n}_cert_apply_num": one}, {f"{n}_cert_couple_num": "SPOUSE_CERT_NO", f"{n}_cert_couple_mobile_num": "SPOUSE_MOBILE_NO"})
-    for keys, name in ((["CERT_NO", "MOBILE_NUM"], "both"), (["MOBILE_NUM"], "mobile"), (["COMP_NAME"], "company_apply_num"), (["STANDARD_ADDR"], "address_apply_num")):
-        for d, n in names.items():
-            df = trailing(df, keys, d, {f"{n}_{name}": one})
-    df = contact_counts(df, "CERT_NO", "SPOUSE_CERT_NO", {f"{n}_cert_contact_num": d for d, n in names.items()})
-    df = contact_counts(df, "MOBILE_NUM", "SPOUSE_MOBILE_NO", {f"{n}_mobile_contact_num": d for d, n in names.items()})
+    names = {f"{_NAMES.get(d, d)}_days": d for d in horizons}
+    one = F.lit(1)
+    df = df.select("APP_NO", "CERT_NO", "MOBILE_NUM", "COMP_NAME", "STANDARD_ADDR", "SPOUSE_CERT_NO", "SPOUSE_MOBILE_NO", "et")
+    couples = {"cert_couple_num": "SPOUSE_CERT_NO", "cert_couple_mobile_num": "SPOUSE_MOBILE_NO"}
+    # all are found on the rows as they came, so that the plan grows with the features and not with the joins before
+    found = {("CERT_NO",): trailing_levels(df, ["CERT_NO"], names, {"cert_apply_num": one}, couples, {"cert_contact_num": "SPOUSE_CERT_NO"})}
+    found |= {("MOBILE_NUM",): trailing_levels(df, ["MOBILE_NUM"], names, {"mobile": one}, named={"mobile_contact_num": "SPOUSE_MOBILE_NO"})}
+    for keys, name in ((("CERT_NO", "MOBILE_NUM"), "both"), (("COMP_NAME",), "company_apply_num"), (("STANDARD_ADDR",), "address_apply_num")):
+        found |= {keys: trailing_levels(df, list(keys), names, {name: one})}
+    for keys, own in found.items():
+        df = meet(df, list(keys), own)
     kept = ("cert_apply_num", "cert_contact_num", "mobile_contact_num", "cert_or_mobile_num", "cert_couple_num", "cert_couple_mobile_num", "company_apply_num", "address_apply_num")
-    for n in names.values():
+    for n in names:
         df = df.withColumn(f"{n}_cert_or_mobile_num", F.col(f"{n}_cert_apply_num") - F.col(f"{n}_both") + F.col(f"{n}_mobile"))
-    return df.select("APP_NO", "CERT_NO", *[f"{n}_{k}" for n in names.values() for k in kept])
+    return df.select("APP_NO", "CERT_NO", *[f"{n}_{k}" for n in names for k in kept])

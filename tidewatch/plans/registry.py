@@ -195,10 +195,10 @@ _put("union_ids", lambda a, r, x: over.union_ids(x, "CERT_NO", "SPOUSE_CERT_NO")
 _put("contact_velocity", lambda a, r, x: over.contact_counts(x, "CERT_NO", "SPOUSE_CERT_NO", {"n7": 7}).select("APP_NO", "n7"), f" SELECT APP_NO, (SELECT count(*) FROM l y WHERE y.SPOUSE_CERT_NO = l.CERT_NO AND y.es BETWEEN l.es - {7 * 86400} AND l.es) AS n7 FROM l")
 _RANGE = "(PARTITION BY {} ORDER BY es RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)"
 for _n, _k in {"cert": ["CERT_NO"], "mobile": ["MOBILE_NUM"], "cert_mobile": ["CERT_NO", "MOBILE_NUM"], "company": ["COMP_NAME"], "address": ["STANDARD_ADDR"]}.items():
-    _put(f"velocity_{_n}", lambda a, r, x, k=_k: over.trailing(x, k, 7, {"n": F.count(F.lit(1))}).select("APP_NO", "n"), f" SELECT APP_NO, count(*) OVER {_RANGE.format(', '.join(_k))} AS n FROM l")
-_put("velocity_conditional", lambda a, r, x: over.trailing(x, ["CERT_NO"], 7, {"n": F.sum(F.when(F.col("CERT_TYPE") == "1", 1).otherwise(0)), "m": F.count("APP_NO")}).select("APP_NO", "n", "m"),
+    _put(f"velocity_{_n}", lambda a, r, x, k=_k: over.trailing(x, k, {"d7": 7}, {"n": F.lit(1)}).select("APP_NO", F.col("d7_n").alias("n")), f" SELECT APP_NO, count(*) OVER {_RANGE.format(', '.join(_k))} AS n FROM l")
+_put("velocity_conditional", lambda a, r, x: over.trailing(x, ["CERT_NO"], {"d7": 7}, {"n": F.when(F.col("CERT_TYPE") == "1", 1), "m": F.when(F.col("APP_NO").isNotNull(), 1)}).select("APP_NO", F.col("d7_n").alias("n"), F.col("d7_m").alias("m")),
      f" SELECT APP_NO, (sum(CASE WHEN CERT_TYPE = '1' THEN 1 ELSE 0 END) OVER {_RANGE.format('CERT_NO')})::BIGINT AS n, count(APP_NO) OVER {_RANGE.format('CERT_NO')} AS m FROM l")
-_put("velocity_distinct", lambda a, r, x: over.trailing(x, ["COMP_NAME", "STANDARD_ADDR"], 1, {}, {"n": "SPOUSE_CERT_NO"}).select("APP_NO", "n"), " SELECT APP_NO, count(DISTINCT SPOUSE_CERT_NO) OVER (PARTITION BY COMP_NAME, STANDARD_ADDR ORDER BY es RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS n FROM l")
+_put("velocity_distinct", lambda a, r, x: over.trailing(x, ["COMP_NAME", "STANDARD_ADDR"], {"d1": 1}, distinct={"n": "SPOUSE_CERT_NO"}).select("APP_NO", F.col("d1_n").alias("n")), " SELECT APP_NO, count(DISTINCT SPOUSE_CERT_NO) OVER (PARTITION BY COMP_NAME, STANDARD_ADDR ORDER BY es RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS n FROM l")
 _ALL["velocity_features"] = (lambda a, r, x: over.velocity_features(x), _velocity((1, 3, 7)))
 _ALL["velocity_features_7d"] = (lambda a, r, x: over.velocity_features(x, (7,)), _velocity((7,)))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,39 +48,57 @@ def kv_lookup(df: DataFrame, store: DataFrame, key: str, as_of: Column) -> DataF
     return joined.withColumn("value", F.when(F.col("v.expires_at") > as_of, F.col("v.value"))).drop("key", "v")
 
 
+def kv_compact(store: DataFrame, path: str, as_of: Column) -> None:
+    """Write what is left of a store to a new one: the last value of each key, unless it has expired. Later batches go to the new folder."""
+    latest = store.groupBy("key").agg(F.max_by(F.struct("value", "written", "expires_at"), "written").alias("v")).select("key", "v.*")
+    latest.where(F.col("expires_at") > as_of).write.mode("overwrite").parquet(f"{path}/batch=-1")
+
+
 class TrailingCount(StatefulProcessor):
-    """For each row of a key, in order of time: how many rows its trailing frame holds. Rows wait until the watermark has passed them."""
+    """For each row of a key, in order of time: rows, sum of addends and distinct values of its trailing frame. Rows wait until the watermark has passed them."""
 
     def __init__(self, seconds: int) -> None:
         self.seconds = seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getListState("past", "es bigint")
-        self.waiting = handle.getListState("waiting", "id string, es bigint")
+        self.past = handle.getListState("past", "es bigint, id string, s bigint, v string")
+        self.waiting = handle.getListState("waiting", "es bigint, id string, s bigint, v string")
 
     def _emit(self, key: tuple, until: int) -> Iterator[pd.DataFrame]:
-        waiting = sorted(self.waiting.get(), key=lambda r: (r[1], r[0]))
-        ready = [r for r in waiting if r[1] * 1000 <= until]
+        waiting = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2])
+        ready = [r for r in waiting if r[0] * 1000 <= until]
         if not ready:
             return
-        past = sorted([r[0] for r in self.past.get()] + [r[1] for r in ready])
-        rows = [(key[0], r[0], r[1], bisect_right(past, r[1]) - bisect_left(past, r[1] - self.seconds)) for r in ready]
-        kept = [(t,) for t in past if t > until // 1000 - self.seconds]
-        later = [r for r in waiting if r[1] * 1000 > until]
-        self.past.clear()
-        self.waiting.clear()
-        if kept:
-            self.past.put(kept)
-        if later:
-            self.waiting.put([tuple(r) for r in later])
-        yield pd.DataFrame(rows, columns=["key", "id", "es", "n"])
+        held = sorted([tuple(r) for r in self.past.get()] + ready, key=lambda r: r[0])
+        first = last = total = 0
+        values: Counter[str] = Counter()
+        rows = []
+        for es, row_id, _, _ in ready:
+            while last < len(held) and held[last][0] <= es:
+                total += held[last][2]
+                if held[last][3] is not None:
+                    values[held[last][3]] += 1
+                last += 1
+            while held[first][0] < es - self.seconds:
+                total -= held[first][2]
+                if (v := held[first][3]) is not None:
+                    values[v] -= 1
+                    if not values[v]:
+                        del values[v]
+                first += 1
+            rows.append((key[0], row_id, es, last - first, total, len(values)))
+        for state, kept in ((self.past, [r for r in held if r[0] > until // 1000 - self.seconds]), (self.waiting, waiting[len(ready) :])):
+            state.clear()
+            if kept:
+                state.put(kept)
+        yield pd.DataFrame(rows, columns=["key", "id", "es", "n", "s", "d"])
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         for part in rows:
-            own = [(str(i), int(t)) for i, t in zip(part["id"], part["es"], strict=True)]
+            own = [(int(t), str(i), int(s), None if pd.isna(v) else str(v)) for t, i, s, v in zip(part["es"], part["id"], part["s"], part["v"], strict=True)]
             self.waiting.appendList(own)
-            for t in {t for _, t in own}:
+            for t in {r[0] for r in own}:
                 self.handle.registerTimer(t * 1000 + 1)
         yield from self._emit(key, timerValues.getCurrentWatermarkInMs())
 
@@ -91,10 +109,16 @@ class TrailingCount(StatefulProcessor):
         pass
 
 
-def trailing_counts(df: DataFrame, key: str, row_id: str, seconds: int) -> DataFrame:
-    """The streaming form of a trailing count: key, id, es, n. `df` has a watermark on et; state needs the RocksDB provider."""
-    rows = df.select(F.col(key).alias("key"), F.col(row_id).cast("string").alias("id"), F.unix_seconds("et").alias("es"), "et")
-    return rows.groupBy("key").transformWithStateInPandas(TrailingCount(seconds), "key string, id string, es bigint, n bigint", "Append", "EventTime")
+def trailing_counts(df: DataFrame, key: str, row_id: str, seconds: int, addend: Column | None = None, value: str | None = None) -> DataFrame:
+    """The streaming form of trailing counts: key, id, es, n (rows), s (sum of whole `addend`, null: 0), d (distinct `value`, null: none).
+
+    `df` has a watermark on et; state needs the RocksDB provider, and holds the frame of each key and the rows not yet passed.
+    """
+    added = F.coalesce((F.lit(0) if addend is None else addend).cast("long"), F.lit(0).cast("long")).alias("s")
+    counted = (F.lit(None) if value is None else F.col(value)).cast("string").alias("v")
+    rows = df.select(F.col(key).alias("key"), F.col(row_id).cast("string").alias("id"), F.unix_seconds("et").alias("es"), added, counted, "et")
+    out = "key string, id string, es bigint, n bigint, s bigint, d bigint"
+    return rows.groupBy("key").transformWithStateInPandas(TrailingCount(seconds), out, "Append", "EventTime")
 
 
 class InOrder(StatefulProcessor):
