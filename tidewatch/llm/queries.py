@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontam, embed_dedup, line_dedup, ngram_join, packing, pii, quality, substring, token_file
+from . import chat, decontam, embed_dedup, hard_negatives, line_dedup, ngram_join, packing, pieces, pii, quality, substring, token_file, vector_codes
 from .tokens import tokenizer_path
 
 
@@ -61,6 +62,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, ids=False)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    return pieces.digest(pieces.decode(pieces.encode(_table(spark, sf_dir, "documents"), model), model))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(*vector_codes.compress(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -73,8 +88,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_file": op8_token_file,
         "op9_embed_dedup": op9_embed_dedup,
         "op10_packing": op10_packing,
+        "op11_sentencepiece": op11_sentencepiece,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.ORACLE_SQL, "op4_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op2_chat": chat.ORACLE_SQL, "op4_line_dedup": line_dedup.ORACLE_SQL, "op12_vector_codes": vector_codes.ORACLE_SQL, "op13_hard_negatives": hard_negatives.ORACLE_SQL}
