@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import approved, avg_if, bucket_label, distinct_if, ratio, row_time, to_time, upper
 from tidewatch.operators.aggregates import cumulative, hop
-from tidewatch.operators.over import contact_counts, lag_rows, trailing, velocity_features
+from tidewatch.operators.over import contact_counts, lag_rows, latest_per, trailing, velocity_features
 from tidewatch.sources.credit import applies, with_event_time
 
 SF = "/root/testdata/sf0.001"
@@ -127,3 +127,28 @@ def test_windows_of_null_fraction_and_repeated_values(spark):
 def test_times_from_text(spark):
     df = spark.createDataFrame([("2024-01-01 10:00:00.1239",), ("x",), (None,)], "t string")
     assert [str(r[0]) for r in df.select(to_time(F.col("t"))).collect()] == ["2024-01-01 10:00:00.123000", "None", "None"]
+
+
+def test_running_sums_keep_rows_without_key_or_time(spark):
+    rows = [("a", 10, 1, 1), (None, 20, 2, 2), ("a", None, 3, 4), ("a", 5000, 4, None), (None, None, 5, 16), (None, None, 6, 32), ("a", 10, 7, 64)]
+    df = spark.createDataFrame(rows, "k string, t long, seq long, v long").withColumn("et", F.timestamp_seconds("t"))
+    one = Window.partitionBy("k").orderBy("et", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("seq", F.sum("v").over(one).alias("s"), F.max("v").over(one).alias("m"))
+    got = cumulative(df, ["k"], ["seq"], {"s": F.col("v")}, {"m": F.col("v")}).select("seq", "s", "m")
+    assert got.count() == 7 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert cumulative(df.limit(0), ["k"], ["seq"], {"s": F.col("v")}).count() == 0
+
+
+def test_latest_of_each_key(spark):
+    rows = [("a", 1, 1), ("a", 2, 0), ("a", 2, 5), (None, 3, 1), (None, None, 9), ("b", None, None)]
+    df = spark.createDataFrame(rows, "k string, t int, seq int")
+    assert sorted(map(tuple, latest_per(df, ["k"], ["t", "seq"]).collect()), key=str) == sorted([("a", 2, 5), (None, 3, 1), ("b", None, None)], key=str)
+
+
+def test_names_of_products(spark):
+    from tidewatch.plans import monitor
+    from tidewatch.sources.credit import results
+
+    names = spark.createDataFrame([("P0", "zero"), ("P0", "also zero"), ("P1", "one")], "BUSINESS_TYPE_CD string, BUSINESS_TYPE_NAME string")
+    got = monitor.product_monitor(applies(spark, SF), results(spark, SF), 600, names=names)
+    assert {tuple(r) for r in got.select("BUSINESS_TYPE_CD", "BUSINESS_TYPE_NAME").distinct().collect()} == {("P0", "also zero"), ("P1", "one"), ("P2", None), ("P3", None)}

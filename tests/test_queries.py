@@ -25,7 +25,7 @@ def test_query_equals_sql(spark, oracle, name):
     assert len(got) == len(want)
     for c in columns:
         if got[c].dtype.kind == "f":
-            assert ((got[c] - want[c]).abs().fillna(0) < 2e-6).all(), c
+            assert ((got[c] - want[c]).abs().fillna(0) < 1e-9).all(), c
         else:
             assert (got[c].astype(str) == want[c].astype(str)).all(), c
 

@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import aggregates
+from tidewatch.operators.over import latest_per
+from tidewatch.plans import monitor
 from tidewatch.sources import credit
-from tidewatch.streaming import windows
+from tidewatch.streaming import live, windows
 
+SF = "/root/testdata/sf0.001"
 SCHEMA = "seq bigint, k string, t bigint, v double, c string"
 SIZES = {"S": 60, "M": 200, "L": 1000}
 
@@ -56,3 +59,93 @@ def test_state_is_bounded_by_the_largest_size(spark, tmp_path):
         assert 0 < state.count() <= most
     now = spark.read.format("statestore").option("path", f"{tmp_path}/c_out").option("operatorId", 0).option("stateVarName", "now").load()
     assert len(json.loads(now.select("value.held").first()[0])["panes"]) <= 101
+
+
+def topics(spark, tmp_path, parts):
+    """Both streams as folders of several files, and their readers."""
+    out = []
+    for name, df, time in (("a", credit.applies(spark, SF), "APPLY_TIME"), ("r", credit.results(spark, SF), "CREDIT_TIME")):
+        df = df.where("et < '2024-01-16'").drop("et")
+        for k in range(parts):
+            df.where(f"unix_seconds(timestamp_millis({time})) div 86400 % {parts} = {k}" if parts > 1 else "true").coalesce(1).write.mode("append").json(f"{tmp_path}/{name}")
+        schema = df.schema.simpleString()[7:-1].replace(":", " ")
+        out.append(credit.read_topic(spark, f"{tmp_path}/{name}/", schema, time))
+    return out
+
+
+def test_monitor_of_62_columns_as_three_queries(spark, tmp_path, monkeypatch):
+    now, folder = {"availableNow": True}, f"{tmp_path}/job"
+    a, r = topics(spark, tmp_path, 1)
+    start = lambda part: live.monitor_job(a, r, folder, part, 600, trigger=now).awaitTermination()
+    start("monitor")  # before there is anything to read
+    start("windows")
+    # the totals' query is killed between its two writes
+    whole = credit.publish
+
+    def killed(batch, topic, *more):
+        if topic.endswith("/latest"):
+            raise RuntimeError("killed")
+        whole(batch, topic, *more)
+
+    monkeypatch.setattr(credit, "publish", killed)
+    with pytest.raises(Exception, match="killed"):
+        start("totals")
+    monkeypatch.setattr(credit, "publish", whole)
+    for part in ("monitor", "totals", "monitor", "windows", "totals", "monitor"):
+        start(part)
+    batch = [df.where("et < '2024-01-16'") for df in (credit.applies(spark, SF), credit.results(spark, SF))]
+    closed = min(df.agg(F.max(F.unix_seconds("et"))).first()[0] for df in batch) - 5
+    want = monitor.product_monitor(*batch, 600).where(f"DT <= {closed} and (DT div 600 + 1) * 600 <= {closed}")
+    assert len(want.columns) == 63
+    got = spark.read.schema(want.schema).json(f"{folder}/monitor")
+    own, held = sorted(map(tuple, got.collect()), key=str), sorted(map(tuple, want.collect()), key=str)
+    assert own == held and len(held) > 50
+    totals = spark.read.json(f"{folder}/totals")
+    every = monitor.running_events(*batch).where(F.unix_seconds("et") <= closed)
+    assert totals.count() == totals.select("seq").distinct().count() == every.count()
+    last = latest_per(totals, ["BUSINESS_TYPE_CD"], ["ts", "seq"]).select("BUSINESS_TYPE_CD", "ts", "seq").collect()
+    assert {tuple(x) for x in last} <= {tuple(x) for x in spark.read.json(f"{folder}/latest").select("BUSINESS_TYPE_CD", "ts", "seq").collect()}
+
+
+def test_a_batch_is_published_once(spark, tmp_path, monkeypatch):
+    df, topic = spark.range(50).withColumn("s", F.col("id").cast("string")), f"{tmp_path}/topic"
+    moved = []
+    fs = credit._files
+
+    class Stops:
+        """A file system that fails after the second file has been moved."""
+
+        def __init__(self, own):
+            self.own = own
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def rename(self, *where):
+            if len(moved) == 2:
+                raise OSError("lost")
+            moved.append(where)
+            return self.own.rename(*where)
+
+    monkeypatch.setattr(credit, "_files", lambda *x: (Stops(fs(*x)[0]), fs(*x)[1]))
+    credit.make_topics(spark, topic)
+    with pytest.raises(OSError):
+        credit.publish(df, topic, 7)
+    before = spark.read.json(topic).count()
+    monkeypatch.setattr(credit, "_files", fs)
+    credit.publish(df.repartition(9), topic, 7)
+    credit.publish(df, topic, 7)
+    assert 0 < before < 50 and spark.read.json(topic).count() == 50 and spark.read.json(topic).distinct().count() == 50
+
+
+def test_rows_without_key_or_time_in_running_totals(spark, tmp_path):
+    a, r = credit.applies(spark, SF).limit(60), credit.results(spark, SF).limit(60)
+    streams = []
+    for name, df, time in (("a", a, "APPLY_TIME"), ("r", r, "CREDIT_TIME")):
+        df = df.drop("et").withColumn(time, F.when(F.col("seq") % 5 != 0, F.col(time))).withColumn("BUSINESS_TYPE_CD", F.when(F.col("seq") % 7 != 0, F.col("BUSINESS_TYPE_CD")))
+        df.coalesce(1).write.json(f"{tmp_path}/{name}")
+        streams.append((credit.read_topic(spark, f"{tmp_path}/{name}/", df.schema.simpleString()[7:-1].replace(":", " "), time, delay="0 seconds"), credit.with_event_time(spark.read.schema(df.schema).json(f"{tmp_path}/{name}"), time)))
+    got = run(live.running_events(*[s for s, _ in streams]), tmp_path, "totals").select("BUSINESS_TYPE_CD", "ts", "seq", "APP_C_CT", "ACC_C_CT")
+    closed = min(b.agg(F.max(F.unix_seconds("et"))).first()[0] for _, b in streams)
+    want = monitor.running_events(*[b for _, b in streams]).select("BUSINESS_TYPE_CD", F.unix_seconds("et").alias("ts"), "seq", "APP_C_CT", "ACC_C_CT").where(f"ts is null or ts <= {closed}")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.where("ts is null").count() > 3 and want.where("BUSINESS_TYPE_CD is null").count() > 3

@@ -26,7 +26,7 @@ def test_running_totals(spark, tmp_path):
     sa = credit.read_topic(spark, topic(a, f"{tmp_path}/a"), a.drop("et").schema.simpleString()[7:-1].replace(":", " "), "APPLY_TIME")
     sr = credit.read_topic(spark, topic(r, f"{tmp_path}/r"), r.drop("et").schema.simpleString()[7:-1].replace(":", " "), "CREDIT_TIME")
     got = drain(live.running_product_rates(sa, sr), tmp_path, "update", "totals")
-    last = over.latest_per(got, [monitor.KEY], [F.desc(F.expr("APP_C_CT + ACC_C_CT"))])
+    last = over.latest_per(got, [monitor.KEY], [F.expr("APP_C_CT + ACC_C_CT")])
     want = monitor.running_product_rates(a, r)
     assert sorted(map(tuple, last.collect())) == sorted(map(tuple, want.collect()))
 

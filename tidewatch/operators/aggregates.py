@@ -21,15 +21,17 @@ def cumulative(df: DataFrame, keys: list[str], order: list[str], sums: dict[str,
     """Sums and maxima over all rows of a key up to and with each row, in order of `et` and then `order`; rows carry their columns.
 
     Rows are dealt out by key and hour, so one key's rows don't meet in one task: the hours before count with their totals. A sum that
-    no row has contributed to yet is null.
+    no row has contributed to yet is null. Null keys are a key; rows without a time come before all others of their key.
     """
     maxes = maxes or {}
     own = {f"__{n}": c for n, c in (sums | maxes).items()}
-    rows = df.withColumns(own | {"__b": F.floor(F.unix_seconds("et") / seconds)})
-    total = rows.groupBy(*keys, "__b").agg(*[F.sum(f"__{n}").alias(f"__t_{n}") for n in sums], *[F.max(f"__{n}").alias(f"__t_{n}") for n in maxes])
-    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    total = total.select(*keys, "__b", *[(F.sum if n in sums else F.max)(f"__t_{n}").over(before).alias(f"__p_{n}") for n in (*sums, *maxes)])
-    within = Window.partitionBy(*keys, "__b").orderBy("et", *order).rowsBetween(Window.unboundedPreceding, 0)
+    # structs are never null, and equal where their fields are null alike
+    hour = F.struct(F.struct(*keys).alias("key"), F.floor(F.unix_seconds("et") / seconds).alias("b"))
+    rows = df.withColumns(own | {"__at": hour})
+    total = rows.groupBy("__at").agg(*[F.sum(f"__{n}").alias(f"__t_{n}") for n in sums], *[F.max(f"__{n}").alias(f"__t_{n}") for n in maxes])
+    before = Window.partitionBy("__at.key").orderBy(F.col("__at.b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    total = total.select("__at", *[(F.sum if n in sums else F.max)(f"__t_{n}").over(before).alias(f"__p_{n}") for n in (*sums, *maxes)])
+    within = Window.partitionBy("__at").orderBy("et", *order).rowsBetween(Window.unboundedPreceding, 0)
 
     def out(n: str) -> Column:
         if n in maxes:
@@ -37,8 +39,7 @@ def cumulative(df: DataFrame, keys: list[str], order: list[str], sums: dict[str,
         now = F.sum(f"__{n}").over(within)
         return F.when(now.isNull(), F.col(f"__p_{n}")).otherwise(now + F.coalesce(F.col(f"__p_{n}"), F.lit(0)))
 
-    joined = rows.join(total, [*keys, "__b"])
-    return joined.select(*[c for c in df.columns if c not in own], *[out(n).alias(n) for n in (*sums, *maxes)])
+    return rows.join(total, "__at").select(*[c for c in df.columns if c not in own], *[out(n).alias(n) for n in (*sums, *maxes)])
 
 
 def _dealt(df: DataFrame, keys: list[str], leave: dict[str, Column], slide: int, values: dict[str, Column], sizes: dict[str, int]) -> DataFrame:

@@ -83,9 +83,10 @@ def union_ids(df: DataFrame, own: str, other: str) -> DataFrame:
     return cut(own, "fake").unionByName(cut(other, "real"))
 
 
-def latest_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The last row of each key."""
-    return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
+def latest_per(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """The row of each key that is the last in this order (nulls come first); every task keeps one of each key before anything is shuffled."""
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(*[F.col(c).alias(f"o{k}") if isinstance(c, str) else c.alias(f"o{k}") for k, c in enumerate(order)])).alias("__last"))
+    return last.select("__last.*")
 
 
 _NAMES = {1: "one", 3: "three", 7: "seven"}

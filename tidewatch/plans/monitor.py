@@ -68,11 +68,16 @@ def apply_windows(applies: DataFrame, slide: int, sizes: dict[str, int]) -> Data
     return hop(applies, [KEY], slide, sizes, {})
 
 
-def result_windows(results: DataFrame, slide: int, sizes: dict[str, int]) -> DataFrame:
+def result_measures() -> tuple[dict[str, Column], dict[str, Column]]:
+    """What windows sum of each result, and the sets whose distinct values they count."""
     ok = approved(F.col("CREDIT_CODE"))
     risky = ok & (F.coalesce("CREDIT_SCORE_1", F.lit(0.0)).cast("int") < 220) & (F.coalesce("CREDIT_LIMIT", F.lit(0.0)) > 40000)
     sums = result_flags(0) | {"CS": F.when(ok, F.col("CREDIT_SCORE_1")).otherwise(0.0), "PS": F.when(ok, F.col("APPLY_SCORE")).otherwise(0).cast("double")}
-    return hop(results, [KEY], slide, sizes, sums, {"ACC_C_CCT": keyed(F.col("CUST_ID"), ok), "OC": keyed(F.col("CUST_ID"), risky)})
+    return sums, {"ACC_C_CCT": keyed(F.col("CUST_ID"), ok), "OC": keyed(F.col("CUST_ID"), risky)}
+
+
+def result_windows(results: DataFrame, slide: int, sizes: dict[str, int]) -> DataFrame:
+    return hop(results, [KEY], slide, sizes, *result_measures())
 
 
 WINDOWED = ["APP_C_CT", "ACC_C_CT", "PR_CT", "ACC_C_CCT", "AVG_AC_CCT", "APP_C_WL_CCT", "ACC_C_WL_CCT", "PR_WL_CCT", "APP_C_UWL_CCT", "ACC_C_UWL_CCT", "PR_UWL_CCT", "AF_ACC_C_CT", "AF_PR_CT", "AVG_ACC_CCSCT", "AVG_ACC_PCSCT", "RATE_OC"]
@@ -84,7 +89,11 @@ def windowed(applies: DataFrame, results: DataFrame, slide: int = 10, sizes: dic
     a = apply_windows(applies, slide, sizes).where(F.col(f"n_{least}") > 0)
     a = a.select(KEY, "w_end", *[F.col(f"n_{s}").alias(f"APP_C_CT_{s}") for s in sizes])
     r = result_windows(results, slide, sizes).where(F.col(f"n_{least}") > 0)
-    both = join_hop(a, r, [KEY])
+    return window_rates(join_hop(a, r, [KEY]), sizes, mode).select(KEY, "w_end", *[f"{n}_{s}" for n in WINDOWED for s in sizes])
+
+
+def window_rates(both: DataFrame, sizes: dict[str, int], mode: str = "exact") -> DataFrame:
+    """Rates and means of the sums of both streams' windows, for each size."""
     out = {}
     for s in sizes:
         c = lambda n, s=s: F.col(f"{n}_{s}")
@@ -98,21 +107,20 @@ def windowed(applies: DataFrame, results: DataFrame, slide: int = 10, sizes: dic
             f"AVG_ACC_PCSCT_{s}": ratio(c("PS"), c("ACC_C_CT")),
             f"RATE_OC_{s}": ratio(c("OC"), c("ACC_C_CCT"), mode=mode),
         }
-    both = both.withColumns({n: F.round(c, 6) for n, c in out.items()})
-    return both.select(KEY, "w_end", *[f"{n}_{s}" for n in WINDOWED for s in sizes])
+    return both.withColumns({n: F.round(c, 6) for n, c in out.items()})
 
 
 def product_monitor(applies: DataFrame, results: DataFrame, slide: int = 10, which: str = "next", mode: str = "exact", sizes: dict[str, int] = SIZES, names: DataFrame | None = None) -> DataFrame:
     """Running totals after every event with the windows that close next (or closed last), and the product's name: 62 columns and the event.
 
-    `names` (product, BUSINESS_TYPE_NAME) gives the products' names; without it the one product that is known has one.
+    `names` (product, BUSINESS_TYPE_NAME) gives the products' names (the first of several by the alphabet); without it the one product that is known has one.
     """
     run = running_events(applies, results, mode)
     full = align_running(run, windowed(applies, results, slide, sizes, mode), KEY, slide, which)
     if names is None:
         name = F.when(F.col(KEY) == "P0", "product zero").alias("BUSINESS_TYPE_NAME")
     else:
-        full, name = full.join(names.select(KEY, "BUSINESS_TYPE_NAME").dropDuplicates([KEY]), KEY, "left"), F.col("BUSINESS_TYPE_NAME")
+        full, name = full.join(names.groupBy(KEY).agg(F.min("BUSINESS_TYPE_NAME").alias("BUSINESS_TYPE_NAME")), KEY, "left"), F.col("BUSINESS_TYPE_NAME")
     return full.select(KEY, name, F.unix_seconds("et").alias("DT"), "seq", *TOTALS, *[f"{n}_{s}" for n in WINDOWED for s in sizes])
 
 

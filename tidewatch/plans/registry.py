@@ -98,7 +98,7 @@ def _velocity(days: tuple[int, ...]) -> str:
 def _pop(slide: int) -> str:
     return f""", {_dealt("a", "da", 3600, slide)}, {_dealt("r", "dr", 3600, slide)},
 ha AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS apply_num FROM da GROUP BY 1, 2),
-hr AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS return_num, count(*) FILTER (ok) AS success_num, {", ".join(f"avg({c}) AS {n}" for n, c in monitor.AVERAGES.items())} FROM dr GROUP BY 1, 2),
+hr AS (SELECT BUSINESS_TYPE_CD, w_end, count(*) AS return_num, count(*) FILTER (ok) AS success_num, {", ".join(f"sum({c}::DECIMAL(36,15))::DOUBLE / count({c}) AS {n}" for n, c in monitor.AVERAGES.items())} FROM dr GROUP BY 1, 2),
 la AS (SELECT *, coalesce(lag(apply_num, 1) OVER q, 0) AS last_num, coalesce(lag(apply_num, {86400 // slide}) OVER q, 0) AS last_24_num FROM ha WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end)),
 lr AS (SELECT *, coalesce(lag(success_num, 1) OVER q, 0) AS r_last, coalesce(lag(success_num, {86400 // slide}) OVER q, 0) AS r_last_24 FROM hr WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY w_end))"""
 
@@ -178,7 +178,7 @@ _put("lag_types", lambda a, r, x: over.lag_rows(over.lag_rows(r.withColumn("d",
      " SELECT seq, coalesce(lag(APPLY_SCORE, 1) OVER q, 0)::DOUBLE AS ld, coalesce(lag(CASE WHEN ok THEN '0' ELSE '1' END, 2) OVER q, '-') AS lc FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
 _put("cumulative_over", lambda a, r, x: aggregates.cumulative(r, [KEY], ["seq"], {"n": F.lit(1).cast("long"), "s": F.col("APPLY_SCORE").cast("long")}, {"m": F.col("APPLY_SCORE")}).select("seq", "n", "s", "m"),
      " SELECT seq, count(*) OVER q AS n, (sum(APPLY_SCORE) OVER q)::BIGINT AS s, max(APPLY_SCORE) OVER q AS m FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING)")
-_put("latest_per_bucket", lambda a, r, x: over.latest_per(a.withColumn("b", F.floor(_secs() / SLIDE)), [KEY, "b"], [F.desc("et"), F.desc("seq")]).select(KEY, "b", "seq"), f" SELECT BUSINESS_TYPE_CD, es // {SLIDE} AS b, seq FROM a QUALIFY row_number() OVER (PARTITION BY BUSINESS_TYPE_CD, es // {SLIDE} ORDER BY es DESC, seq DESC) = 1")
+_put("latest_per_bucket", lambda a, r, x: over.latest_per(a.withColumn("b", F.floor(_secs() / SLIDE)), [KEY, "b"], ["et", "seq"]).select(KEY, "b", "seq"), f" SELECT BUSINESS_TYPE_CD, es // {SLIDE} AS b, seq FROM a QUALIFY row_number() OVER (PARTITION BY BUSINESS_TYPE_CD, es // {SLIDE} ORDER BY es DESC, seq DESC) = 1")
 _LABEL = "strftime(make_timestamp(es * 1000000), '%Y-%m-%d %H:%M:%S')[:18] || '0'"
 _put("bucket_snapshot", lambda a, r, x: aggregates.bucket_max(monitor.running_events(a, r), [KEY], bucket_label(F.col("et")), ["APP_C_CT", "ACC_C_CT"]), _EVENTS + f" SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(APP_C_CT) AS APP_C_CT, max(ACC_C_CT) AS ACC_C_CT FROM ue GROUP BY 1, 2")
 def _bucketed(df: DataFrame, **sums) -> DataFrame:

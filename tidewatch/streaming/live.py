@@ -8,10 +8,13 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tidewatch.plans.monitor import KEY, TOTALS, rates, result_flags
-from tidewatch.sources.credit import read_topic, write_topic
+from tidewatch.operators.over import latest_per
+from tidewatch.plans.monitor import KEY, SIZES, TOTALS, WINDOWED, rates, result_flags, result_measures, window_rates
+from tidewatch.sources.credit import make_topics, read_topic, write_topic, write_topics
+from tidewatch.streaming import windows
 
 
 def running_product_rates(applies: DataFrame, results: DataFrame) -> DataFrame:
@@ -121,6 +124,10 @@ def trailing_counts(df: DataFrame, key: str, row_id: str, seconds: int, addend:
     return rows.groupBy("key").transformWithStateInPandas(TrailingCount(seconds), out, "Append", "EventTime")
 
 
+#: Stands for a null time in a state.
+UNTIMED = -(1 << 40)
+
+
 class InOrder(StatefulProcessor):
     """Rows of a key (es, seq, whole numbers v0, v1, ...) wait until the watermark has passed them and are then worked through in order of time."""
 
@@ -190,9 +197,11 @@ class RowLags(InOrder):
 
 
 def _in_order(df: DataFrame, processor: InOrder, values: list[Column]) -> DataFrame:
-    rows = df.select(F.col(KEY).alias("key"), F.unix_seconds("et").alias("es"), F.col("seq").cast("long").alias("seq"), *[v.cast("long").alias(n) for v, n in zip(values, processor.names[2:], strict=True)], "et")
+    # rows without a time come before all others that have not been worked through yet
+    rows = df.select(F.col(KEY).alias("key"), F.coalesce(F.unix_seconds("et"), F.lit(UNTIMED)).alias("es"), F.col("seq").cast("long").alias("seq"), *[v.cast("long").alias(n) for v, n in zip(values, processor.names[2:], strict=True)], "et")
     out = ", ".join(["key string", *[f"{n} bigint" for n in processor.names]])
-    return rows.groupBy("key").transformWithStateInPandas(processor, out, "Append", "EventTime")
+    done = rows.groupBy("key").transformWithStateInPandas(processor, out, "Append", "EventTime")
+    return done.withColumn("es", F.when(F.col("es") != UNTIMED, F.col("es")))
 
 
 def running_events(applies: DataFrame, results: DataFrame) -> DataFrame:
@@ -224,11 +233,62 @@ def staged(df: DataFrame, topic: str, checkpoint: str, delay: str = "5 seconds",
 def align_running(running: DataFrame, windows: DataFrame, seconds: int, which: str = "next") -> DataFrame:
     """Totals after each event with the window of their product that closes next behind it, or closed last. Both streams have watermarks.
 
-    `windows` are those of `hop` with a slide of `seconds`: an equality on the window's end, and a bound on the times so that state can go.
+    `windows` are those of `hop`, or those of all sizes as a topic gives them back (w_end, and et with a watermark), with a slide of `seconds`: an
+    equality on the window's end, and a bound on the times so that state can go.
     """
     end = F.floor(F.unix_seconds("et") / seconds) * seconds + (seconds if which == "next" else 0)
     left = running.withColumn("w_end", end.cast("long")).alias("a")
-    right = windows.withColumn("dt", F.window_time("window")).withColumn("b_end", F.unix_seconds("window.end")).withColumnRenamed(KEY, "b_key").alias("b")
+    if "window" in windows.columns:
+        windows = windows.withColumn("dt", F.window_time("window")).withColumn("b_end", F.unix_seconds("window.end")).drop("window")
+    else:
+        windows = windows.withColumnsRenamed({"et": "dt", "w_end": "b_end"})
+    right = windows.withColumnRenamed(KEY, "b_key").alias("b")
     within = F.expr(f"dt between et - interval {seconds + 1} seconds and et + interval {seconds + 1} seconds")
     joined = left.join(right, (F.col(KEY) == F.col("b_key")) & (F.col("w_end") == F.col("b_end")) & within)
-    return joined.drop("b_key", "b_end", "window", "dt")
+    return joined.drop("b_key", "b_end", "dt")
+
+
+def windowed(applies: DataFrame, results: DataFrame, slide: int = 10, sizes: dict[str, int] = SIZES, mode: str = "exact", salts: int = 1) -> DataFrame:
+    """Windows of all sizes over both streams, where the smallest holds rows of both: product, w_end, dt and the columns of the batch form.
+
+    One state holds the windows of both, so nothing is joined. `salts` deals the customers of one product out (see `windows.hop`).
+    """
+    sums, sets = result_measures()
+    none = dict(results.select(*[c.alias(n) for n, c in (sums | sets).items()]).dtypes)
+    a = applies.select(KEY, "et", "CUST_ID", F.lit(1).alias("APP_C_CT"), F.lit(0).alias("r"), *[F.lit(0 if n in sums else None).cast(t).alias(n) for n, t in none.items()])
+    b = results.select(KEY, "et", "CUST_ID", F.lit(0).alias("APP_C_CT"), F.lit(1).alias("r"), *[c.alias(n) for n, c in (sums | sets).items()])
+    own = {n: F.col(n) for n in ("APP_C_CT", "r", *sums)}
+    both = windows.hop(a.unionByName(b), [KEY], slide, sizes, own, {n: F.col(n) for n in sets}, F.col("CUST_ID"), salts)
+    least = min(sizes, key=sizes.__getitem__)
+    both = both.where((F.col(f"APP_C_CT_{least}") > 0) & (F.col(f"r_{least}") > 0))
+    return window_rates(both, sizes, mode).select(KEY, "w_end", "dt", *[f"{n}_{s}" for n in WINDOWED for s in sizes])
+
+
+def monitor_job(applies: DataFrame, results: DataFrame, folder: str, part: str, slide: int = 10, which: str = "next", sizes: dict[str, int] = SIZES, names: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """One of the three queries that make the product monitor of 62 columns; each has a checkpoint of its own below `folder`.
+
+    `totals` writes the totals after each event to two topics (all of them; the last of each product in the batch), `windows` the windows of all sizes to another,
+    and `monitor` reads totals and windows back and writes them joined. They may start in any order, stop anywhere and start again: every
+    row is in each topic once. `applies` and `results` are read by the first two only.
+    """
+    spark, topics = applies.sparkSession, {n: f"{folder}/{n}" for n in ("totals", "latest", "windows", "monitor")}
+    make_topics(spark, *topics.values())
+    if part == "totals":
+        rows = running_events(applies, results)
+        sinks = {topics["totals"]: None, topics["latest"]: lambda batch: latest_per(batch, [KEY], ["ts", "seq"])}
+    elif part == "windows":
+        rows, sinks = windowed(applies, results, slide, sizes).drop("dt"), {topics["windows"]: None}
+    else:
+        counts = ("CT", "CCT")
+        kind = lambda n: f"{n} {'bigint' if n.rsplit('_', 1)[-1] in counts and not n.startswith(('PR', 'AF_PR', 'AVG')) else 'double'}"
+        totals = read_topic(spark, topics["totals"], ", ".join([f"{KEY} string, ts bigint, seq bigint", *map(kind, TOTALS)]), "ts", "s")
+        wide = [f"{kind(n).split()[0]}_{s} {kind(n).split()[1]}" for n in WINDOWED for s in sizes]
+        own = read_topic(spark, topics["windows"], ", ".join([f"{KEY} string, w_end bigint", *wide]), "w_end", "s")
+        rows = align_running(totals, own, slide, which)
+        if names is None:
+            name = F.when(F.col(KEY) == "P0", "product zero").alias("BUSINESS_TYPE_NAME")
+        else:
+            rows, name = rows.join(names.groupBy(KEY).agg(F.min("BUSINESS_TYPE_NAME").alias("BUSINESS_TYPE_NAME")), KEY, "left"), F.col("BUSINESS_TYPE_NAME")
+        rows = rows.select(KEY, name, F.col("ts").alias("DT"), "seq", *TOTALS, *[f"{n}_{s}" for n in WINDOWED for s in sizes])
+        sinks = {topics["monitor"]: None}
+    return write_topics(rows, sinks, f"{folder}/_checkpoints/{part}", trigger=trigger)
