@@ -174,11 +174,29 @@ def test_chat_round_trip_and_layouts(spark):
         {"conv_id": 8},
     ]
     df = spark.read.json(spark.sparkContext.parallelize([json.dumps(row) for row in mixed]))
-    got = {r.conv_id: [tuple(x) for x in r.turns] for r in chat.canonical(df).collect()}
-    assert got == {**dict.fromkeys(range(7), [("user", "q"), ("assistant", "a")]), 7: [("user", ""), ("assistant", "a")], 8: []}
+    got = {r.conv_id: None if r.turns is None else [tuple(x) for x in r.turns] for r in chat.canonical(df).collect()}
+    assert got == {**dict.fromkeys(range(7), [("user", "q"), ("assistant", "a")]), 7: [("user", ""), ("assistant", "a")], 8: None}
     assert chat.fingerprint(["a[].b", "a[].c"]) == chat.fingerprint(["a[].c", "a[].b"])
 
 
+def test_chat_of_rows_by_turn_among_other_layouts(spark):
+    mixed = [
+        {"conv_id": 1, "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]},
+        {"conv_id": 2, "turn": 1, "role": "assistant", "text": "two"},
+        {"conv_id": 2, "turn": 0, "role": "user", "text": "one"},
+        {"conv_id": 3, "turn": 0, "role": "user"},
+        {"conv_id": 4, "messages": []},
+        {"conv_id": 5, "other": 1},
+    ]
+    df = spark.read.json(spark.sparkContext.parallelize([json.dumps(row) for row in mixed]))
+    own = chat.canonical(df)
+    got = {r.conv_id: None if r.turns is None else [tuple(x) for x in r.turns] for r in own.collect()}
+    assert got == {1: [("user", "q"), ("assistant", "a")], 2: [("user", "one"), ("assistant", "two")], 3: [("user", "")], 4: [], 5: None}
+    digests = {r.conv_id: (r.n_turns, r.loss_chars, r.turns_sha256 is None) for r in chat.digest(chat.format_chat(own)).collect()}
+    assert digests == {1: (2, 1, False), 2: (2, 3, False), 3: (1, 0, False), 4: (0, 0, False), 5: (0, None, True)}
+    assert chat.canonical(df.limit(0)).count() == 0
+
+
 def test_chat_of_empty_tables_and_clashing_names(spark):
     rows = spark.createDataFrame([(1, 0, "user", "q", 5, "t"), (1, 0, "user", "q", 6, "t")], "conv_id long, turn long, role string, text string, x int, t string")
     got = chat.digest(chat.format_chat(chat.canonical(rows))).collect()
@@ -188,7 +206,7 @@ def test_chat_of_empty_tables_and_clashing_names(spark):
 
 def test_sql_forms(spark):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         got = queries.queries()[name](spark, SF).toPandas()
@@ -277,6 +295,34 @@ def test_decontamination_of_reordered_items(spark):
     assert got == want and {(310, 3), (311, 3), (410, 4), (420, 4)} <= set(got)
 
 
+def test_decontamination_of_an_item_does_not_depend_on_the_others(spark):
+    r = random.Random(18)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    item = [word() for _ in range(100)]
+    held = [word() for _ in range(20)] + item[:84] + [word() for _ in range(40)]
+    docs, items = [(1, " ".join(held)), (2, " ".join(item)), (3, " ".join(item[:10]))], [(1, " ".join(item)), (2, " ".join(item[:84])), (3, " ".join(item[:10]))]
+    both = {}
+    for some in (items[:1], items[1:], items, items[::2]):
+        bench = spark.createDataFrame(some, "item_id long, text string")
+        got = {(q.doc_id, q.item_id): (q.n_windows, q.first_word, round(q.similarity, 9)) for q in decontam.leaks(make(spark, docs), bench).collect()}
+        assert got == plain_leaks(docs, some)
+        for k, v in got.items():
+            assert both.setdefault(k, v) == v
+    assert (1, 2) in both and (1, 1) not in both
+
+
+def test_decontamination_at_the_threshold(spark, monkeypatch):
+    words = [f"w{k}" for k in range(40)]
+    item = words[:13]  # nine shingles; eight of them in eight or ten places
+    docs = [(1, " ".join(words[:12])), (2, " ".join(words[:11])), (3, " ".join([*words[:12], "x"] + words[20:]))]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {(q.doc_id, q.item_id): (q.n_windows, q.first_word, round(q.similarity, 9)) for q in decontam.leaks(make(spark, docs), bench, radius=64 - 1).collect()}
+    assert got == plain_leaks(docs, [(1, " ".join(item))]) and (3, 1) in got
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 0)
+    again = {(q.doc_id, q.item_id): (q.n_windows, q.first_word, round(q.similarity, 9)) for q in decontam.leaks(make(spark, docs), bench, radius=64 - 1).collect()}
+    assert again == got
+
+
 def test_line_dedup(spark, odd):
     rows, sources = list(odd), ["a"] * len(odd)
     for k in range(12):
@@ -529,6 +575,44 @@ def test_embeddings_of_any_size_in_blocks(spark, monkeypatch):
     assert [got[i].component_id for i in range(4)] == [0, 1, 2, 0] and got[0].n_links == got[3].n_links == 1
 
 
+def test_embeddings_of_repeated_ids(spark):
+    one, near, far = [1.0, 0.0, 0.0, 0.0], [0.99, 0.05, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    rows = [(1, one, 1), (1, one, 1), (2, one, 1), (2, far, 1), (3, near, 1), (3, near, 2), (4, far, 1), (4, None, 1), (4, far, None), (None, far, 1)]
+    got = embed_dedup.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    links = lambda a, b: a[2] == b[2] and None not in (a[1], b[1], a[2]) and float(np.dot(a[1], b[1]) / np.linalg.norm(a[1]) / np.linalg.norm(b[1])) >= 0.93
+    own = [r for r in rows if r[0] is not None]
+    label = [r[0] for r in own]
+    for _ in own:
+        for i, j in ((i, j) for i in range(len(own)) for j in range(len(own)) if i != j and links(own[i], own[j])):
+            label[i] = label[j] = min(label[i], label[j])
+    want = [(own[i][0], sum(links(own[i], own[j]) for j in range(len(own)) if j != i), label[i], label[i] == own[i][0]) for i in range(len(own))]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_embeddings_at_the_threshold(spark):
+    # (1, 0) and (c, s) with a cosine of just below, just at and just above the threshold, in double precision
+    at = 0.9375
+    rows = [(0, [1.0, 0.0, 0.0, 0.0], 1)] + [(k, [float(c), 0.0, float(np.sqrt(1 - c * c)), 0.0], 1) for k, c in ((1, at), (2, np.nextafter(at, 0) - 1e-9), (3, at + 1e-9))]
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=at).collect()}
+    u = embed_dedup.unit(np.array([r[1] for r in rows]))
+    assert got == {k: int((u[k] @ u.T >= at).sum()) - 1 for k in range(4)}
+
+
+def test_every_way_of_writing_is_read():
+    base = {"email": "john.doe@mail.example.com", "ip": "10.20.30.40", "card": "4111 1111 1111 1111", "phone": "+41 44 123 45 67"}
+    r = random.Random(2)
+    for kind, text in base.items():
+        for seed in range(400):
+            pre, post = " ".join(["word"] * r.randint(0, 60)) + " ", " " + " ".join(["more"] * r.randint(0, 60))
+            new, spans = pii.varied(pre + text + post, [(kind, len(pre), len(pre) + len(text))], seed)
+            read = pii.windows(new)
+            for _, a, b in spans:
+                assert any(at <= a and b <= at + pii.WINDOW for at in read), (kind, new[a:b])
+    for at in pii._AT:
+        for dot in (*pii._DOT, "."):
+            assert pii.windows(f"write to john{at}example{dot}com today"), (at, dot)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -105,34 +105,48 @@ def layout(schema: T.StructType) -> Mapping:
     return registry(columns)[fingerprint([p for c in columns.values() for p in c])]
 
 
-def _row_turns(schema: T.StructType) -> Column:
-    """Turns by the layout of each row, where the schema has whole layouts of several kinds."""
-    columns = known_columns(schema)
-    have = frozenset(columns)
-    whole = [m for m in MAPPINGS if m.turns and have.issuperset(m.columns() - {p.split("[")[0] for p in m.may})]
-    if len(whole) == 1:
-        return whole[0].turns(have)
-    columns = {c: p for c, p in columns.items() if any(c in m.columns() for m in whole)}
+def _whole(schema: T.StructType) -> list[Mapping]:
+    """The layouts that the schema holds whole."""
+    have = frozenset(known_columns(schema))
+    return [m for m in MAPPINGS if have.issuperset(m.columns() - {p.split("[")[0] for p in m.may})]
+
+
+def _row_layout(schema: T.StructType, whole: list[Mapping]) -> Column:
+    """The name of the layout that each row's fingerprint selects; null where it selects none."""
+    columns = {c: p for c, p in known_columns(schema).items() if any(c in m.columns() for m in whole)}
     names = {p: m.name for p, m in registry(columns).items()}
     present = F.flatten(F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.array(*map(F.lit, p))) for c, p in columns.items()])))
     own = F.sha2(F.array_join(F.array_sort(present), "\n").cast("binary"), 256)
-    name = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), own), F.lit(whole[0].name))
-    return F.coalesce(*[F.when(name == m.name, m.turns(have)) for m in whole])
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), own)
 
 
 def canonical(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """conv_id and turns of every conversation of a known layout.
 
     Null texts and roles are empty. Rows by turn are ordered by turn (null first), then role, then text; rows that repeat are
-    turns of their own. A conversation is one row by nature: its turns are gathered by its id. A row without any column of a layout has what the
-    schema's first layout makes of nulls. Other columns are left out, whatever their names.
+    turns of their own. A conversation is one row by nature: its turns are gathered by its id; in a table of several layouts, rows by turn are gathered so
+    and the others stay rows of their own, also where they share an id. There, a row whose fields no layout knows has null turns, unlike an
+    empty conversation; in a table of one layout it has what that makes of nulls. Other columns are left out, whatever their names.
     """
     m = layout(df.schema)
-    if m.turns:
-        return df.select(F.col(conv_id).cast("long").alias("conv_id"), _row_turns(df.schema).alias("turns"))
-    rows = df.select(F.col(conv_id).cast("long").alias("conv_id"), "turn", _turn(F.col("role"), F.col("text")).alias("x"))
-    gathered = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "x.role", "x.text"))).alias("t"))
-    return gathered.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
+    whole = _whole(df.schema)
+    if len(whole) == 1 or m.turns is None:
+        listed, by_turn = (df, None) if m.turns else (None, df)
+        turns = m.turns and m.turns(frozenset(known_columns(df.schema)))
+    else:
+        name, have = _row_layout(df.schema, whole), frozenset(known_columns(df.schema))
+        gathers = any(x.turns is None for x in whole)
+        by_turn = df.where(name == "rows by turn") if gathers else None
+        listed = df.where(F.coalesce(name != "rows by turn", F.lit(True))) if gathers else df
+        turns = F.coalesce(*[F.when(name == x.name, x.turns(have)) for x in whole if x.turns])
+    out = []
+    if listed is not None:
+        out.append(listed.select(F.col(conv_id).cast("long").alias("conv_id"), turns.alias("turns")))
+    if by_turn is not None:
+        rows = by_turn.select(F.col(conv_id).cast("long").alias("conv_id"), "turn", _turn(F.col("role"), F.col("text")).alias("x"))
+        gathered = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "x.role", "x.text"))).alias("t"))
+        out.append(gathered.select("conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns")))
+    return out[0] if len(out) == 1 else out[0].union(out[1])
 
 
 def _replace(c: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
@@ -152,7 +166,7 @@ def unescape(text: Column) -> Column:
 def format_chat(turns: DataFrame, learn: str = "assistant") -> DataFrame:
     """conv_id, formatted, loss: the written conversation and the spans (start, length in code points) that a loss covers.
 
-    A span is the whole escaped text of one turn of the role `learn`. A conversation without turns is an empty text.
+    A span is the whole escaped text of one turn of the role `learn`. A conversation without turns is an empty text, null turns are a null text.
     """
     escaped = F.transform("turns", lambda t: F.struct(F.replace(escape(t["role"]), F.lit(":"), F.lit("\\c")).alias("r"), escape(t["text"]).alias("x"), (t["role"] == learn).alias("l")))
     marks = len(OPEN) + len(AFTER_ROLE)
@@ -192,12 +206,15 @@ def read_loss(formatted: Column, loss: Column) -> Column:
 
 
 def digest(chats: DataFrame) -> DataFrame:
-    """What can be read back from the written conversations, as digests."""
+    """What can be read back from the written conversations, as digests.
+
+    Rows that repeat an id are conversations of their own; a null text has null digests and no turns; an empty table gives an empty one.
+    """
     read = chats.select("conv_id", read_chat(F.col("formatted")).alias("t"), F.array_join(read_loss(F.col("formatted"), F.col("loss")), "").alias("x"), F.char_length("formatted").cast("long").alias("formatted_chars"))
     lines = F.array_join(F.transform("t", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",
-        F.size("t").cast("long").alias("n_turns"),
+        F.coalesce(F.size("t"), F.lit(0)).cast("long").alias("n_turns"),
         F.sha2(lines.cast("binary"), 256).alias("turns_sha256"),
         F.char_length("x").cast("long").alias("loss_chars"),
         F.sha2(F.col("x").cast("binary"), 256).alias("loss_sha256"),

@@ -1,7 +1,7 @@
 """Benchmark decontamination: windows of a benchmark item's size in documents, fingerprinted and compared with the items.
 
 A window of an item's length is looked at wherever it holds as many of the item's five-word shingles, in any order, as the similarity needs at
-least; so is a window in which a shingle stands as it does in some item, as such a window may be similar to an item of another length. Windows and items get 64-bit SimHash fingerprints of their weighted shingles. Fingerprints are cut into eight blocks of eight
+least, and is compared with items of that length. Windows and items get 64-bit SimHash fingerprints of their weighted shingles. Fingerprints are cut into eight blocks of eight
 bits; two that differ in at most 23 bits differ in at most two bits within some block, so items enter an index under every value within two bits of each of
 their blocks, and a window finds all items within the radius by equality. The weighted Jaccard similarity of the shingles then decides exactly.
 
@@ -20,6 +20,8 @@ SIMILARITY = 0.8
 BLOCKS, BITS = 8, 8
 #: In a block at most RADIUS // BLOCKS = 2 bits differ.
 RADIUS = 23
+#: What is broadcast of the places to look at, at most.
+BROADCAST_BYTES = 32 << 20
 
 
 def _words(text: Column) -> Column:
@@ -123,13 +125,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     """doc_id, item_id, n_windows, first_word, similarity: the items that stand in a document, and how well the best window fits.
 
     n_windows is the number of similar windows that do not overlap, from the left; first_word is where the best window of the first place starts.
-    A shingle's weight is how often it occurs in the text; similarity is the sum of the smaller weights over the sum of the larger. Words
+    Windows of an item are as long as the item, so what is found of it does not depend on the others. A shingle's weight is how often it occurs in the text; similarity is the sum of the smaller weights over the sum of the larger. Words
     are lower-cased. An item of fewer than five words is one shingle, and its windows are runs of as many words; null and empty texts and items hold
     nothing; rows without an id are left out; a similarity of just the threshold counts; rows that repeat an id are one document. Windows that repeat within or across documents are compared once.
     """
     items = materialize(items_of(benchmark))
-    own = items.select("item_id", "n", F.posexplode("s").alias("off", "h"))
-    anchors = materialize(own.select("h", F.col("off").cast("int"), "n").distinct())
+    own = items.select("item_id", "n", F.explode("s").alias("h"))
     held_by = materialize(own.select("h", "item_id", "n").distinct())
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = texts.select("doc_id", _words(F.col("text")).alias("w"))
@@ -137,26 +138,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     # outer: else the optimizer filters on the whole expression first. The documents' shingles meet the items': only those in common go on
     at = found.select("doc_id", F.size("s").alias("len"), F.posexplode_outer("s").alias("pos", "h"))
     at = materialize(at.join(small(materialize(held_by.select("h").distinct())), "h", "left_semi"))
-    placed = at.join(small(anchors), "h").select("doc_id", F.greatest(F.col("pos") - F.col("off"), F.lit(0)).alias("start"), "n")
     places = at.join(small(held_by), "h").groupBy("doc_id", "len", "item_id", "n").agg(F.sort_array(F.collect_list("pos")).alias("p"))
-    any_order = places.select("doc_id", F.explode(_starts(similarity)).alias("start"), "n")
-    starts = placed.union(any_order).groupBy("doc_id", "start", "n").agg(F.lit(1).alias("one"))
+    starts = places.select("doc_id", F.explode(_starts(similarity)).alias("start"), "n").groupBy("doc_id", "start", "n").agg(F.lit(1).alias("one"))
     wanted = materialize(starts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("at")))
-    held = texts.join(small(wanted, 200_000), "doc_id").select("doc_id", "at", _words(F.col("text")).alias("w"))
+    n_docs, n_starts = wanted.agg(F.count("*"), F.coalesce(F.sum(F.size("at")), F.lit(0))).first()
+    held = texts.join(F.broadcast(wanted) if 64 * n_docs + 16 * n_starts <= BROADCAST_BYTES else wanted, "doc_id").select("doc_id", "at", _words(F.col("text")).alias("w"))
     held = held.select("doc_id", "at", _shingles(F.col("w")).alias("s"))
     windows = held.select("doc_id", F.explode("at").alias("a"), "s").select("doc_id", "a.start", "a.n", F.slice("s", F.col("a.start") + 1, F.col("a.n")).alias("w"))
     windows = materialize(windows.where("size(w) > 0").select("doc_id", "start", "n", "w", F.xxhash64("n", "w").alias("k")))
-    distinct = materialize(windows.groupBy("k").agg(F.first("w").alias("w")))
+    distinct = materialize(windows.groupBy("k", "n").agg(F.first("w").alias("w")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prints = materialize(distinct.repartition(parts, "k").select("k", _simhash(F.col("w")).alias("f")))
+    prints = materialize(distinct.repartition(parts, "k").select("k", "n", _simhash(F.col("w")).alias("f")))
 
     near = F.array([F.lit(x) for x in range(256) if bin(x).count("1") <= radius // BLOCKS])
-    index = items.select("item_id", F.col("f").alias("g"), F.col("s").alias("t"), F.posexplode(F.array(*[_block(F.col("f"), k) for k in range(BLOCKS)])).alias("b", "v"))
-    index = index.select("item_id", "g", "b", F.explode(F.transform(near, lambda x: x.bitwiseXOR(F.col("v")))).alias("v"))
-    probe = prints.select("k", "f", F.posexplode(F.array(*[_block(F.col("f"), k) for k in range(BLOCKS)])).alias("b", "v"))
-    pairs = probe.join(small(materialize(index)), ["b", "v"]).where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
+    # a window is compared with items of its own length, so an item's result doesn't depend on the others
+    index = items.select("item_id", "n", F.col("f").alias("g"), F.col("s").alias("t"), F.posexplode(F.array(*[_block(F.col("f"), k) for k in range(BLOCKS)])).alias("b", "v"))
+    index = index.select("item_id", "n", "g", "b", F.explode(F.transform(near, lambda x: x.bitwiseXOR(F.col("v")))).alias("v"))
+    probe = prints.select("k", "n", "f", F.posexplode(F.array(*[_block(F.col("f"), k) for k in range(BLOCKS)])).alias("b", "v"))
+    pairs = probe.join(small(materialize(index)), ["b", "v", "n"]).where(F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= radius)
     pairs = pairs.select("k", "item_id").distinct()
-    both = pairs.join(distinct, "k").join(items.select("item_id", F.col("s").alias("t")), "item_id")
+    both = pairs.join(distinct.drop("n"), "k").join(items.select("item_id", F.col("s").alias("t")), "item_id")
     both = both.select("k", "item_id", _common(F.col("w"), F.col("t")).alias("c"), F.size("w").alias("nw"), F.size("t").alias("nt"))
     both = both.select("k", "item_id", "nt", (F.col("c") / (F.col("nw") + F.col("nt") - F.col("c"))).alias("similarity")).where(F.col("similarity") >= similarity)
     hits = windows.select("doc_id", "start", "k").join(materialize(both), "k")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, materialize
+from .shared import components, materialize, small
 from .words import longs
 
 COSINE = 0.93
@@ -103,16 +103,18 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
 
     Vectors link within one label (null: none) when their cosine in double precision is at least `cosine`. Vectors that are null, empty, zero, or hold
     null or non-finite components link with nothing, nor do vectors of different lengths. n_links counts the other vectors linked
-    directly (a pair found counts for both), component_id is the smallest vec_id reachable, kept says whether that is the vector itself. A row without an id is
-    left out.
+    directly (a pair found counts for both), component_id is the smallest vec_id reachable, kept says whether that is the vector's own id. Rows that repeat an
+    id are vectors of their own, each with its own row: with equal vectors of one label they link with each other, and where theirs is the smallest id of
+    a component, all of them are kept. A row without an id is left out.
     """
     rows = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     good = rows.where(fine & F.col("label").isNotNull())
     # equal vectors of a label are one class
-    classes = materialize(good.groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight")))
+    classes = good.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()))  # a number of its own: vectors that repeat an id may be in several classes
     n, spread = classes.count(), 1 << 30
-    chosen = classes.where(F.pmod(F.xxhash64("id"), F.lit(spread)) < min(spread, int(spread * sample / max(n, 1)))).orderBy("id").collect()
+    chosen = classes.where(F.pmod(F.xxhash64("label", "v"), F.lit(spread)) < min(spread, int(spread * sample / max(n, 1)))).orderBy("least", "label", "v").collect()
     widths = classes.select(F.size("v").alias("d")).groupBy("d").count().orderBy(F.desc("count"), "d").limit(1).collect()
     width = widths[0]["d"] if widths else 1
     x = np.array([r["v"] for r in chosen if len(r["v"]) == width], float).reshape(-1, width)
@@ -190,14 +192,16 @@ def near_dedup(vectors: DataFrame, cosine: float = COSINE, sample: int = SAMPLE)
     both = both.withColumn("j", F.explode(F.when(F.col("stored"), F.array(hashed("held"))).otherwise(every("held"))))
     near = both.drop("held", "asked").groupBy("label", "cell", "i", "j").applyInArrow(verified, "a bigint, b bigint, weight bigint")
     found = materialize(near)
-    w = classes.select("id", "weight")
+    w = classes.select("id", "weight", "least")
     degree = found.groupBy(F.col("a").alias("id")).agg(F.sum("weight").alias("other"))
     label = components(found.select("a", "b"))
-    state = w.join(degree, "id", "left").join(label, "id", "left").select("id", (F.col("weight") - 1 + F.coalesce("other", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    of_class = good.select("vec_id", "label", "v").join(classes.select("label", "v", "id"), ["label", "v"]).select(F.col("vec_id").alias("own"), "id").join(state, "id")
-    out = rows.select("vec_id").join(of_class, F.col("vec_id") == F.col("own"), "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
+    least = materialize(w.join(label, "id").groupBy("component").agg(F.min("least").alias("first")))
+    state = w.join(degree, "id", "left").join(label.join(small(least), "component"), "id", "left")
+    state = state.select("id", (F.col("weight") - 1 + F.coalesce("other", F.lit(0))).alias("n_links"), F.coalesce("first", "least").alias("component_id"))
+    of_class = classes.select("label", "v", "id").join(state, "id").drop("id")
+    linked = good.select("vec_id", "label", "v").join(of_class, ["label", "v"]).select("vec_id", "n_links", "component_id")
+    alone = rows.where(~(fine & F.col("label").isNotNull())).select("vec_id", F.lit(0).alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.union(alone).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("component_id") == F.col("vec_id")).alias("kept"))
 
 
 _PLACED = [("label", pa.string(), "string"), ("cell", pa.int32(), "int"), ("stored", pa.bool_(), "boolean"), ("id", pa.int64(), "bigint"), ("weight", pa.int64(), "bigint"), ("v", pa.binary(), "binary")]

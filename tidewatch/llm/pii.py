@@ -4,8 +4,8 @@ The network is trained in numpy on labelled spans of a bounded sample of documen
 the rules don't know them (spelled or bracketed marks, other separators, no plus sign), so that it learns kinds and not the patterns. It reads overlapping
 windows of a text, each window is decoded with the transitions, and the windows' spans are reconciled over the whole document: a span that a
 window's edge cuts is left to the neighbour that sees it whole, the more certain of two that overlap wins, and one that overlaps a span of the
-rules, is uncertain, or fails the check of its kind is dropped. Each kind holds a digit, an @ or a mark in words or brackets in any way of writing that
-is learned, so a window with none of these cannot hold a span and is not read.
+rules, is uncertain, or fails the check of its kind is dropped. In every way of writing that is learned each kind holds a digit, an @, or one of the marks
+dealt out in training (the word at with a dotted domain behind it); a window with none of these is not read.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ _TRIGGER = re.compile(r"[0-9@]")
 #: Ways to write the marks of a span, as they are dealt out in training; the check of a found span reads the same ones.
 _AT, _DOT = (" @ ", " at ", " (at) ", "(at)", " [at] ", "[at]"), (" dot ", " (dot) ", "[.]", "(.)", " [dot] ")
 _GAPS = (".", "/", " / ", "  ", "_", " - ", "-", " ")
-_READ = re.compile(r"[0-9@]|\bdot\b|[(\[]at[)\]]|\[\.\]")
+_ANY_DOT = "|".join(map(re.escape, _DOT))
+#: What a window must hold to be read: a digit, an @, or any of these marks; the word at counts where a domain with a dot in any writing follows.
+_READ = re.compile("[0-9@]|" + "|".join(re.escape(m) + (rf"(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9]|{_ANY_DOT}))" if m == " at " else "") for m in (*_AT, *_DOT)))
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
 #: Documents that the network may be trained on at most (about; chosen by a hash of the id).
