@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import approved, avg_if, bucket_label, distinct_if, ratio, row_time, to_time, upper
 from tidewatch.operators.aggregates import cumulative, hop
-from tidewatch.operators.over import contact_counts, lag_rows, latest_per, trailing, velocity_features
+from tidewatch.operators.joins import join_band
+from tidewatch.operators.over import contact_counts, lag_dealt, lag_rows, latest_per, trailing, velocity_features
 from tidewatch.sources.credit import applies, with_event_time
 
 SF = "/root/testdata/sf0.001"
@@ -152,3 +153,59 @@ def test_names_of_products(spark):
     names = spark.createDataFrame([("P0", "zero"), ("P0", "also zero"), ("P1", "one")], "BUSINESS_TYPE_CD string, BUSINESS_TYPE_NAME string")
     got = monitor.product_monitor(applies(spark, SF), results(spark, SF), 600, names=names)
     assert {tuple(r) for r in got.select("BUSINESS_TYPE_CD", "BUSINESS_TYPE_NAME").distinct().collect()} == {("P0", "also zero"), ("P1", "one"), ("P2", None), ("P3", None)}
+
+
+def test_extremes_and_sketches_of_windows(spark):
+    rows = [(k, "p" if k % 4 else None, (k * 37) % 5000, None if k % 7 == 0 else k / 3, str((k * 7919) % 1000)) for k in range(1500)]
+    df = with_event_time(spark.createDataFrame(rows, "seq long, k string, APPLY_TIME long, v double, c string"), "APPLY_TIME", "s")
+    sizes = {"S": 60, "M": 70, "L": 1000}
+    got = hop(df, ["k"], 10, sizes, {"one": F.lit(1)}, {"c": F.col("c")}, {"top": F.col("v"), "last": F.col("c")}, {"low": F.col("v")}, {"many": F.col("c")})
+    for s, size in sizes.items():
+        w = df.groupBy(F.window("et", f"{size} seconds", "10 seconds").alias("w"), "k").agg(F.count("*"), F.max("v"), F.max("c"), F.min("v"), F.count_distinct("c"))
+        want = {(r["k"], int(r["w"].end.timestamp())): tuple(r[2:]) for r in w.collect()}
+        own = {(r["k"], r["w_end"]): (r[f"n_{s}"], r[f"top_{s}"], r[f"last_{s}"], r[f"low_{s}"], r[f"c_{s}"]) for r in got.where(f"n_{s} > 0").collect()}
+        assert own == want
+        assert got.where(f"abs(many_{s} - c_{s}) > greatest(1, 0.03 * c_{s})").count() == 0
+    empty = got.where("n_S = 0 and (top_S is not null or many_S <> 0)")
+    assert empty.count() == 0 and got.where("n_S = 0").count() > 0
+    assert hop(df.limit(0), ["k"], 10, sizes, {}, maxes={"top": F.col("v")}, sketches={"many": F.col("c")}).count() == 0
+
+
+@pytest.mark.parametrize("before,after", [(2, 2), (0, 0), (100, 7)])
+def test_band_join_equals_all_pairs(spark, before, after):
+    left = [(k, None if k % 9 == 0 else f"k{k % 2}", None if k % 10 == 0 else (k * 7919) % 900) for k in range(150)] + [(1, "k1", 919)] * 2
+    right = [(k, None if k % 8 == 0 else f"k{k % 2}", None if k % 11 == 0 else (k * 6007) % 900) for k in range(200)]
+    a, b = (with_event_time(spark.createDataFrame(x, "i long, k string, t long"), "t", "s") for x in (left, right))
+    got = sorted((r.i, r.r_i, r.k) for r in join_band(a, b, ["k"], before, after).collect())
+    assert got == sorted((i, j, k) for i, k, t in left for j, m, u in right if None not in (k, t, u) and k == m and t - before <= u <= t + after)
+    plan = join_band(a, b, ["k"], before, after)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_join_back_multiplies_equal_applications(spark):
+    rows = [("321", "d", 4), ("321", "e", 5), ("321", "e", 5), ("987", "g", 7)]
+    df = with_event_time(spark.createDataFrame(rows, "CERT_NO string, APP_NO string, APPLY_TIME long"), "APPLY_TIME", "s")
+    view = trailing(df, ["CERT_NO"], {"d7": 7}, {"n": F.lit(1)}).select("APPLY_TIME", "CERT_NO", "et", "d7_n")
+    got = join_band(df, view, ["APPLY_TIME", "CERT_NO"], 2, 2)
+    assert sorted((r.APP_NO, r.r_d7_n) for r in got.collect()) == [("d", 1), *[("e", 3)] * 4, ("g", 1)]
+
+
+@pytest.mark.parametrize("n,default", [(1, None), (1, 0), (3, None), (8640, 0), (700, -1), (700, None)])
+def test_dealt_lags_equal_one_frame(spark, n, default):
+    rows = [(k, None if k % 6 == 0 else f"k{k % 2}", None if k % 97 == 0 else (k * 7919) % 40_000, None if k % 5 == 0 else k) for k in range(9000 if n > 1000 else 1500)]
+    if n > 1000:
+        rows = [(i, "one", t, v) for i, _, t, v in rows]
+    df = with_event_time(spark.createDataFrame(rows, "seq long, k string, t long, v long"), "t", "s")
+    want = lag_rows(df, ["k"], ["et", "seq"], "v", n, default, "x").select("seq", "x")
+    got = lag_dealt(df, ["k"], ["seq"], "v", n, default, "x")
+    assert got.columns == [*df.columns, "x"]
+    assert sorted(map(str, got.select("seq", "x").collect())) == sorted(map(str, want.collect()))
+    assert lag_dealt(df.limit(0), ["k"], ["seq"], "v", n, default).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint", "float", "double", "decimal(20,6)", "string", "boolean"])
+def test_dealt_lag_keeps_types(spark, kind):
+    df = spark.createDataFrame([(1, "1"), (2, None), (3, "0")], "i long, v string").withColumns({"k": F.lit(1), "v": F.col("v").cast(kind), "et": F.timestamp_seconds("i")})
+    out = lag_dealt(df, ["k"], ["i"], "v", 1, "0", "x")
+    assert out.schema["x"].dataType == df.schema["v"].dataType
+    assert [str(r.s) for r in out.orderBy("i").select(F.col("x").cast("int" if kind != "string" else kind).cast("string").alias("s")).collect()] == ["0", "1", "0"]

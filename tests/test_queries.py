@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, oracle, name):
 
 def test_sliding_windows_are_registered_with_the_slide_of_the_reference(spark):
     sliding = [n for n in registry.queries() if any(w in n for w in ("hop", "monitor", "lag_previous", "lag_day", "period_over", "two_stream"))]
-    assert {n + "_10s" for n in sliding if not n.endswith("_10s")} == {n for n in sliding if n.endswith("_10s")} and len(sliding) == 34
+    assert {n + "_10s" for n in sliding if not n.endswith("_10s")} == {n for n in sliding if n.endswith("_10s")} and len(sliding) == 36
     rows = registry.queries()["multi_hop_10s"](spark, SF).where("BUSINESS_TYPE_CD = 'P3'").collect()
     ends = {r.w_end: r.n_6H for r in rows}
     assert all(e % 10 == 0 for e in ends) and all(e + 10 in ends or n == 1 for e, n in ends.items())

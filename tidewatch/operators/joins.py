@@ -32,3 +32,20 @@ def join_bucket(left: DataFrame, right: DataFrame, keys: list[str], seconds: int
     """Rows of one key and bucket label whose times `et` differ by no more than these seconds; `et` is the left one's."""
     both = left.join(right.withColumnRenamed("et", "__et"), [*keys, "time_str"])
     return both.where(F.abs(F.unix_seconds("et") - F.unix_seconds("__et")) <= seconds).drop("__et")
+
+
+def join_band(left: DataFrame, right: DataFrame, keys: list[str], before: int, after: int, times: tuple[str, str] = ("et", "et")) -> DataFrame:
+    """Pairs of rows of equal keys of which the right one's time lies within [left - before, left + after] seconds; the right one's other columns get the prefix r_.
+
+    Time is cut in buckets as long as the band: a right row goes to its own, a left row to the two or three that its band touches, and they meet by
+    an equality of keys and bucket, so a key with many rows is work for many tasks and no pair is compared in two of them. Rows with a null key or time
+    meet nothing; rows that repeat meet each for itself.
+    """
+    width = max(before + after, 1)
+    names = {c: f"r_{c}" for c in right.columns if c not in keys}
+    at, other = F.unix_seconds(times[0]), F.unix_seconds(f"r_{times[1]}")
+    lo, hi = F.floor((at - before) / width), F.floor((at + after) / width)
+    own = left.withColumn("__bucket", F.explode(F.sequence(lo, hi)))
+    held = right.withColumnsRenamed(names).withColumn("__bucket", F.floor(other / width))
+    both = own.join(held, [*keys, "__bucket"])
+    return both.where((other >= at - before) & (other <= at + after)).drop("__bucket")

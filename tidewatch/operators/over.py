@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.operators.aggregates import exact, levels
+from tidewatch.operators.aggregates import cumulative, exact, levels
 
 DAY = 86_400
 
@@ -22,6 +22,26 @@ def lag_rows(df: DataFrame, keys: list[str], order: list[str], value: str, n: in
     return df.withColumn(name or f"{value}_lag_{n}", out)
 
 
+def lag_dealt(df: DataFrame, keys: list[str], order: list[str], value: str, n: int, default=None, name: str | None = None, seconds: int = 3600) -> DataFrame:
+    """`lag_rows` for keys with more rows than one task should hold, in order of `et` and then `order`.
+
+    Rows get numbers from counts that are dealt out by key and hour, and meet the row n numbers before by an equality of key and number; where the
+    first value fills, only the n rows that need it meet it. Rows must be in one order: of rows that tie in it any may come first.
+    """
+    kind, out = df.schema[value].dataType, name or f"{value}_lag_{n}"
+    rows = cumulative(df, keys, order, {"__n": F.lit(1).cast("long")}, seconds=seconds)
+    at = lambda k: F.struct(*keys, k.alias("__n")).alias("__at")
+    fill = None if default is None else F.lit(default).cast(kind)
+    v = F.col(value) if default is None else F.coalesce(F.col(value), fill)
+    earlier = rows.select(at(F.col("__n") + n), v.alias("__v"), F.lit(True).alias("__there"))
+    both = rows.withColumn("__at", at(F.col("__n"))).join(earlier, "__at", "left")
+    if default is not None:
+        return both.select(*df.columns, F.coalesce("__v", fill).alias(out))
+    first = rows.where("__n = 1").select(F.struct(*keys).alias("__key"), F.col(value).alias("__first"))
+    early = both.where("__there is null").withColumn("__key", F.struct(*keys)).join(first, "__key").select(*df.columns, F.col("__first").alias(out))
+    return both.where("__there").select(*df.columns, F.col("__v").alias(out)).unionByName(early)
+
+
 def trailing(df: DataFrame, keys: list[str], horizons: dict[str, int], sums: dict[str, Column] | None = None, distinct: dict[str, str] | None = None, named: dict[str, str] | None = None) -> DataFrame:
     """Rows with columns <horizon>_<name>: sums over the last days (`horizons`: name, days) up to and with the row's second, by key.
 
@@ -100,17 +120,24 @@ def velocity_features(df: DataFrame, horizons: tuple[int, ...] = (1, 3, 7), drop
     if drop_null_keys:
         df = df.dropna(subset=["CERT_NO", "MOBILE_NUM", "COMP_NAME", "STANDARD_ADDR"])
     names = {f"{_NAMES.get(d, d)}_days": d for d in horizons}
-    one = F.lit(1)
-    df = df.select("APP_NO", "CERT_NO", "MOBILE_NUM", "COMP_NAME", "STANDARD_ADDR", "SPOUSE_CERT_NO", "SPOUSE_MOBILE_NO", "et")
-    couples = {"cert_couple_num": "SPOUSE_CERT_NO", "cert_couple_mobile_num": "SPOUSE_MOBILE_NO"}
-    # all are found on the rows as they came, so that the plan grows with the features and not with the joins before
-    found = {("CERT_NO",): trailing_levels(df, ["CERT_NO"], names, {"cert_apply_num": one}, couples, {"cert_contact_num": "SPOUSE_CERT_NO"})}
-    found |= {("MOBILE_NUM",): trailing_levels(df, ["MOBILE_NUM"], names, {"mobile": one}, named={"mobile_contact_num": "SPOUSE_MOBILE_NO"})}
-    for keys, name in ((("CERT_NO", "MOBILE_NUM"), "both"), (("COMP_NAME",), "company_apply_num"), (("STANDARD_ADDR",), "address_apply_num")):
-        found |= {keys: trailing_levels(df, list(keys), names, {name: one})}
-    for keys, own in found.items():
-        df = meet(df, list(keys), own)
+    none = F.lit(None).cast("string")
+    kinds = {"cert": ("CERT_NO", None), "mobile": ("MOBILE_NUM", None), "both": ("CERT_NO", "MOBILE_NUM"), "company": ("COMP_NAME", None), "address": ("STANDARD_ADDR", None)}
+    named = {"cert": "SPOUSE_CERT_NO", "mobile": "SPOUSE_MOBILE_NO"}
+
+    def entry(kind: str, a: str, b: str | None, own: int) -> Column:
+        """A row as one of its keys sees it: as its own, or as that of the contact it names."""
+        couple = [F.col(c).cast("string") if kind == "cert" and own else none for c in named.values()]
+        return F.struct(F.lit(kind).alias("kind"), F.col(a).cast("string").alias("a"), (F.col(b).cast("string") if b else none).alias("b"), F.lit(own).alias("own"), couple[0].alias("couple"), couple[1].alias("mobile"))
+
+    own = F.array(*[entry(k, a, b, 1) for k, (a, b) in kinds.items()])
+    contacts = F.filter(F.array(*[entry(k, c, None, 0) for k, c in named.items()]), lambda x: x["a"].isNotNull())
+    # one table of all keys, and one pass over it, whatever the number of features
+    keyed = df.select("et", F.explode(F.concat(own, contacts)).alias("x")).select("et", "x.*")
+    found = trailing_levels(keyed, ["kind", "a", "b"], names, {"n": F.col("own"), "named": 1 - F.col("own")}, {"couple_num": "couple", "couple_mobile_num": "mobile"})
+    asked = df.withColumn("__row", F.monotonically_increasing_id()).select("__row", "APP_NO", "CERT_NO", "et", F.explode(own).alias("x")).select("__row", "APP_NO", "CERT_NO", "et", "x.kind", "x.a", "x.b")
+    of = meet(asked, ["kind", "a", "b"], found).groupBy("__row")
+    wanted = {"cert_apply_num": ("cert", "n"), "cert_contact_num": ("cert", "named"), "mobile_contact_num": ("mobile", "named"), "both": ("both", "n"), "mobile": ("mobile", "n"), "cert_couple_num": ("cert", "couple_num"), "cert_couple_mobile_num": ("cert", "couple_mobile_num"), "company_apply_num": ("company", "n"), "address_apply_num": ("address", "n")}
+    rows = of.agg(F.max("APP_NO").alias("APP_NO"), F.max("CERT_NO").alias("CERT_NO"), *[F.max(F.when(F.col("kind") == k, F.col(f"{d}_{n}"))).alias(f"{d}_{name}") for d in names for name, (k, n) in wanted.items()])
     kept = ("cert_apply_num", "cert_contact_num", "mobile_contact_num", "cert_or_mobile_num", "cert_couple_num", "cert_couple_mobile_num", "company_apply_num", "address_apply_num")
-    for n in names:
-        df = df.withColumn(f"{n}_cert_or_mobile_num", F.col(f"{n}_cert_apply_num") - F.col(f"{n}_both") + F.col(f"{n}_mobile"))
-    return df.select("APP_NO", "CERT_NO", *[f"{n}_{k}" for n in names for k in kept])
+    rows = rows.withColumns({f"{d}_cert_or_mobile_num": F.col(f"{d}_cert_apply_num") - F.col(f"{d}_both") + F.col(f"{d}_mobile") for d in names})
+    return rows.select("APP_NO", "CERT_NO", *[f"{d}_{k}" for d in names for k in kept])

@@ -123,6 +123,10 @@ def _one(a: DataFrame, r: DataFrame, slide: int) -> DataFrame:
     return monitor.windowed(a, r, slide, {"1H": 3600})
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
 def _run(a: DataFrame, r: DataFrame) -> DataFrame:
     return monitor.running_applies(a).join(monitor.running_results(r), KEY)
 
@@ -163,6 +167,9 @@ def _sliding(slide: int, suffix: str) -> None:
          _RUNNING + _windows({"1H": 3600}, slide) + " SELECT BUSINESS_TYPE_CD, ts // 1000 AS ts, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD) WHERE ts // 1000 BETWEEN w_end - 22 AND w_end + 3601")
     _put(f"running_vs_hop_key{suffix}", lambda a, r, x: _run(a, r).join(_one(a, r, slide), KEY).select(KEY, "w_end", "APP_C_CT", "APP_C_CT_1H"), _RUNNING + _windows({"1H": 3600}, slide) + " SELECT BUSINESS_TYPE_CD, w_end, APP_C_CT, APP_C_CT_1H FROM ra JOIN rr USING (BUSINESS_TYPE_CD) JOIN w USING (BUSINESS_TYPE_CD)")
     _put(f"two_stream_demo{suffix}", lambda a, r, x: monitor.two_stream_demo(a, r, slide), _windows({"1H": 3600}, slide) + _EVENTS + f" SELECT BUSINESS_TYPE_CD, es AS DT, seq, APP_C_CT, ACC_C_CT, APP_C_CT_1H, ACC_C_CT_1H FROM ue JOIN w USING (BUSINESS_TYPE_CD) WHERE w_end = es // {slide} * {slide}")
+    top = ", ".join(f"round({f}({c}) FILTER (w_end <= pane + {z}), 6) AS {n}_{s}" for n, f, c in (("most", "max", "CREDIT_SCORE_1"), ("least", "min", "CREDIT_LIMIT")) for s, z in _SIZES.items())
+    _put(f"hop_result_extremes{suffix}", lambda a, r, x: _rounded(aggregates.hop(r, [KEY], slide, _SIZES, {}, maxes={"most": F.col("CREDIT_SCORE_1")}, mins={"least": F.col("CREDIT_LIMIT")})),
+         f""", {_dealt("r", "dr", 21600, slide)} SELECT BUSINESS_TYPE_CD, w_end, {", ".join(f"count(*) FILTER (w_end <= pane + {z}) AS n_{s}" for s, z in _SIZES.items())}, {top} FROM dr GROUP BY 1, 2""")
     rank = lambda t, b, c: f"round(CASE WHEN apply_num = 0 OR {b} <= 0 OR {c} <= 0 THEN -999.0 ELSE (success_num / apply_num) / ({b} / {c}) END, 6) AS {t}"
     _put(f"period_over_period{suffix}", lambda a, r, x: monitor.period_over_period(a, r, slide),
          _pop(slide) + f" SELECT BUSINESS_TYPE_CD AS P_ID, w_end AS DT, w_end % 86400 // 3600 AS CH, apply_num AS APP_C_PH, return_num AS R_C_PH, success_num AS ACC_C_PH, {_rate('apply_num', 'last_num', 'APP_P_H')}, {_rate('apply_num', 'last_24_num', 'APP_P_D')}, {_rate('success_num', 'apply_num', 'PR')}, {rank('PR_P_H', 'r_last', 'last_num')}, {rank('PR_P_D', 'r_last_24', 'last_24_num')}, {', '.join(f'round({n}, 6) AS {n}' for n in monitor.AVERAGES)} FROM la JOIN lr USING (BUSINESS_TYPE_CD, w_end)")
@@ -172,9 +179,9 @@ def _sliding(slide: int, suffix: str) -> None:
 
 _sliding(SLIDE, "")
 _sliding(REFERENCE_SLIDE, "_10s")
-_put("lag_fill_first", lambda a, r, x: over.lag_rows(r, [KEY], ["et", "seq"], "CREDIT_SCORE_1", 3, name="before").select("seq", F.round("before", 6).alias("before")),
+_put("lag_fill_first", lambda a, r, x: over.lag_dealt(r, [KEY], ["seq"], "CREDIT_SCORE_1", 3, name="before").select("seq", F.round("before", 6).alias("before")),
      " SELECT seq, round(CASE WHEN row_number() OVER q <= 3 THEN first(CREDIT_SCORE_1) OVER q ELSE lag(CREDIT_SCORE_1, 3) OVER q END, 6) AS before FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
-_put("lag_types", lambda a, r, x: over.lag_rows(over.lag_rows(r.withColumn("d", F.col("APPLY_SCORE").cast("decimal(20,6)")), [KEY], ["et", "seq"], "d", 1, 0, "ld"), [KEY], ["et", "seq"], "CREDIT_CODE", 2, "-", "lc").select("seq", F.col("ld").cast("double").alias("ld"), "lc"),
+_put("lag_types", lambda a, r, x: over.lag_dealt(over.lag_dealt(r.withColumn("d", F.col("APPLY_SCORE").cast("decimal(20,6)")), [KEY], ["seq"], "d", 1, 0, "ld"), [KEY], ["seq"], "CREDIT_CODE", 2, "-", "lc").select("seq", F.col("ld").cast("double").alias("ld"), "lc"),
      " SELECT seq, coalesce(lag(APPLY_SCORE, 1) OVER q, 0)::DOUBLE AS ld, coalesce(lag(CASE WHEN ok THEN '0' ELSE '1' END, 2) OVER q, '-') AS lc FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq)")
 _put("cumulative_over", lambda a, r, x: aggregates.cumulative(r, [KEY], ["seq"], {"n": F.lit(1).cast("long"), "s": F.col("APPLY_SCORE").cast("long")}, {"m": F.col("APPLY_SCORE")}).select("seq", "n", "s", "m"),
      " SELECT seq, count(*) OVER q AS n, (sum(APPLY_SCORE) OVER q)::BIGINT AS s, max(APPLY_SCORE) OVER q AS m FROM r WINDOW q AS (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING)")
@@ -191,6 +198,15 @@ _put("bucket_join", lambda a, r, x: joins.join_bucket(_bucketed(r, ACC_C_CT=F.wh
      (SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(es) AS es, max(n)::BIGINT AS ACC_C_CT FROM (SELECT *, sum(ok::INT) OVER (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING) AS n FROM r) GROUP BY 1, 2) p
      JOIN (SELECT BUSINESS_TYPE_CD, {_LABEL} AS time_str, max(es) AS es, max(n) AS APP_C_CT FROM (SELECT *, count(*) OVER (PARTITION BY BUSINESS_TYPE_CD ORDER BY es, seq ROWS UNBOUNDED PRECEDING) AS n FROM a) GROUP BY 1, 2) q
      ON p.BUSINESS_TYPE_CD = q.BUSINESS_TYPE_CD AND p.time_str = q.time_str AND abs(p.es - q.es) <= 2""")
+_put("band_join", lambda a, r, x: joins.join_band(r.select(KEY, "CUST_ID", "seq", "et"), a.select(KEY, "CUST_ID", F.col("seq").alias("apply"), "et"), [KEY, "CUST_ID"], 1800, 300).select(KEY, "CUST_ID", "seq", "r_apply", (_secs() - F.unix_seconds("r_et")).alias("lag")),
+     " SELECT r.BUSINESS_TYPE_CD, r.CUST_ID, r.seq, a.seq AS r_apply, r.es - a.es AS lag FROM r JOIN a USING (BUSINESS_TYPE_CD, CUST_ID) WHERE a.es BETWEEN r.es - 1800 AND r.es + 300")
+def _joined_back(x: DataFrame) -> DataFrame:
+    view = over.trailing(x, ["COMP_NAME", "STANDARD_ADDR"], {"d7": 7}, {"n": F.lit(1)}).select("APPLY_TIME", "COMP_NAME", "STANDARD_ADDR", "et", "d7_n")
+    return joins.join_band(x, view, ["APPLY_TIME", "COMP_NAME", "STANDARD_ADDR"], 2, 2).select("APP_NO", F.col("r_d7_n").alias("n"))
+
+
+_put("velocity_joined_back", lambda a, r, x: _joined_back(x), f""", v AS (SELECT es, COMP_NAME, STANDARD_ADDR, count(*) OVER (PARTITION BY COMP_NAME, STANDARD_ADDR ORDER BY es RANGE BETWEEN {7 * 86400} PRECEDING AND CURRENT ROW) AS n FROM l)
+     SELECT l.APP_NO, v.n FROM l JOIN v ON l.es = v.es AND l.COMP_NAME = v.COMP_NAME AND l.STANDARD_ADDR = v.STANDARD_ADDR""")
 _put("union_ids", lambda a, r, x: over.union_ids(x, "CERT_NO", "SPOUSE_CERT_NO").select("APP_NO", "id", "flag"), " SELECT APP_NO, CERT_NO AS id, 'fake' AS flag FROM l UNION ALL SELECT APP_NO, SPOUSE_CERT_NO, 'real' FROM l")
 _put("contact_velocity", lambda a, r, x: over.contact_counts(x, "CERT_NO", "SPOUSE_CERT_NO", {"n7": 7}).select("APP_NO", "n7"), f" SELECT APP_NO, (SELECT count(*) FROM l y WHERE y.SPOUSE_CERT_NO = l.CERT_NO AND y.es BETWEEN l.es - {7 * 86400} AND l.es) AS n7 FROM l")
 _RANGE = "(PARTITION BY {} ORDER BY es RANGE BETWEEN 604800 PRECEDING AND CURRENT ROW)"
