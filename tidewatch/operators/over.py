@@ -112,32 +112,55 @@ def latest_per(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
 _NAMES = {1: "one", 3: "three", 7: "seven"}
 
 
+#: The keys that an application is counted by, and the contacts that it names: a kind, and one column or two.
+KEYS = {"cert": ("CERT_NO", None), "mobile": ("MOBILE_NUM", None), "both": ("CERT_NO", "MOBILE_NUM"), "company": ("COMP_NAME", None), "address": ("STANDARD_ADDR", None)}
+CONTACTS = {"cert": "SPOUSE_CERT_NO", "mobile": "SPOUSE_MOBILE_NO"}
+#: The counts of a kind that features are made of.
+_COUNTS = {
+    "cert_apply_num": ("cert", "n"), "cert_contact_num": ("cert", "named"), "mobile_contact_num": ("mobile", "named"), "both": ("both", "n"), "mobile": ("mobile", "n"),
+    "cert_couple_num": ("cert", "couple"), "cert_couple_mobile_num": ("cert", "couple_mobile"), "company_apply_num": ("company", "n"), "address_apply_num": ("address", "n"),
+}
+_FEATURES = ("cert_apply_num", "cert_contact_num", "mobile_contact_num", "cert_or_mobile_num", "cert_couple_num", "cert_couple_mobile_num", "company_apply_num", "address_apply_num")
+
+
+def horizon_names(horizons: tuple[int, ...]) -> dict[str, int]:
+    return {f"{_NAMES.get(d, d)}_days": d for d in horizons}
+
+
+def entries() -> tuple[Column, Column]:
+    """An application as each of its keys sees it (kind, a, b, own = 1, and the contacts that it names), and as the contacts that it names see it (own = 0)."""
+
+    def entry(kind: str, a: str, b: str | None, own: int) -> Column:
+        couple = [(F.col(c) if kind == "cert" and own else F.lit(None)).cast("string") for c in CONTACTS.values()]
+        second = (F.col(b) if b else F.lit(None)).cast("string")
+        return F.struct(F.lit(kind).alias("kind"), F.col(a).cast("string").alias("a"), second.alias("b"), F.lit(own).alias("own"), couple[0].alias("couple"), couple[1].alias("couple_mobile"))
+
+    contacts = F.array(*[entry(k, c, None, 0) for k, c in CONTACTS.items()])
+    return F.array(*[entry(k, a, b, 1) for k, (a, b) in KEYS.items()]), F.filter(contacts, lambda x: x["a"].isNotNull())
+
+
+def gathered(names: dict[str, int]) -> list[Column]:
+    """Aggregates of an application's rows by kind (columns <horizon>_<count>), one for each count of a feature."""
+    return [F.max(F.when(F.col("kind") == k, F.col(f"{d}_{n}"))).alias(f"{d}_{name}") for d in names for name, (k, n) in _COUNTS.items()]
+
+
+def features(rows: DataFrame, names: dict[str, int]) -> DataFrame:
+    """The features of applications from their gathered counts."""
+    rows = rows.withColumns({f"{d}_cert_or_mobile_num": F.col(f"{d}_cert_apply_num") - F.col(f"{d}_both") + F.col(f"{d}_mobile") for d in names})
+    return rows.select("APP_NO", "CERT_NO", *[f"{d}_{k}" for d in names for k in _FEATURES])
+
+
 def velocity_features(df: DataFrame, horizons: tuple[int, ...] = (1, 3, 7), drop_null_keys: bool = True) -> DataFrame:
     """Eight counts over each trailing horizon for every application, on its own row: no join back multiplies rows.
 
-    By identity, phone, employer, address; by identity or phone; how often named as a contact by id or phone; distinct spouses' ids and phones.
+    By identity, phone, employer, address; by identity or phone; how often named as a contact by id or phone; distinct spouses' ids and phones. All
+    keys of all rows are one table that is gone over once, whatever the number of features; the counts come back by key and second.
     """
     if drop_null_keys:
         df = df.dropna(subset=["CERT_NO", "MOBILE_NUM", "COMP_NAME", "STANDARD_ADDR"])
-    names = {f"{_NAMES.get(d, d)}_days": d for d in horizons}
-    none = F.lit(None).cast("string")
-    kinds = {"cert": ("CERT_NO", None), "mobile": ("MOBILE_NUM", None), "both": ("CERT_NO", "MOBILE_NUM"), "company": ("COMP_NAME", None), "address": ("STANDARD_ADDR", None)}
-    named = {"cert": "SPOUSE_CERT_NO", "mobile": "SPOUSE_MOBILE_NO"}
-
-    def entry(kind: str, a: str, b: str | None, own: int) -> Column:
-        """A row as one of its keys sees it: as its own, or as that of the contact it names."""
-        couple = [F.col(c).cast("string") if kind == "cert" and own else none for c in named.values()]
-        return F.struct(F.lit(kind).alias("kind"), F.col(a).cast("string").alias("a"), (F.col(b).cast("string") if b else none).alias("b"), F.lit(own).alias("own"), couple[0].alias("couple"), couple[1].alias("mobile"))
-
-    own = F.array(*[entry(k, a, b, 1) for k, (a, b) in kinds.items()])
-    contacts = F.filter(F.array(*[entry(k, c, None, 0) for k, c in named.items()]), lambda x: x["a"].isNotNull())
-    # one table of all keys, and one pass over it, whatever the number of features
+    names, (own, contacts) = horizon_names(horizons), entries()
     keyed = df.select("et", F.explode(F.concat(own, contacts)).alias("x")).select("et", "x.*")
-    found = trailing_levels(keyed, ["kind", "a", "b"], names, {"n": F.col("own"), "named": 1 - F.col("own")}, {"couple_num": "couple", "couple_mobile_num": "mobile"})
+    found = trailing_levels(keyed, ["kind", "a", "b"], names, {"n": F.col("own"), "named": 1 - F.col("own")}, {"couple": "couple", "couple_mobile": "couple_mobile"})
     asked = df.withColumn("__row", F.monotonically_increasing_id()).select("__row", "APP_NO", "CERT_NO", "et", F.explode(own).alias("x")).select("__row", "APP_NO", "CERT_NO", "et", "x.kind", "x.a", "x.b")
     of = meet(asked, ["kind", "a", "b"], found).groupBy("__row")
-    wanted = {"cert_apply_num": ("cert", "n"), "cert_contact_num": ("cert", "named"), "mobile_contact_num": ("mobile", "named"), "both": ("both", "n"), "mobile": ("mobile", "n"), "cert_couple_num": ("cert", "couple_num"), "cert_couple_mobile_num": ("cert", "couple_mobile_num"), "company_apply_num": ("company", "n"), "address_apply_num": ("address", "n")}
-    rows = of.agg(F.max("APP_NO").alias("APP_NO"), F.max("CERT_NO").alias("CERT_NO"), *[F.max(F.when(F.col("kind") == k, F.col(f"{d}_{n}"))).alias(f"{d}_{name}") for d in names for name, (k, n) in wanted.items()])
-    kept = ("cert_apply_num", "cert_contact_num", "mobile_contact_num", "cert_or_mobile_num", "cert_couple_num", "cert_couple_mobile_num", "company_apply_num", "address_apply_num")
-    rows = rows.withColumns({f"{d}_cert_or_mobile_num": F.col(f"{d}_cert_apply_num") - F.col(f"{d}_both") + F.col(f"{d}_mobile") for d in names})
-    return rows.select("APP_NO", "CERT_NO", *[f"{d}_{k}" for d in names for k in kept])
+    return features(of.agg(F.max("APP_NO").alias("APP_NO"), F.max("CERT_NO").alias("CERT_NO"), *gathered(names)), names)
