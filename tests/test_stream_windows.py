@@ -110,7 +110,7 @@ def test_monitor_of_62_columns_as_three_queries(spark, tmp_path, monkeypatch):
 def test_a_batch_is_published_once(spark, tmp_path, monkeypatch):
     df, topic = spark.range(50).withColumn("s", F.col("id").cast("string")), f"{tmp_path}/topic"
     moved = []
-    fs = credit._files
+    fs = credit.hadoop_files
 
     class Stops:
         """A file system that fails after the second file has been moved."""
@@ -127,12 +127,12 @@ def test_a_batch_is_published_once(spark, tmp_path, monkeypatch):
             moved.append(where)
             return self.own.rename(*where)
 
-    monkeypatch.setattr(credit, "_files", lambda *x: (Stops(fs(*x)[0]), fs(*x)[1]))
+    monkeypatch.setattr(credit, "hadoop_files", lambda *x: (Stops(fs(*x)[0]), fs(*x)[1]))
     credit.make_topics(spark, topic)
     with pytest.raises(OSError):
         credit.publish(df, topic, 7)
     before = spark.read.json(topic).count()
-    monkeypatch.setattr(credit, "_files", fs)
+    monkeypatch.setattr(credit, "hadoop_files", fs)
     credit.publish(df.repartition(9), topic, 7)
     credit.publish(df, topic, 7)
     assert 0 < before < 50 and spark.read.json(topic).count() == 50 and spark.read.json(topic).distinct().count() == 50

@@ -54,7 +54,7 @@ def write_topic(df: DataFrame, topic: str, checkpoint: str, mode: str = "append"
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
-def _files(spark: SparkSession, path: str):
+def hadoop_files(spark: SparkSession, path: str):
     """The file system that a path lies in, and how to name places in it."""
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path
@@ -64,7 +64,7 @@ def _files(spark: SparkSession, path: str):
 def make_topics(spark: SparkSession, *topics: str) -> None:
     """Make the folders of topics, so that their readers may start before their writers."""
     for topic in topics:
-        fs, place = _files(spark, topic)
+        fs, place = hadoop_files(spark, topic)
         fs.mkdirs(place(topic))
 
 
@@ -75,7 +75,7 @@ def publish(batch: DataFrame, topic: str, number: int, files: int = 4) -> None:
     says that the batch is complete. A batch that was stopped anywhere is done again: files already in place hold the same rows and stay, so a
     stream that reads the folder has seen none of them twice.
     """
-    fs, place = _files(batch.sparkSession, topic)
+    fs, place = hadoop_files(batch.sparkSession, topic)
     mark = place(f"{topic}/_batches/{number}")
     if fs.exists(mark):
         return

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidewatch.operators.joins import join_range
 from tidewatch.operators.over import latest_per
 from tidewatch.plans.monitor import KEY, SIZES, TOTALS, WINDOWED, rates, result_flags, result_measures, window_rates
-from tidewatch.sources.credit import make_topics, read_topic, write_topic, write_topics
-from tidewatch.streaming import windows
+from tidewatch.sources.credit import make_topics, publish, read_topic, write_topic, write_topics
+from tidewatch.streaming import store, windows
 
 
 def running_product_rates(applies: DataFrame, results: DataFrame) -> DataFrame:
@@ -26,6 +27,42 @@ def running_product_rates(applies: DataFrame, results: DataFrame) -> DataFrame:
     return rates(both.where("APP_C_CT > 0 and r > 0")).select(KEY, "ts", *TOTALS)
 
 
+def running_guarded(applies: DataFrame, results: DataFrame, seconds: int) -> DataFrame:
+    """Totals of products whose last application and last result are no more than so many seconds apart, for update mode: product, ts, r_ts, counts."""
+    a = applies.select(KEY, F.col("APPLY_TIME").alias("ts"), F.lit(None).cast("long").alias("r_ts"), F.lit(1).alias("APP_C_CT"), F.lit(0).cast("long").alias("ACC_C_CT"))
+    b = results.select(KEY, F.lit(None).cast("long").alias("ts"), F.col("CREDIT_TIME").alias("r_ts"), F.lit(0).alias("APP_C_CT"), result_flags(1)["ACC_C_CT"].alias("ACC_C_CT"))
+    both = a.unionByName(b).groupBy(KEY).agg(F.max("ts").alias("ts"), F.max("r_ts").alias("r_ts"), F.sum("APP_C_CT").alias("APP_C_CT"), F.sum("ACC_C_CT").alias("ACC_C_CT"))
+    return both.where(F.abs(F.expr("ts div 1000 - r_ts div 1000")) <= seconds)
+
+
+def keep_totals(totals: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the totals by product (an update-mode stream with `ts` in milliseconds) in a versioned store, one version for each batch."""
+
+    def each(batch: DataFrame, number: int) -> None:
+        store.write(batch, path, [KEY], "ts", number)
+
+    return totals.writeStream.foreachBatch(each).outputMode("update").option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
+def totals_beside(own: DataFrame, path: str, topic: str, checkpoint: str, bound: tuple[int, int] | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Write windows (product, w_end, further columns) with the totals of their product to a topic, each row once.
+
+    With `bound`, only where the totals' time lies within [w_end - before, w_end + after] seconds. Every batch reads one version of the totals, the last
+    when it is first done, and the same when it is done again. Before there are any totals nothing is met.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        version = store.pin(batch.sparkSession, path, topic, number)
+        totals = store.read(batch.sparkSession, path, [KEY], "ts", version) if version else None
+        if totals is None:
+            return
+        totals = totals.drop("__until", "__written").withColumn("ts", F.expr("ts div 1000"))
+        publish(join_range(totals, batch, KEY, *bound) if bound else totals.join(batch, KEY), topic, number)
+
+    make_topics(own.sparkSession, topic)
+    return own.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
 def hop(df: DataFrame, keys: list[str], slide: str, size: str, sums: dict[str, Column]) -> DataFrame:
     """Sliding windows over panes of one slide, for append mode; `df` has a watermark on et. Columns: window, keys, n and the sums."""
     panes = df.groupBy(F.window("et", slide), *keys).agg(F.count("*").alias("n"), *[F.sum(c).alias(m) for m, c in sums.items()])
@@ -44,16 +81,16 @@ def kv_upsert(batch: DataFrame, path: str, key: str, value: str, order: str, day
     own.withColumn("expires_at", F.col("written") + F.expr(f"interval {days} days")).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
-def kv_lookup(df: DataFrame, store: DataFrame, key: str, as_of: Column) -> DataFrame:
+def kv_lookup(df: DataFrame, held: DataFrame, key: str, as_of: Column) -> DataFrame:
     """Rows with the stored value of their key that was written last and has not expired at `as_of`; null if there is none."""
-    latest = store.groupBy("key").agg(F.max_by(F.struct("value", "expires_at"), "written").alias("v"))
+    latest = held.groupBy("key").agg(F.max_by(F.struct("value", "expires_at"), "written").alias("v"))
     joined = df.join(latest, F.col(key).cast("string") == F.col("key"), "left")
     return joined.withColumn("value", F.when(F.col("v.expires_at") > as_of, F.col("v.value"))).drop("key", "v")
 
 
-def kv_compact(store: DataFrame, path: str, as_of: Column) -> None:
+def kv_compact(held: DataFrame, path: str, as_of: Column) -> None:
     """Write what is left of a store to a new one: the last value of each key, unless it has expired. Later batches go to the new folder."""
-    latest = store.groupBy("key").agg(F.max_by(F.struct("value", "written", "expires_at"), "written").alias("v")).select("key", "v.*")
+    latest = held.groupBy("key").agg(F.max_by(F.struct("value", "written", "expires_at"), "written").alias("v")).select("key", "v.*")
     latest.where(F.col("expires_at") > as_of).write.mode("overwrite").parquet(f"{path}/batch=-1")
 
 
