@@ -154,7 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score and predicted of every row: null text counts as empty, and the whole text counts however long it is."""
+    """doc_id, score and predicted of every row: null text counts as empty, and the whole text counts however long it is.
+
+    A score of just 0.5 predicts 1; rows that repeat an id, or have none, are scored each for itself; an empty table gives an empty one.
+    """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +171,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The rows that score at least the threshold, with the columns they came with."""
+    """The rows that score at least the threshold, with the columns they came with.
+
+    Null texts are scored as empty ones; a score of just the threshold stays; rows that repeat an id, or have none, are judged each for itself; an
+    empty table gives an empty one.
+    """
     names = docs.columns
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

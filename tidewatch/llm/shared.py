@@ -13,9 +13,11 @@ BROADCAST_ROWS = 1_000_000
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder below the shared one that the session names in spark.checkpoint.dir; a local one only where none is set."""
+    """A new folder below the shared one that the session names in spark.checkpoint.dir. Where none is set, a local session makes one, any other fails."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidewatch/{uuid.uuid4().hex}"
