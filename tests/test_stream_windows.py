@@ -149,3 +149,20 @@ def test_rows_without_key_or_time_in_running_totals(spark, tmp_path):
     closed = min(b.agg(F.max(F.unix_seconds("et"))).first()[0] for _, b in streams)
     want = monitor.running_events(*[b for _, b in streams]).select("BUSINESS_TYPE_CD", F.unix_seconds("et").alias("ts"), "seq", "APP_C_CT", "ACC_C_CT").where(f"ts is null or ts <= {closed}")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.where("ts is null").count() > 3 and want.where("BUSINESS_TYPE_CD is null").count() > 3
+
+
+@pytest.mark.parametrize("slide,until,day", [(600, "2024-01-16", 144), (10, "2024-01-02 20:00:00", 700)])
+def test_period_monitor(spark, tmp_path, slide, until, day):
+    batch = [df.where(f"et < '{until}'") for df in (credit.applies(spark, SF), credit.results(spark, SF))]
+    for k in range(2):  # started again for the later half
+        streams = []
+        for name, df, time in (("a", batch[0], "APPLY_TIME"), ("r", batch[1], "CREDIT_TIME")):
+            middle = df.agg(F.expr("percentile_approx(unix_seconds(et), 0.5)")).first()[0] // 3600 * 3600
+            df.where(f"(unix_seconds(et) >= {middle}) = {bool(k)}").drop("et").coalesce(1).write.mode("append").json(f"{tmp_path}/{name}")
+            streams.append(credit.read_topic(spark, f"{tmp_path}/{name}/", df.drop("et").schema.simpleString()[7:-1].replace(":", " "), time, delay="30000 seconds"))
+        got = run(live.period_over_period(*streams, slide, day=day), tmp_path, "period")
+    closed = min(df.agg(F.max(F.unix_seconds("et"))).first()[0] for df in batch) - 30_000
+    want = monitor.period_over_period(*batch, slide, day=day).where(f"DT <= {closed}")
+    assert got.columns == want.columns and len(got.columns) == 18
+    own, held = sorted(map(tuple, got.collect()), key=str), sorted(map(tuple, want.collect()), key=str)
+    assert own == held and len(held) > 100 and want.where("APP_P_D not in (-999.0)").count() > 20

@@ -131,6 +131,16 @@ AVERAGES = {
 }
 
 
+def period_measures() -> dict[str, Column]:
+    """What windows sum of each result for the period monitor: approvals, and each mean's values and how many they are."""
+    held = {n: F.when(F.col(c).isNotNull(), 1).otherwise(0).cast("long") for n, c in AVERAGES.items()}
+    return {"success_num": _flag(approved(F.col("CREDIT_CODE")))} | {n: F.col(c) for n, c in AVERAGES.items()} | {f"with_{n}": c for n, c in held.items()}
+
+
+def period_means(size: str) -> list[Column]:
+    return [F.when(F.col(f"with_{n}_{size}") > 0, F.col(f"{n}_{size}") / F.col(f"with_{n}_{size}")).alias(n) for n in AVERAGES]
+
+
 def hop_apply_series(applies: DataFrame, slide: int, size: int, day: int) -> DataFrame:
     a = apply_windows(applies, slide, {"H": size}).select(KEY, "w_end", F.col("n_H").alias("apply_num"))
     a = lag_rows(a, [KEY], ["w_end"], "apply_num", 1, 0, "last_num")
@@ -141,13 +151,14 @@ def period_over_period(applies: DataFrame, results: DataFrame, slide: int = 10,
     """One-hour windows of both streams against the window before and the one a day of slides earlier, and the rates of their rates: 18 columns."""
     day = day or 86_400 // slide
     a = hop_apply_series(applies, slide, size, day)
-    ok = _flag(approved(F.col("CREDIT_CODE")))
-    held = {n: F.when(F.col(c).isNotNull(), 1).otherwise(0).cast("long") for n, c in AVERAGES.items()}
-    r = hop(results, [KEY], slide, {"H": size}, {"success_num": ok} | {n: F.col(c) for n, c in AVERAGES.items()} | {f"with_{n}": c for n, c in held.items()})
-    mean = [F.when(F.col(f"with_{n}_H") > 0, F.col(f"{n}_H") / F.col(f"with_{n}_H")).alias(n) for n in AVERAGES]
-    r = r.select(KEY, "w_end", F.col("n_H").alias("return_num"), F.col("success_num_H").alias("success_num"), *mean)
+    r = hop(results, [KEY], slide, {"H": size}, period_measures())
+    r = r.select(KEY, "w_end", F.col("n_H").alias("return_num"), F.col("success_num_H").alias("success_num"), *period_means("H"))
     r = lag_rows(lag_rows(r, [KEY], ["w_end"], "success_num", 1, 0, "r_last"), [KEY], ["w_end"], "success_num", day, 0, "r_last_24")
-    both = join_hop(a, r, [KEY])
+    return period_rates(join_hop(a, r, [KEY]))
+
+
+def period_rates(both: DataFrame) -> DataFrame:
+    """The period monitor's columns of windows with their counts, means and what these counts were a window and a day before."""
     pr = F.col("success_num") / F.col("apply_num")
 
     def against(before: str, a_before: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,6 +23,26 @@ def with_event_time(df: DataFrame, column: str, unit: str = "ms", delay: str | N
     return df.withWatermark("et", delay) if delay else df
 
 
+def reading(topic: str, start: str | dict = "latest", options: dict | None = None, reader_options: dict | None = None) -> dict[str, str]:
+    """The options of a Kafka reader: properties get their prefix unless they have it; offsets by partition go in as JSON."""
+    offsets = json.dumps({topic: start}) if isinstance(start, dict) else start
+    return {"subscribe": topic, "startingOffsets": offsets} | (reader_options or {}) | prefixed(options)
+
+
+def prefixed(options: dict | None) -> dict[str, str]:
+    return {k if k.startswith("kafka.") else f"kafka.{k}": v for k, v in (options or {}).items()}
+
+
+def topic_rows(df: DataFrame, key: str | Column | None = None, partition: str | Column | None = None) -> DataFrame:
+    """What a Kafka sink gets: the row as JSON in `value`, and a key (rows of one key go to one partition) or the number of a partition, each a column or an expression.
+
+    Without either, rows are dealt out in turn.
+    """
+    named = [F.col(c) if isinstance(c, str) else c for c in (key, partition) if c is not None]
+    names = [n for n, c in (("key", key), ("partition", partition)) if c is not None]
+    return df.select(F.to_json(F.struct("*")).alias("value"), *[c.cast("string" if n == "key" else "int").alias(n) for n, c in zip(names, named, strict=True)])
+
+
 def read_topic(spark: SparkSession, topic: str, schema: str, column: str, unit: str = "ms", delay: str = "5 seconds", start: str | dict = "latest", options: dict | None = None, reader_options: dict | None = None) -> DataFrame:
     """A stream of JSON rows from a topic, or from a folder of JSON files if `topic` holds a slash.
 
@@ -32,14 +52,12 @@ def read_topic(spark: SparkSession, topic: str, schema: str, column: str, unit:
     if "/" in topic:
         rows = spark.readStream.schema(schema).options(**(reader_options or {})).json(topic)
     else:
-        reader = spark.readStream.format("kafka").option("subscribe", topic).option("startingOffsets", json.dumps({topic: start}) if isinstance(start, dict) else start).options(**(reader_options or {}))
-        for k, v in (options or {}).items():
-            reader = reader.option(f"kafka.{k}", v)
+        reader = spark.readStream.format("kafka").options(**reading(topic, start, options, reader_options))
         rows = reader.load().select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
     return with_event_time(rows, column, unit, delay)
 
 
-def write_topic(df: DataFrame, topic: str, checkpoint: str, mode: str = "append", key: str | None = None, partition: str | None = None, trigger: dict | None = None, options: dict | None = None) -> StreamingQuery:
+def write_topic(df: DataFrame, topic: str, checkpoint: str, mode: str = "append", key: str | Column | None = None, partition: str | Column | None = None, trigger: dict | None = None, options: dict | None = None) -> StreamingQuery:
     """Write rows as JSON to a topic, or to a folder if `topic` holds a slash. `update` mode keeps additions and never sends deletions."""
     if "/" in topic:
         if mode == "append":
@@ -47,10 +65,7 @@ def write_topic(df: DataFrame, topic: str, checkpoint: str, mode: str = "append"
         else:
             writer = df.writeStream.foreachBatch(lambda batch, number: batch.write.mode("overwrite").json(f"{topic}/batch={number}")).outputMode(mode)
     else:
-        columns = [F.to_json(F.struct("*")).alias("value")] + [F.col(c).cast(t).alias(n) for n, c, t in (("key", key, "string"), ("partition", partition, "int")) if c]
-        writer = df.select(*columns).writeStream.format("kafka").option("topic", topic).outputMode(mode)
-        for k, v in (options or {}).items():
-            writer = writer.option(f"kafka.{k}", v)
+        writer = topic_rows(df, key, partition).writeStream.format("kafka").option("topic", topic).options(**prefixed(options)).outputMode(mode)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 

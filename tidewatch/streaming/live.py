@@ -13,7 +13,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidewatch.operators.joins import join_range
 from tidewatch.operators.over import latest_per
-from tidewatch.plans.monitor import KEY, SIZES, TOTALS, WINDOWED, rates, result_flags, result_measures, window_rates
+from tidewatch.plans.monitor import KEY, SIZES, TOTALS, WINDOWED, period_means, period_measures, period_rates, rates, result_flags, result_measures, window_rates
 from tidewatch.sources.credit import make_topics, publish, read_topic, write_topic, write_topics
 from tidewatch.streaming import store, windows
 
@@ -301,6 +301,22 @@ def windowed(applies: DataFrame, results: DataFrame, slide: int = 10, sizes: dic
     return window_rates(both, sizes, mode).select(KEY, "w_end", "dt", *[f"{n}_{s}" for n in WINDOWED for s in sizes])
 
 
+def period_over_period(applies: DataFrame, results: DataFrame, slide: int = 10, size: int = 3600, day: int | None = None) -> DataFrame:
+    """The period monitor of 18 columns on streams, for append mode: windows of both streams against those one window and `day` windows before.
+
+    One state holds the windows of both streams, and one the last `day` windows of each product and stream, so nothing is joined.
+    """
+    day = day or 86_400 // slide
+    sums = period_measures()
+    kinds = dict(results.select(*[c.alias(n) for n, c in sums.items()]).dtypes)
+    a = applies.select(KEY, "et", F.lit(1).alias("a"), F.lit(0).alias("r"), *[F.lit(None).cast(t).alias(n) for n, t in kinds.items()])
+    b = results.select(KEY, "et", F.lit(0).alias("a"), F.lit(1).alias("r"), *[c.alias(n) for n, c in sums.items()])
+    both = windows.hop(a.unionByName(b), [KEY], slide, {"H": size}, {n: F.col(n) for n in ("a", "r", *sums)})
+    counts = [F.col("a_H").alias("apply_num"), F.col("r_H").alias("return_num"), F.col("success_num_H").alias("success_num")]
+    both = windows.series_lags(both.select(KEY, "w_end", "dt", *counts, *period_means("H")), [KEY], {"apply_num": "apply_num", "return_num": "success_num"}, [1, day])
+    return period_rates(both.withColumnsRenamed({"apply_num_1": "last_num", f"apply_num_{day}": "last_24_num", "success_num_1": "r_last", f"success_num_{day}": "r_last_24"}))
+
+
 def monitor_job(applies: DataFrame, results: DataFrame, folder: str, part: str, slide: int = 10, which: str = "next", sizes: dict[str, int] = SIZES, names: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
     """One of the three queries that make the product monitor of 62 columns; each has a checkpoint of its own below `folder`.
 

@@ -132,6 +132,51 @@ class Windows(StatefulProcessor):
         pass
 
 
+class SeriesLags(StatefulProcessor):
+    """Rows of a key in order of `w_end`, each with what its series were so many rows before (0: nothing yet, or null).
+
+    A series is made of the rows in which its marker is above zero; only rows in which all of them are go out. The last values of a series lie in
+    a ring in the state, of which a row touches as many slots as it has lags. Rows of one trigger must be later than those of the one before,
+    as closed windows are.
+    """
+
+    def __init__(self, series: dict[str, str], lags: list[int], columns: list[str]) -> None:
+        self.series, self.lags, self.columns = series, lags, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "series string", "rows bigint")
+        self.ring = handle.getMapState("ring", "series string, slot bigint", "value bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        frame = pd.concat(list(rows)).sort_values("w_end")
+        size, out, fresh = max(self.lags), frame, None
+        for marker, value in self.series.items():
+            own = frame[frame[marker] > 0]
+            n = self.counts.getValue((marker,))[0] if self.counts.containsKey((marker,)) else 0
+            values = own[value].fillna(0).astype("int64").tolist()
+            for lag in self.lags:
+                # rows before this trigger's come from the ring
+                old = [self.ring.getValue((marker, (n + k - lag) % size))[0] if n + k >= lag else 0 for k in range(min(lag, len(values)))]
+                out.loc[own.index, f"{value}_{lag}"] = [*old, *values[: max(len(values) - lag, 0)]]
+            for k in range(max(len(values) - size, 0), len(values)):
+                self.ring.updateValue((marker, (n + k) % size), (values[k],))
+            self.counts.updateValue((marker,), (n + len(values),))
+            fresh = own.index if fresh is None else fresh.intersection(own.index)
+        yield out.loc[fresh, self.columns].sort_values("w_end")
+
+    def close(self) -> None:
+        pass
+
+
+def series_lags(df: DataFrame, keys: list[str], series: dict[str, str], lags: list[int]) -> DataFrame:
+    """Windows of a stream (keys, w_end, dt, whole numbers and fractions) with columns <value>_<lag> for each series (marker: value): see `SeriesLags`."""
+    more = [f"{v}_{n}" for v in series.values() for n in lags]
+    types = dict(df.dtypes) | dict.fromkeys(more, "bigint")
+    state = SeriesLags(series, lags, list(types))
+    schema = ", ".join(f"`{n}` {t}" for n, t in types.items())
+    return df.groupBy(*keys).transformWithStateInPandas(state, schema, "Append", "EventTime", eventTimeColumnName="dt")
+
+
 def hop(df: DataFrame, keys: list[str], slide: int, sizes: dict[str, int], sums: dict[str, Column], sets: dict[str, Column] | None = None, salt: Column | None = None, salts: int = 1) -> DataFrame:
     """The streaming form of sliding windows of several sizes, for append mode: keys, w_end, dt (its last millisecond, with the watermark), and the
     columns of the batch form. `df` has a watermark on et; the state needs the RocksDB provider.
