@@ -11,6 +11,7 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Between a Latin letter and one of these marks, or around a lone line end, a piece ends whatever stands around it.
 _LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ÿ", r".,!?;:|*%$"
@@ -105,8 +106,9 @@ class Encoder:
                 exact[p] = np.array(self._ids(p), "<u4").tobytes()
 
     def rest(self) -> None:
-        """Between tasks only the newest generation is kept."""
+        """Between tasks only the newest generation is kept, and memory that batches took goes back to the system."""
         self.older, self.exact = {}, {}
+        pa.default_memory_pool().release_unused()
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
