@@ -113,12 +113,13 @@ def test_totals_after_each_event_are_staged_and_meet_the_next_window(spark, tmp_
     again, _ = live.staged(live.running_events(a, r), f"{tmp_path}/staged/", f"{tmp_path}/c_staged", trigger={"availableNow": True})
     again.awaitTermination()  # started again from its checkpoint, it writes nothing twice
     assert spark.read.json(f"{tmp_path}/staged/").count() == len(rows)
-    windows = live.hop(streams(spark, tmp_path / "again")[0], [monitor.KEY], "10 minutes", "1 hour", {})
-    met = drain(live.align_running(running, windows, 600), tmp_path, "append", "aligned").collect()
     closed = {(x[0], x.w_end): x.n_H for x in aggregates.hop(credit.applies(spark, SF), [monitor.KEY], 600, {"H": 3600}, {}).collect()}
-    paired = {(s, t // 600 * 600 + 600, closed[k, t // 600 * 600 + 600]) for k, t, s, *_ in got if (k, t // 600 * 600 + 600) in closed}
-    found = {(x.seq, x.w_end, x.n) for x in met}
-    assert found <= paired and len(found) == len(met) > 0.9 * len(paired) > 100
+    for which, add in (("next", 600), ("previous", 0)):
+        windows = live.hop(streams(spark, tmp_path / which)[0], [monitor.KEY], "10 minutes", "1 hour", {})
+        met = drain(live.align_running(running, windows, 600, which), tmp_path, "append", f"aligned_{which}").collect()
+        paired = {(s, t // 600 * 600 + add, closed[k, t // 600 * 600 + add]) for k, t, s, *_ in got if (k, t // 600 * 600 + add) in closed}
+        found = {(x.seq, x.w_end, x.n) for x in met}
+        assert found <= paired and len(found) == len(met) > 0.9 * len(paired) > 100
 
 
 def test_lags_by_rows(spark, tmp_path):
