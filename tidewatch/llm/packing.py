@@ -130,7 +130,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, n_open:
                 if len(rows) >= 4000:
                     yield flush()
         enc.rest()
-        pa.default_memory_pool().release_unused()  # what batches took goes back to the system
+        if ids:  # batches of ids are large: what they took goes back to the system
+            pa.default_memory_pool().release_unused()
         for window in packer.rest():
             put(window)
         if rows:
