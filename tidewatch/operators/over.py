@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from tidewatch.operators import frames
 from tidewatch.operators.aggregates import cumulative, exact, levels
 
 DAY = 86_400
@@ -123,25 +127,32 @@ _COUNTS = {
 _FEATURES = ("cert_apply_num", "cert_contact_num", "mobile_contact_num", "cert_or_mobile_num", "cert_couple_num", "cert_couple_mobile_num", "company_apply_num", "address_apply_num")
 
 
+#: Rows of keys that a task of `velocity_features` gets, on average.
+TASK_ROWS = 2_000_000
+
+
 def horizon_names(horizons: tuple[int, ...]) -> dict[str, int]:
     return {f"{_NAMES.get(d, d)}_days": d for d in horizons}
 
 
-def entries() -> tuple[Column, Column]:
-    """An application as each of its keys sees it (kind, a, b, own = 1, and the contacts that it names), and as the contacts that it names see it (own = 0)."""
+def entries(mark: Callable[[str], Column] = F.lit) -> tuple[Column, Column]:
+    """An application as each of its keys sees it (kind, a, b, own = 1, and the contacts that it names), and as the contacts that it names see it (own = 0).
+
+    `mark` is what stands for a kind.
+    """
 
     def entry(kind: str, a: str, b: str | None, own: int) -> Column:
         couple = [(F.col(c) if kind == "cert" and own else F.lit(None)).cast("string") for c in CONTACTS.values()]
         second = (F.col(b) if b else F.lit(None)).cast("string")
-        return F.struct(F.lit(kind).alias("kind"), F.col(a).cast("string").alias("a"), second.alias("b"), F.lit(own).alias("own"), couple[0].alias("couple"), couple[1].alias("couple_mobile"))
+        return F.struct(mark(kind).alias("kind"), F.col(a).cast("string").alias("a"), second.alias("b"), F.lit(own).alias("own"), couple[0].alias("couple"), couple[1].alias("couple_mobile"))
 
     contacts = F.array(*[entry(k, c, None, 0) for k, c in CONTACTS.items()])
     return F.array(*[entry(k, a, b, 1) for k, (a, b) in KEYS.items()]), F.filter(contacts, lambda x: x["a"].isNotNull())
 
 
-def gathered(names: dict[str, int]) -> list[Column]:
+def gathered(names: dict[str, int], mark: Callable[[str], Column] = F.lit) -> list[Column]:
     """Aggregates of an application's rows by kind (columns <horizon>_<count>), one for each count of a feature."""
-    return [F.max(F.when(F.col("kind") == k, F.col(f"{d}_{n}"))).alias(f"{d}_{name}") for d in names for name, (k, n) in _COUNTS.items()]
+    return [F.max(F.when(F.col("kind") == mark(k), F.col(f"{d}_{n}"))).alias(f"{d}_{name}") for d in names for name, (k, n) in _COUNTS.items()]
 
 
 def features(rows: DataFrame, names: dict[str, int]) -> DataFrame:
@@ -153,14 +164,31 @@ def features(rows: DataFrame, names: dict[str, int]) -> DataFrame:
 def velocity_features(df: DataFrame, horizons: tuple[int, ...] = (1, 3, 7), drop_null_keys: bool = True) -> DataFrame:
     """Eight counts over each trailing horizon for every application, on its own row: no join back multiplies rows.
 
-    By identity, phone, employer, address; by identity or phone; how often named as a contact by id or phone; distinct spouses' ids and phones. All
-    keys of all rows are one table that is gone over once, whatever the number of features; the counts come back by key and second.
+    By identity, phone, employer, address; by identity or phone; how often named as a contact by id or phone; distinct spouses' ids and phones. Every
+    row goes once to each of its keys, dealt out by spans of two of the longest horizons, and to the next span too if that may still count it. There
+    the rows lie in order of seconds and one pass finds all counts (see `frames`): it holds a chunk of rows and the seconds of the longest horizon,
+    however many rows a key has. The counts come together by application. Rows are counted first, so that tasks don't grow with them. Rows
+    without a time count 0 and are counted by none.
     """
     if drop_null_keys:
         df = df.dropna(subset=["CERT_NO", "MOBILE_NUM", "COMP_NAME", "STANDARD_ADDR"])
-    names, (own, contacts) = horizon_names(horizons), entries()
-    keyed = df.select("et", F.explode(F.concat(own, contacts)).alias("x")).select("et", "x.*")
-    found = trailing_levels(keyed, ["kind", "a", "b"], names, {"n": F.col("own"), "named": 1 - F.col("own")}, {"couple": "couple", "couple_mobile": "couple_mobile"})
-    asked = df.withColumn("__row", F.monotonically_increasing_id()).select("__row", "APP_NO", "CERT_NO", "et", F.explode(own).alias("x")).select("__row", "APP_NO", "CERT_NO", "et", "x.kind", "x.a", "x.b")
-    of = meet(asked, ["kind", "a", "b"], found).groupBy("__row")
-    return features(of.agg(F.max("APP_NO").alias("APP_NO"), F.max("CERT_NO").alias("CERT_NO"), *gathered(names)), names)
+    mark = lambda kind: F.lit(list(KEYS).index(kind)).cast("byte")
+    names, (own, contacts) = horizon_names(horizons), entries(mark)
+    longest, spark = max(horizons) * DAY, df.sparkSession
+    span = 2 * longest
+    keys = len(KEYS) + len(CONTACTS)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-keys * 3 * df.count() // (2 * TASK_ROWS)))
+    timed = df.withColumns({"__row": F.monotonically_increasing_id(), "es": F.unix_seconds("et")}).withColumn("bucket", F.floor(F.col("es") / span))
+    here, later = F.struct("bucket", F.col("__row").alias("row")), F.struct((F.col("bucket") + 1).alias("bucket"), F.lit(None).cast("long").alias("row"))
+    spans = F.when(F.col("es") + longest >= (F.col("bucket") + 1) * span, F.array(here, later)).otherwise(F.array(here))
+    rows = timed.withColumn("s", F.explode(spans)).select("APP_NO", "CERT_NO", "es", "s.*", F.explode(F.concat(own, contacts)).alias("x"))
+    rows = rows.select("APP_NO", "CERT_NO", "es", "bucket", F.when(F.col("x.own") == 1, F.col("row")).alias("row"), "x.*")
+    named = F.col("row").isNotNull() & (F.col("kind") == mark("cert"))  # the names of an application travel with one of its keys
+    rows = rows.withColumns({c: F.when(named, F.col(c)) for c in ("APP_NO", "CERT_NO")} | {"h": F.xxhash64("kind", "a", "b", "bucket")})
+    rows = rows.repartition(tasks, "h").sortWithinPartitions("h", "kind", "a", "b", "bucket", "es").drop("h")
+    kept, counts = ["row", "kind", "APP_NO", "CERT_NO"], [f"{d}_{n}" for d in names for n in ("n", "named", "couple", "couple_mobile")]
+    schema = StructType([*rows.select(*kept).schema.fields, *[StructField(c, LongType()) for c in counts]])
+    found = rows.mapInArrow(frames.counting(list(horizons), span, kept, counts), schema)
+    # dealt before they are grouped: an application's counts come from other tasks, so nothing could be put together sooner
+    of = found.repartition(tasks, "row").groupBy("row")
+    return features(of.agg(F.max("APP_NO").alias("APP_NO"), F.max("CERT_NO").alias("CERT_NO"), *gathered(names, mark)), names)
