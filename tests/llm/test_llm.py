@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -496,6 +497,18 @@ def test_tokens_and_files(spark, odd):
     assert token_file.token_file(make(spark, odd[:0]), path, 2).count() == 0
 
 
+def test_each_distinct_part_is_looked_up_once(monkeypatch):
+    path, met, texts = tokenizer_path("byte_bpe_50k.json"), [], []
+    meet, each = Encoder._meet, Encoder._each
+    monkeypatch.setattr(Encoder, "_meet", lambda self, parts: met.append(list(parts)) or meet(self, parts))
+    monkeypatch.setattr(Encoder, "_each", lambda self, found: texts.extend(found) or each(self, found))
+    docs = [f"first w{chr(97 + k % 7)} and {' '.join(chr(97 + i % 26) * (1 + i // 26) for i in range(k, k + 300))}  end <|endoftext|>"[: None if k == 3 else -14] for k in range(40)]
+    got = Encoder(path).encode_all(pa.array(docs))
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [_tokenizer(path).encode(t, add_special_tokens=False).ids for t in docs]
+    assert len(met) == 1 and len(met[0]) == len(set(met[0]))  # not each place of it
+    assert max(t.count(" ") for t in texts if t not in docs) <= 100  # short texts, which the library takes less time for
+
+
 @pytest.mark.parametrize("high", [1, 2, 300, 50_257, 2**32])
 def test_blocks(high):
     r = np.random.default_rng(high)

@@ -29,6 +29,8 @@ MAGIC, BLOCK, LANE = b"TWT1", 512, 64
 #: The width of a block's packed values is what this share of its ids needs.
 PERCENTILE = 0.95
 SEGMENT_IDS = 1 << 18
+#: Pieces that a worker remembers, twice over, also between its tasks: nothing else here needs the memory, and many recur in the next task.
+KNOWN = 500_000
 
 _SEGMENTS = "part int, seq int, first_doc_id bigint, n_docs bigint, n_ids bigint, payload binary"
 
@@ -151,7 +153,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
         from pyspark import TaskContext
 
         part, seq = TaskContext.get().partitionId(), 0
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, KNOWN)
         held: list[bytes] = []
         doc_ids: list[int | None] = []
         n = 0
@@ -169,15 +171,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
             )
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_all(texts), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode_all(batch.column(1).fill_null("")), strict=True):
                 ids += end
                 held.append(ids)
                 doc_ids.append(doc_id)
                 n += len(ids) // 4
                 if n >= SEGMENT_IDS:
                     yield flush()
-        enc.rest()
         if held:
             yield flush()
 
