@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import chat, decontam, embed_dedup, line_dedup, ngram_join, packing, pii, quality, queries, substring, token_file
+from tidewatch.llm import chat, decontam, embed_dedup, line_dedup, ngram_join, packing, pii, quality, queries, substring, token_file, words
 from tidewatch.llm.shared import components
 from tidewatch.llm.tokens import Encoder, _tokenizer, tokenizer_path
 
@@ -497,6 +497,31 @@ def test_tokens_and_files(spark, odd):
     assert token_file.token_file(make(spark, odd[:0]), path, 2).count() == 0
 
 
+@pytest.mark.parametrize("group", [1, 300, 2_000_000])
+def test_runs_of_a_batch_are_those_of_its_texts(monkeypatch, group):
+    r = random.Random(group)
+    texts = [None, b"", b" ", b"a " * 12, b"a " * 13, b"\xff\xfe " * 20, b" x\x0b\x1cy \x85 " * 9]
+    texts += ["".join(r.choice(["a", "b", "ü", " ", "  ", "\n", "\t"]) for _ in range(r.randint(0, 300))).encode() for _ in range(200)]
+    hashed = Counter()
+    digest = words.xxh64_intdigest
+    monkeypatch.setattr(words, "xxh64_intdigest", lambda w: hashed.update([w]) or digest(w))
+    monkeypatch.setattr(words, "GROUP", group)
+    want = []
+    for row, t in enumerate(texts):
+        cut = (t or b"").split()
+        h = np.array([digest(w) for w in cut], np.uint64)
+        g = words.grams(h, substring.RUN).tolist()
+        last = None
+        for i in range(len(cut) - substring.WINDOW + 1):
+            place = min(range(i, i + substring.WINDOW - substring.RUN + 1), key=g.__getitem__)
+            if place != last:
+                want.append([row, g[place], i, 0])
+            want[-1][3] += 1
+            last = place
+    got = [list(x) for part in substring._runs(pa.array([b"first", *texts], pa.binary()).slice(1)) for x in zip(*[c.tolist() for c in part], strict=True)]
+    assert got == want and (group < 2_000_000 or max(hashed.values()) == 1)
+
+
 def test_each_distinct_part_is_looked_up_once(monkeypatch):
     path, met, texts = tokenizer_path("byte_bpe_50k.json"), [], []
     meet, each = Encoder._meet, Encoder._each

@@ -16,6 +16,7 @@ Candidates are chosen by hashes; the automata compare the words themselves.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialize, small
-from .words import WordHash, grams, ids, longs, texts
+from .words import grams, hashed, ids, longs, texts
 
 WINDOW, RUN = 13, 6
 #: A minimizer of more candidates than this is dealt out by whole windows, so that a very common passage does not meet in one shard.
@@ -102,13 +103,35 @@ class Automaton:
         return out
 
 
-def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimizer, first window and number of windows of each run of windows with one minimizer place."""
-    g = grams(h, RUN)
-    near = np.lib.stride_tricks.sliding_window_view(g, WINDOW - RUN + 1)
-    place = near.argmin(axis=1) + np.arange(len(near))
-    starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return g[place[starts]], starts, np.diff(np.append(starts, len(place)))
+def _least(g: np.ndarray, n: int) -> np.ndarray:
+    """Where the least of every n values in a row stands, the first of equal ones."""
+    place, width = np.arange(len(g)), 1
+    while width < n:
+        step = min(width, n - width)
+        left, right = place[: len(place) - step], place[step:]
+        place = np.where(g[right] < g[left], right, left)
+        width += step
+    return place
+
+
+def _runs(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, minimizer, first window and number of windows of each run of windows with one minimizer place, for groups of texts.
+
+    The texts of a group stand one behind another; windows across their ends are left out.
+    """
+    for first, edge, h in hashed(column):
+        if len(h) < WINDOW:
+            continue
+        g = grams(h, RUN)
+        place = _least(g, WINDOW - RUN + 1)
+        new = np.concatenate([[True], place[1:] != place[:-1]])
+        new[edge[:-1][edge[:-1] < len(new)]] = True
+        starts = np.flatnonzero(new)
+        row = np.searchsorted(edge, starts, "right") - 1
+        n = np.minimum(np.append(starts[1:], len(place)), edge[row + 1] - WINDOW + 1) - starts
+        own = np.flatnonzero(n > 0)
+        starts, row = starts[own], row[own]
+        yield first + row, g[place[starts]], starts - edge[row], n[own]
 
 
 def _is_in(key: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -124,6 +147,15 @@ def _segments(key: np.ndarray, start: np.ndarray, n: np.ndarray, often: np.ndarr
     return list(zip(start[first].tolist(), (start[last] + n[last]).tolist(), strict=True))
 
 
+def _passages(batch: pa.RecordBatch, often: np.ndarray) -> Iterator[tuple[int, list[bytes], list[tuple[int, int]]]]:
+    """Id, words and segments of each text that has windows with frequent minimizers."""
+    doc_ids, column = ids(batch), batch.column(batch.schema.get_field_index("text"))
+    for row, key, start, n in _runs(column):
+        for r in np.unique(row[_is_in(key, often)]).tolist():
+            a, b = np.searchsorted(row, [r, r + 1]).tolist()
+            yield int(doc_ids[r]), column[r].as_py().split(), _segments(key[a:b], start[a:b], n[a:b], often)
+
+
 def _frequent(docs: DataFrame) -> np.ndarray:
     """Minimizers that OFTEN documents of every SAMPLE-th hold, sorted; MOST_KEYS at most, those in most documents."""
     held = _placed(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0), np.zeros(0, np.uint64))
@@ -136,14 +168,10 @@ def _shared_windows(docs: DataFrame, often: np.ndarray) -> DataFrame:
     """words, first, n: the windows with frequent minimizers that several documents hold, the first of these and the number of places."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHash()
         seen: dict[bytes, list[int]] = {}
         for batch in batches:
-            for doc_id, t in zip(ids(batch).tolist(), texts(batch), strict=True):
-                cut = t.split()
-                if len(cut) < WINDOW:
-                    continue
-                for a, b in _segments(*_runs(words.of(cut)), often):
+            for doc_id, cut, segments in _passages(batch, often):
+                for a, b in segments:
                     for i in range(a, b):
                         x = b" ".join(cut[i : i + WINDOW])
                         if x in seen:
@@ -173,17 +201,14 @@ def _streamed(docs: DataFrame, often: np.ndarray) -> tuple[DataFrame, DataFrame
     sent = docs.sparkSession.sparkContext.broadcast(shard)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, number, words = Automaton(), {}, WordHash()
+        automaton, number = Automaton(), {}
         for x, first in sent.value:
             automaton.add([number.setdefault(w, len(number)) for w in x.split()], first)
         automaton.close()
         for batch in batches:
             out: list[tuple[int, int, int, bool]] = []
-            for doc_id, t in zip(ids(batch).tolist(), texts(batch), strict=True):
-                cut = t.split()
-                if len(cut) < WINDOW:
-                    continue
-                for a, b in _segments(*_runs(words.of(cut)), often):
+            for doc_id, cut, segments in _passages(batch, often):
+                for a, b in segments:
                     span = None
                     for i, f in enumerate(automaton.firsts([number.get(w, -1) for w in cut[a : b + WINDOW - 1]], WINDOW), a):
                         if f < doc_id:
@@ -213,27 +238,12 @@ def _placed(docs: DataFrame, often: np.ndarray) -> DataFrame:
     """key, doc_id, start, n: the runs of windows of every document, by minimizer, without those of frequent minimizers."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHash()
         for batch in batches:
-            found, held = [], 0
-            for doc_id, t in zip(ids(batch).tolist(), texts(batch), strict=True):
-                h = words.of(t.split())
-                if len(h) >= WINDOW:
-                    key, start, n = _runs(h)
-                    if len(often):
-                        other = ~_is_in(key, often)
-                        key, start, n = key[other], start[other], n[other]
-                    found.append((key, np.full(len(key), doc_id), start, n))
-                    held += len(key)
-                if held >= 500_000:
-                    yield joined(found)
-                    found, held = [], 0
-            if found:
-                yield joined(found)
-
-    def joined(found: list) -> pa.RecordBatch:
-        key, doc, start, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([longs(key), longs(doc), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["key", "doc_id", "start", "n"])
+            doc_ids = ids(batch)
+            for row, key, start, n in _runs(batch.column(batch.schema.get_field_index("text"))):
+                other = np.flatnonzero(~_is_in(key, often)) if len(often) else slice(None)
+                columns = [longs(key[other]), longs(doc_ids[row[other]]), pa.array(start[other].astype(np.int32)), pa.array(n[other].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "start", "n"])
 
     return docs.mapInArrow(cut, "key bigint, doc_id bigint, start int, n int")
 
@@ -267,16 +277,15 @@ def _covered(docs: DataFrame, candidates: DataFrame) -> DataFrame:
     own = docs.join(lists, F.col("doc_id") == F.col("id")).select("doc_id", "text", "c")
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHash()
         for batch in batches:
             seen: set[int] = set()
             out: list[list] = [[], [], [], [], []]
             runs = batch.column(2)
-            for k, (doc_id, t) in enumerate(zip(ids(batch).tolist(), texts(batch), strict=True)):
+            of = (h[a:b] for _, edge, h in hashed(batch.column(1)) for a, b in itertools.pairwise(edge.tolist()))
+            for k, (doc_id, t, h) in enumerate(zip(ids(batch).tolist(), texts(batch), of, strict=True)):
                 cut = t.split()
-                h = words.of(cut)
                 g, whole = grams(h, RUN), grams(h, WINDOW)
-                least = np.lib.stride_tricks.sliding_window_view(g, WINDOW - RUN + 1).min(axis=1).tolist() if len(whole) else []
+                least = g[_least(g, WINDOW - RUN + 1)].tolist() if len(whole) else []
                 c = runs[k].values
                 for start, n, hot in zip(*[c.field(i).to_pylist() for i in range(3)], strict=True):
                     if start + n > len(whole):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from xxhash import xxh64_intdigest
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -36,6 +39,34 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: Bytes of text that are cut into words together.
+GROUP = 2_000_000
+
+
+def hashed(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For groups of a binary column's texts: the first row, where each row's words begin (and the last ones end), the hashes of all words.
+
+    Words are what stands between ASCII white space; null is empty. The distinct words of a group are hashed once, as WordHash does.
+    """
+    sizes = pc.binary_length(column).fill_null(0).to_pylist()
+    at = 0
+    while at < len(sizes):
+        to, held = at, 0
+        while to < len(sizes) and held < GROUP:
+            held += sizes[to]
+            to += 1
+        cut = pc.ascii_split_whitespace(column.slice(at, to - at).fill_null(b"").view(pa.string()))
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        number, edge = coded.indices.to_numpy(), cut.offsets.to_numpy().astype(np.int64)
+        h = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))[number]
+        if b"" in words:  # before white space at the begin of a text, behind it at the end
+            real = number != words.index(b"")
+            h, edge = h[real], np.concatenate([[0], np.cumsum(real)])[edge]
+        yield at, edge, h
+        at = to
+
+
 def grams(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of n word hashes."""
     if len(words) < n:
